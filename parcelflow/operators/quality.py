@@ -19,6 +19,7 @@ from parcelflow.functions.times import days_on_market, parse_date, years_since
 from parcelflow.operators.lookup import city_lookup, type_lookup
 
 VIOLATIONS = "violations"
+VALID, QUARANTINED = "valid", "quarantined"
 CENT = 0.01
 HALF_CENT = 0.005
 EPSILON = 1e-9
@@ -129,21 +130,26 @@ RULES = tuple(
 )
 
 
-def with_violations(
-    listings: DataFrame, as_of: Column, rules: Collection[str] = RULES
-) -> DataFrame:
-    """The listings plus ``violations``, the names of the rules a row breaks."""
+def _broken(as_of: Column, rules: Collection[str]) -> dict[str, Column]:
     unknown = set(rules) - set(RULES)
     if unknown:
         raise ValueError(f"unknown rules: {sorted(unknown)}")
     checks = listing_rules(as_of)
-    broken = [
-        F.when(~F.coalesce(checks[name], F.lit(False)), F.lit(name))
-        for name in RULES
-        if name in rules
-    ]
-    looked_up = type_lookup(city_lookup(listings))
-    marked = looked_up.withColumn(VIOLATIONS, F.array_compact(F.array(*broken)))
+    return {
+        name: ~F.coalesce(checks[name], F.lit(False)) for name in RULES if name in rules
+    }
+
+
+def _looked_up(listings: DataFrame) -> DataFrame:
+    return type_lookup(city_lookup(listings))
+
+
+def with_violations(
+    listings: DataFrame, as_of: Column, rules: Collection[str] = RULES
+) -> DataFrame:
+    """The listings plus ``violations``, the names of the rules a row breaks."""
+    names = [F.when(broken, F.lit(name)) for name, broken in _broken(as_of, rules).items()]
+    marked = _looked_up(listings).withColumn(VIOLATIONS, F.array_compact(F.array(*names)))
     return marked.select(*listings.columns, VIOLATIONS)
 
 
@@ -151,15 +157,30 @@ def is_valid() -> Column:
     return F.size(VIOLATIONS) == 0
 
 
+def side() -> Column:
+    return F.when(is_valid(), F.lit(VALID)).otherwise(F.lit(QUARANTINED)).alias("side")
+
+
 def split(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Valid rows without the rule column, and quarantined rows with it."""
+    """Valid rows without the rule column, and quarantined rows with it.
+
+    Two plans over one input: each checks the rules again.  To check once, store
+    the marked rows by ``side`` (``store_split``).
+    """
     return marked.filter(is_valid()).drop(VIOLATIONS), marked.filter(~is_valid())
 
 
-def violation_counts(marked: DataFrame) -> DataFrame:
-    """Rows per broken rule."""
-    return (
-        marked.select(F.explode(VIOLATIONS).alias("rule"))
-        .groupBy("rule")
-        .agg(F.count(F.lit(1)).alias("row_count"))
-    )
+def violation_counts(
+    listings: DataFrame, as_of: Column, rules: Collection[str] = RULES
+) -> DataFrame:
+    """Rows per broken rule.
+
+    One counter per rule in a single aggregate, so a task sends one row, and
+    the counters become lines only at the end.
+    """
+    counters = [
+        F.count_if(broken).alias(name) for name, broken in _broken(as_of, rules).items()
+    ]
+    counts = _looked_up(listings).agg(*counters)
+    lines = counts.unpivot([], counts.columns, "rule", "row_count")
+    return lines.filter(F.col("row_count") > 0)

@@ -65,7 +65,8 @@ def base_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lineitem`` with its part, supplier, nation and region.
 
     No hints: Catalyst broadcasts the sides whose size allows it and sort-merges
-    the rest, where AQE splits a hot part or supplier.
+    the rest, where AQE splits a hot part or supplier.  Each table joins by
+    itself, since the size Catalyst guesses for a join of two is far too high.
     """
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
@@ -77,15 +78,12 @@ def base_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .select("n_nationkey", "n_name", "r_name")
     )
-    sellers = (
-        table(spark, sf_dir, "supplier")
-        .join(places, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select("s_suppkey", "s_name", "n_nationkey", "n_name", "r_name")
-    )
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     return (
         spread(lines)
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .join(sellers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(places, F.col("s_nationkey") == F.col("n_nationkey"))
     )
 
 
@@ -95,7 +93,7 @@ def flat_listings(spark: SparkSession, sf_dir: str, mapped: bool = False) -> Dat
     cities = {name: [row[i] for row in V.CITIES] for i, name in enumerate(("city", "state", "zip"))}
     kind = _mapped(col("p_type"), PART_TYPES) if mapped else col("p_type")
     seller = col("l_suppkey")
-    price = col("l_extendedprice")
+    price = F.floor("l_extendedprice").cast("double")
     first = F.lit(FIRST_MINUTE).cast("timestamp_ntz")
     minutes = F.pmod("l_orderkey", F.lit(1440))
     rows = base_rows(spark, sf_dir).withColumns(
@@ -139,7 +137,9 @@ def flat_listings(spark: SparkSession, sf_dir: str, mapped: bool = False) -> Dat
         (col("l_linestatus") == "F").alias("has_garage"),
         F.pmod("l_partkey", F.lit(4)).cast("int").alias("parking_spaces"),
         price.alias("price"),
-        pricing.unit_price(price, sqft).alias("price_per_sqft"),
+        # Whole dollars and 256ths add up exactly in any order, so averages over
+        # them can be compared bit for bit.
+        (F.floor(pricing.unit_price(price, sqft) * 256) / 256).alias("price_per_sqft"),
         (price * 0.8).alias("tax_assessment"),
         F.when(
             F.pmod("l_partkey", F.lit(10)) >= 3,

@@ -51,6 +51,7 @@ base AS (
     SELECT *,
         {MAPPED_TYPE if mapped else "p_type"} AS type,
         CAST(l_quantity * 100 AS INTEGER) AS sqft,
+        floor(l_extendedprice) AS price,
         ({AMENITIES})[1 + p_size % 4 : 2 + 2 * (p_size % 4)] AS amenities
     FROM lineitem
     JOIN part ON p_partkey = l_partkey
@@ -87,11 +88,11 @@ listing AS (
         CAST(l_partkey % 4 AS INTEGER) AS parking_spaces,
         CASE l_returnflag WHEN 'A' THEN 'A' WHEN 'N' THEN 'B' WHEN 'R' THEN 'C' END
             AS neighborhood_class,
-        l_extendedprice AS price,
-        CASE WHEN sqft > 0 THEN l_extendedprice / sqft END AS price_per_sqft,
-        l_extendedprice * CAST(0.8 AS DOUBLE) AS tax_assessment,
+        price,
+        CASE WHEN sqft > 0 THEN floor(price / sqft * 256) / 256 END AS price_per_sqft,
+        price * CAST(0.8 AS DOUBLE) AS tax_assessment,
         CASE WHEN l_partkey % 10 >= 3 THEN CAST(100 + l_partkey % 400 AS DOUBLE) END AS hoa_fee,
-        l_extendedprice * CAST(0.9 AS DOUBLE) AS last_sale_price,
+        price * CAST(0.9 AS DOUBLE) AS last_sale_price,
         strftime(l_shipdate - INTERVAL 2 YEAR, '%Y-%m-%d') AS last_sale_date,
         strftime(l_shipdate, '%Y-%m-%d') AS listing_date,
         CAST(date_diff('day', CAST(l_shipdate AS DATE), DATE '2002-01-01') AS INTEGER)
@@ -142,8 +143,9 @@ SELECT {_window("event_time")}, city, type,
     avg(price_per_sqft) AS avg_price_per_sqft
 FROM listing GROUP BY ALL"""
 
+EVENT_MEAN = f"{_exact_sum('value')} / count(*) AS avg_value"
 EVENT_SUMMARY = f"""
-SELECT {_window("ts")}, event_type, count(*) AS event_count, avg(value) AS avg_value
+SELECT {_window("ts")}, event_type, count(*) AS event_count, {EVENT_MEAN}
 FROM events GROUP BY ALL"""
 
 EVENT_DAYS = f"""
@@ -251,7 +253,7 @@ reached AS (
     GROUP BY a.arrival
 )
 SELECT window_start, window_start + INTERVAL 15 MINUTE AS window_end, event_type,
-    count(*) AS event_count, avg(value) AS avg_value
+    count(*) AS event_count, {EVENT_MEAN}
 FROM arrivals LEFT JOIN reached USING (arrival)
 WHERE (watermark IS NULL OR window_start + INTERVAL 15 MINUTE > watermark)
   AND window_start + INTERVAL 15 MINUTE
@@ -300,7 +302,7 @@ SELECT {_window("event_time")},
     avg({NOT_LOST.format("price_per_sqft")}) AS avg_price_per_sqft
 FROM listing GROUP BY ALL""",
     "events_window_summary": f"""
-SELECT {_window("ts")}, event_type, count(*) AS event_count, avg(value) AS avg_value,
+SELECT {_window("ts")}, event_type, count(*) AS event_count, {EVENT_MEAN},
     avg(CAST(json_extract_string(props, '$.k') AS INTEGER)) AS avg_k
 FROM events GROUP BY ALL""",
     "processing_time_summary": f"""WITH {PLAIN}
@@ -374,8 +376,8 @@ SELECT {LINE}, array_to_string(amenities[1:3], ', ') AS first_three,
 FROM listing""",
     "land_shape": f"""WITH {MAPPED}
 SELECT type, count(*) AS row_count, count(lot_size) AS lots,
-    CAST(sum(lot_size) AS BIGINT) AS lot_sqft, count(living_area) AS areas,
-    CAST(sum(living_area) AS BIGINT) AS living_sqft, CAST(sum(floors) AS BIGINT) AS floors
+    CAST(coalesce(sum(lot_size), 0) AS BIGINT) AS lot_sqft, count(living_area) AS areas,
+    CAST(coalesce(sum(living_area), 0) AS BIGINT) AS living_sqft, CAST(sum(floors) AS BIGINT) AS floors
 FROM listing GROUP BY ALL""",
     "quality_violations": f"""{CHECKED}
 SELECT rule, count(*) AS row_count

@@ -36,7 +36,7 @@ from parcelflow.plans.replay import (
 from parcelflow.schema import DAY_KEYS, LANDED, LANDED_KEYS
 from parcelflow.sinks.landing import BatchSink, landing_sink
 from parcelflow.sinks.messages import store
-from parcelflow.sinks.tables import add_batch, latest_per_key, replace_table
+from parcelflow.sinks.tables import add_batch, latest_per_key, replace_table, store_split
 from parcelflow.sources.landed import landed_table
 from parcelflow.sources.messages import file_messages, file_stream
 from parcelflow.streaming.progress import progress_table
@@ -138,24 +138,21 @@ def listing_window_summary_malformed(spark: SparkSession, sf_dir: str) -> DataFr
     return flat_window(listing_summary(_listing_rows(sent), EVENT_TIME))
 
 
-def _event_summary(events: DataFrame, width: str = "15 minutes") -> DataFrame:
-    return windowed_summary(
-        events,
-        "ts",
-        {"event_type": "event_type"},
-        [F.count(F.lit(1)).alias("event_count"), F.avg("value").alias("avg_value")],
-        width,
-    )
+def _event_measures() -> list[Column]:
+    """Event values have cents, whose double sum hangs on the order of the rows;
+    the exact sum over the count is the same mean in any order."""
+    mean = F.sum(F.col("value").cast("decimal(18,2)")).cast("double") / F.count("value")
+    return [F.count(F.lit(1)).alias("event_count"), mean.alias("avg_value")]
+
+
+def _event_summary(events: DataFrame) -> DataFrame:
+    return windowed_summary(events, "ts", {"event_type": "event_type"}, _event_measures())
 
 
 def events_window_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     props = F.from_json("props", "k INT").getField("k")
     events = timed_events(spark, sf_dir).select("ts", "event_type", "value", props.alias("k"))
-    measures = [
-        F.count(F.lit(1)).alias("event_count"),
-        F.avg("value").alias("avg_value"),
-        F.avg("k").alias("avg_k"),
-    ]
+    measures = [*_event_measures(), F.avg("k").alias("avg_k")]
     return flat_window(windowed_summary(events, "ts", {"event_type": "event_type"}, measures))
 
 
@@ -417,9 +414,9 @@ def land_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("type").agg(
         _rows(),
         F.count("lot_size").alias("lots"),
-        F.sum("lot_size").alias("lot_sqft"),
+        F.coalesce(F.sum("lot_size"), F.lit(0)).alias("lot_sqft"),
         F.count("living_area").alias("areas"),
-        F.sum("living_area").alias("living_sqft"),
+        F.coalesce(F.sum("living_area"), F.lit(0)).alias("living_sqft"),
         F.sum("floors").alias("floors"),
     )
 
@@ -435,32 +432,29 @@ SPLIT_RULES = tuple(
 )
 
 
-def _marked(spark: SparkSession, sf_dir: str, rules=quality.RULES) -> DataFrame:
-    keep = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return quality.with_violations(
-        fixture.listings(spark, sf_dir, mapped=True, keep=keep), fixture.as_of(), rules
-    )
+def _nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixture.listings(spark, sf_dir, mapped=True, keep=LINE)
 
 
 def quality_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.violation_counts(_marked(spark, sf_dir))
+    return quality.violation_counts(_nested(spark, sf_dir), fixture.as_of())
 
 
 def quality_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = quality.with_violations(_nested(spark, sf_dir), fixture.as_of())
     broken = F.array_join(quality.VIOLATIONS, ",").alias("violations")
-    return _marked(spark, sf_dir).select(*LINE, broken)
+    return marked.select(*LINE, broken)
 
 
 def quality_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows on either side of the split, by type."""
-    marked = _marked(spark, sf_dir, SPLIT_RULES)
-    kind = F.col("property_details.type").alias("type")
-    price = F.col("financials.price").alias("price")
-    valid, quarantined = quality.split(marked)
-    sides = valid.select(F.lit("valid").alias("side"), kind, price).union(
-        quarantined.select(F.lit("quarantined"), kind, price)
+    """Rows on either side of a stored split, by type."""
+    home = fresh_dir(spark, "quality")
+    marked = quality.with_violations(_nested(spark, sf_dir), fixture.as_of(), SPLIT_RULES)
+    store_split(marked, home)
+    sides = spark.read.schema(marked.schema.add("side", "string")).parquet(home)
+    return sides.groupBy("side", F.col("property_details.type").alias("type")).agg(
+        _rows(), _exact_sum("financials.price", "sum_price")
     )
-    return sides.groupBy("side", "type").agg(_rows(), _exact_sum("price", "sum_price"))
 
 
 # Routing and progress -----------------------------------------------------------------

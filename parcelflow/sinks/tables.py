@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelflow.operators.quality import side
 from parcelflow.sinks.landing import BatchSink
 
 
@@ -49,3 +50,8 @@ def latest_per_key(
     values = [name for name in emissions.columns if name not in (*keys, version)]
     newest = F.max_by(F.struct(*values), F.col(version)).alias("_newest")
     return emissions.groupBy(*keys).agg(newest).select(*keys, "_newest.*")
+
+
+def store_split(marked: DataFrame, path: str) -> None:
+    """Rule-checked rows under ``side=valid/`` and ``side=quarantined/``, in one pass."""
+    marked.withColumn("side", side()).write.partitionBy("side").parquet(path)

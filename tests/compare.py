@@ -29,13 +29,13 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def normal(frame: pd.DataFrame) -> list[tuple]:
-    """Rows with columns in name order, sorted; floats to 12 significant digits."""
+    """Rows with columns in name order, sorted; floats bit for bit."""
 
     def cell(value):
         if value is None or value is pd.NaT or value is pd.NA:
             return None
         if isinstance(value, float):
-            return None if math.isnan(value) else float(f"{value:.12g}")
+            return None if math.isnan(value) else value
         if isinstance(value, pd.Timestamp):
             return value.to_pydatetime()
         if hasattr(value, "item"):
