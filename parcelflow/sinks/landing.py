@@ -19,6 +19,7 @@ def land(
     run: str,
     batch_id: int,
     time_col: str = PROCESSING_TIME,
+    gather: bool | None = None,
     compression: str = "snappy",
     max_records_per_file: int | None = None,
 ) -> None:
@@ -29,8 +30,10 @@ def land(
     over at batch 0 from replacing what an earlier one landed.
 
     A batch stamped with its processing time holds one day and is written as it
-    is.  Under any other clock a batch can touch many days: rows are gathered
-    by day first, and AQE divides a day too big for one task.
+    is, without a shuffle.  Under any other clock a batch can touch many days, so
+    rows are gathered by day first, or every task would write a file per day; AQE
+    divides a day too big for one task and merges small ones.  ``gather`` says
+    otherwise, for instance to merge the many small tasks of a wide topic.
     """
     moment = F.col(time_col)
     keyed = batch.withColumns(
@@ -42,7 +45,9 @@ def land(
             "batch_id": F.lit(batch_id).cast("bigint"),
         }
     )
-    if time_col != PROCESSING_TIME:
+    if gather is None:
+        gather = time_col != PROCESSING_TIME
+    if gather:
         keyed = keyed.hint("rebalance", *DAY_KEYS)
     writer = (
         keyed.write.mode("overwrite")
