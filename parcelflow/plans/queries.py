@@ -26,13 +26,7 @@ from parcelflow.operators.timecols import (
     watermarked,
 )
 from parcelflow.plans import listings as fixture
-from parcelflow.plans.replay import (
-    EVENTS,
-    half_of_files,
-    replay,
-    time_cuts,
-    timed_events,
-)
+from parcelflow.plans.replay import EVENTS, event_cuts, half_of_files, replay, timed_events
 from parcelflow.schema import DAY_KEYS, LANDED, LANDED_KEYS
 from parcelflow.sinks.landing import BatchSink, landing_sink
 from parcelflow.sinks.messages import store
@@ -207,14 +201,14 @@ def _replayed_event_summary(
 def stream_append_closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append mode gives a window once, when the watermark has passed its end."""
     home = fresh_dir(spark, "stream-append")
-    cuts = time_cuts(timed_events(spark, sf_dir), F.col("ts"))
+    cuts = event_cuts(spark, sf_dir)
     return _replayed_event_summary(spark, home, cuts, "append").drop("batch_id")
 
 
 def stream_update_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Update mode gives changed groups again; the newest of each is the result."""
     home = fresh_dir(spark, "stream-update")
-    cuts = time_cuts(timed_events(spark, sf_dir), F.col("ts"))
+    cuts = event_cuts(spark, sf_dir)
     emissions = _replayed_event_summary(spark, home, cuts, "update")
     return latest_per_key(emissions, ["window_start", "window_end", "event_type"])
 
@@ -223,10 +217,10 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every 20th event arrives one cut late.  In append mode it counts only if its
     window was still open at the watermark the earlier cuts had reached."""
     home = fresh_dir(spark, "stream-late")
-    events = timed_events(spark, sf_dir)
     held = F.pmod("event_id", F.lit(20)) == 0
-    prompt = time_cuts(events.filter(~held), F.col("ts"))
-    late = time_cuts(events.filter(held), F.col("ts"))
+    pieces = event_cuts(spark, sf_dir)
+    prompt = [piece.filter(~held) for piece in pieces]
+    late = [piece.filter(held) for piece in pieces]
     cuts = [prompt[0], prompt[1].union(late[0]), prompt[2].union(late[1]).union(late[2])]
     return _replayed_event_summary(spark, home, cuts, "append").drop("batch_id")
 
@@ -248,7 +242,7 @@ def _land_events(spark: SparkSession, home: str, sink: BatchSink) -> None:
 def landing_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events landed by their own day, read back."""
     home = fresh_dir(spark, "landing")
-    for cut in time_cuts(timed_events(spark, sf_dir), F.col("ts")):
+    for cut in event_cuts(spark, sf_dir):
         store(cut, f"{home}/in")
     _land_events(spark, home, landing_sink(f"{home}/data", "ts"))
     landed = landed_table(spark, f"{home}/data", f"{EVENTS}, {LANDED_KEYS}")
@@ -264,7 +258,7 @@ def landing_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same, but the job dies after a write and before its commit, and the
     query is started again.  No row may be lost or landed twice."""
     home = fresh_dir(spark, "landing-retry")
-    for cut in time_cuts(timed_events(spark, sf_dir), F.col("ts")):
+    for cut in event_cuts(spark, sf_dir):
         store(cut, f"{home}/in")
     land = landing_sink(f"{home}/data", "ts")
 

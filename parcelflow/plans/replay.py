@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -19,18 +19,31 @@ EVENTS = """
 CUTS = ("2024-01-11", "2024-01-21")
 
 
-def timed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` with a zoned time, which watermarks require."""
-    events = table(spark, sf_dir, "events")
+def zoned(events: DataFrame) -> DataFrame:
+    """``ts`` as a time with zone, which watermarks require."""
     return events.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def time_cuts(df: DataFrame, column: Column, bounds: Sequence[str] = CUTS) -> list[DataFrame]:
-    """``df`` in consecutive pieces; the first and last are open-ended."""
-    edges = [F.lit(bound).cast("timestamp") for bound in bounds]
-    after = [F.lit(True), *[column >= edge for edge in edges]]
-    before = [*[column < edge for edge in edges], F.lit(True)]
-    return [df.filter(low & high) for low, high in zip(after, before)]
+def timed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zoned(table(spark, sf_dir, "events"))
+
+
+def time_cuts(
+    events: DataFrame, column: str = "ts", bounds: Sequence[str] = CUTS
+) -> list[DataFrame]:
+    """Consecutive pieces by a zone-free time; the first and last are open-ended.
+
+    Cut before any cast, so the bounds reach the scan.
+    """
+    time = F.col(column)
+    edges = [F.lit(bound).cast("timestamp_ntz") for bound in bounds]
+    after = [F.lit(True), *[time >= edge for edge in edges]]
+    before = [*[time < edge for edge in edges], F.lit(True)]
+    return [events.filter(low & high) for low, high in zip(after, before)]
+
+
+def event_cuts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    return [zoned(cut) for cut in time_cuts(table(spark, sf_dir, "events"))]
 
 
 def replay(

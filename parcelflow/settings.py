@@ -36,8 +36,8 @@ class Settings:
     s3_endpoint: str | None = None
     s3_access_key: str | None = None
     s3_secret_key: str | None = None
-    landing_interval: str = "5 minutes"
-    analytics_interval: str = "1 minute"
+    landing_interval: str | None = "5 minutes"
+    analytics_interval: str | None = "1 minute"
     analytics_mode: str = "update"
 
     @property
@@ -63,6 +63,8 @@ class Settings:
             s3_endpoint=env.get("S3_ENDPOINT"),
             s3_access_key=env.get("S3_ACCESS_KEY"),
             s3_secret_key=env.get("S3_SECRET_KEY"),
+            landing_interval=env.get("LANDING_INTERVAL", "5 minutes"),
+            analytics_interval=env.get("ANALYTICS_INTERVAL", "1 minute"),
             analytics_mode=env.get("ANALYTICS_MODE", "update"),
         )
 

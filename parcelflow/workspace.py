@@ -9,19 +9,20 @@ from pyspark.sql import SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
+    """The folder the cluster names in ``spark.checkpoint.dir``, else the one the
+    application has set for its checkpoints.
 
-    Only a local-mode session may fall back to this machine's temporary
-    folder: on a cluster other machines could not read it.
+    Only where neither is set, and only in local mode, is it this machine's
+    temporary folder: on a cluster other machines could not read that.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="parcelflow-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not root:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="parcelflow-"))
+        root = context.getCheckpointDir()
+    return root.rstrip("/")
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:

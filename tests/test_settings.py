@@ -1,0 +1,114 @@
+import pytest
+
+from parcelflow.settings import (
+    RUNTIME_CONF,
+    SESSION_CONF,
+    Settings,
+    build_session,
+    object_store_conf,
+    tune,
+)
+from parcelflow.sinks.messages import kafka_sink_options
+from parcelflow.sources.messages import kafka_options
+from parcelflow.workspace import fresh_dir, shared_root
+
+
+def test_kafka_source_defaults():
+    assert kafka_options(Settings.from_env({})) == {
+        "kafka.bootstrap.servers": "kafka-1:9092,kafka-2:9092,kafka-3:9092",
+        "subscribe": "real-estate-listings",
+        "startingOffsets": "latest",
+        "maxOffsetsPerTrigger": "10000",
+        "failOnDataLoss": "false",
+    }
+
+
+def test_kafka_source_from_the_environment():
+    env = {
+        "KAFKA_BROKERS": "b:1", "TOPIC_NAME": "t", "STARTING_OFFSETS": "earliest",
+        "MAX_OFFSETS_PER_TRIGGER": "", "MIN_PARTITIONS": "200",
+    }
+    assert kafka_options(Settings.from_env(env)) == {
+        "kafka.bootstrap.servers": "b:1", "subscribe": "t", "startingOffsets": "earliest",
+        "failOnDataLoss": "false", "minPartitions": "200",
+    }
+
+
+def test_kafka_sink():
+    options = kafka_sink_options(Settings(brokers="b:1", topic="t"))
+    assert options["kafka.bootstrap.servers"] == "b:1" and options["topic"] == "t"
+    assert options["kafka.acks"] == "all" and options["kafka.compression.type"] == "snappy"
+
+
+def test_no_default_secrets():
+    conf = object_store_conf(Settings.from_env({}))
+    assert not [name for name in conf if "key" in name]
+    settings = Settings.from_env(
+        {"S3_ENDPOINT": "http://store:9000", "S3_ACCESS_KEY": "a", "S3_SECRET_KEY": "s",
+         "S3_BUCKET": "b"}
+    )
+    conf = object_store_conf(settings)
+    assert conf["spark.hadoop.fs.s3a.endpoint"] == "http://store:9000"
+    assert conf["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "false"
+    assert conf["spark.hadoop.fs.s3a.access.key"] == "a"
+    assert settings.landing_path == "s3a://b/data"
+    assert settings.checkpoint_root == "s3a://b/checkpoints"
+
+
+def test_other_stores_need_no_object_store_options():
+    settings = Settings.from_env({"BASE_PATH": "hdfs:///feeds"})
+    assert object_store_conf(settings) == {}
+    assert settings.landing_path == "hdfs:///feeds/data"
+
+
+def test_session_leaves_sizing_to_the_caller(spark):
+    sized = ("executor", "shuffle.partitions", "memory", "cores")
+    assert not [name for name in SESSION_CONF if any(word in name for word in sized)]
+    session = build_session(Settings(base_path="/tmp"), sizing={"spark.sql.files.openCostInBytes": "1"})
+    assert session.conf.get("spark.sql.files.openCostInBytes") == "1"
+    session.conf.unset("spark.sql.files.openCostInBytes")
+    for name in SESSION_CONF:
+        if name not in RUNTIME_CONF and "stateStore" in name:
+            session.conf.unset(name)
+
+
+def test_tune_sets_what_results_depend_on(spark):
+    tune(spark)
+    assert all(spark.conf.get(name) == value for name, value in RUNTIME_CONF.items())
+
+
+class Session:
+    """As much of a session as the workspace looks at."""
+
+    def __init__(self, master, named=None, chosen=None):
+        self.conf = {"spark.checkpoint.dir": named} if named else {}
+        self.sparkContext = self
+        self.master, self.chosen = master, chosen
+
+    def getCheckpointDir(self):
+        return self.chosen
+
+    def setCheckpointDir(self, folder):
+        self.chosen = f"{folder}/id"
+
+
+def test_workspace_is_the_folder_the_cluster_names():
+    session = Session("yarn", "/shared/folder/", "/other")
+    assert shared_root(session) == "/shared/folder"
+    first, second = fresh_dir(session, "x"), fresh_dir(session, "x")
+    assert first != second and first.startswith("/shared/folder/parcelflow/x-")
+    assert shared_root(Session("yarn", chosen="/other")) == "/other"
+
+
+def test_workspace_refuses_a_machine_local_folder_on_a_cluster():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_root(Session("yarn"))
+
+
+def test_workspace_in_local_mode_makes_one_folder():
+    session = Session("local[2]")
+    assert shared_root(session) == shared_root(session) == session.chosen
+
+
+def test_workspace_of_a_real_session(spark):
+    assert fresh_dir(spark, "x").startswith(shared_root(spark))
