@@ -235,6 +235,12 @@ def _broken(left_out: tuple[str, ...] = ()) -> str:
     )
 
 
+QUALITY_SPLIT = f"""{CHECKED}
+SELECT CASE WHEN concat_ws(',', {_broken(("property_id", "price_near_estimate", "listing_date"))}) = ''
+            THEN 'valid' ELSE 'quarantined' END AS side,
+    type, count(*) AS row_count, {_exact_sum("price")} AS sum_price
+FROM looked_up GROUP BY ALL"""
+
 LATE = f"""
 WITH arrivals AS (
     SELECT *, cut + CASE WHEN event_id % 20 = 0 AND cut < 2 THEN 1 ELSE 0 END AS arrival,
@@ -314,6 +320,10 @@ SELECT * FROM ({EVENT_SUMMARY})
 WHERE window_end <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""",
     "stream_update_upsert": EVENT_SUMMARY,
     "stream_late_rows": LATE,
+    "stream_price_estimate": f"""{CHECKED}
+SELECT property_id, city, c_state AS city_state, type, estimate AS price_estimate
+FROM looked_up""",
+    "stream_quality_split": QUALITY_SPLIT,
     "landing_partitions": f"""{EVENT_DAYS},
     min(event_id) AS first_event, max(event_id) AS last_event
 FROM events GROUP BY ALL""",
@@ -385,11 +395,7 @@ FROM (SELECT unnest([{_broken()}]) AS rule FROM looked_up)
 WHERE rule IS NOT NULL GROUP BY ALL""",
     "quality_rows": f"""{CHECKED}
 SELECT {LINE}, concat_ws(',', {_broken()}) AS violations FROM looked_up""",
-    "quality_split": f"""{CHECKED}
-SELECT CASE WHEN concat_ws(',', {_broken(("property_id", "price_near_estimate", "listing_date"))}) = ''
-            THEN 'valid' ELSE 'quarantined' END AS side,
-    type, count(*) AS row_count, {_exact_sum("price")} AS sum_price
-FROM looked_up GROUP BY ALL""",
+    "quality_split": QUALITY_SPLIT,
     "route_by_key": f"""WITH {MAPPED}
 SELECT city AS key, count(*) AS row_count, {ROUTE_PARTITION} AS partition
 FROM listing GROUP BY ALL""",

@@ -30,7 +30,7 @@ from parcelflow.plans.replay import EVENTS, event_cuts, half_of_files, replay, t
 from parcelflow.schema import DAY_KEYS, LANDED, LANDED_KEYS
 from parcelflow.sinks.landing import BatchSink, landing_sink
 from parcelflow.sinks.messages import store
-from parcelflow.sinks.tables import add_batch, latest_per_key, replace_table, store_split
+from parcelflow.sinks.tables import add_batch, latest_per_key, replace_table, split_sink, store_split
 from parcelflow.sources.landed import landed_table
 from parcelflow.sources.messages import file_messages, file_stream
 from parcelflow.streaming.progress import progress_table
@@ -225,6 +225,48 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _replayed_event_summary(spark, home, cuts, "append").drop("batch_id")
 
 
+def _listing_feed(spark: SparkSession, sf_dir: str, home: str) -> DataFrame:
+    """The listing messages as a stream of two batches."""
+    store(fixture.messages(spark, sf_dir, mapped=True), f"{home}/in")
+    limit = half_of_files(file_messages(spark, f"{home}/in"))
+    return file_stream(spark, f"{home}/in", max_files_per_trigger=limit)
+
+
+def stream_price_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both lookups joined to a stream, and the estimate from them.  Messages on
+    land carry no area, so these have none."""
+    home = fresh_dir(spark, "stream-estimate")
+    rows = type_lookup(city_lookup(decode(_listing_feed(spark, sf_dir, home))))
+    estimate = pricing.price_estimate(
+        F.col("property_details.living_area"),
+        F.col("type_base_price_per_sqft"),
+        F.col("city_price_multiplier"),
+        F.col("property_details.bedrooms"),
+        times.years_since(F.col("property_details.year_built"), fixture.as_of()),
+        F.col("property_details.neighborhood_class"),
+    )
+    priced = rows.select(
+        "property_id",
+        F.col("address.city").alias("city"),
+        "city_state",
+        F.col("property_details.type").alias("type"),
+        estimate.alias("price_estimate"),
+    )
+    run_to_end(
+        start_to_sink(priced, add_batch(f"{home}/out"), "estimate", f"{home}/checkpoint")
+    )
+    return spark.read.schema(priced.schema).parquet(f"{home}/out").drop("batch_id")
+
+
+def stream_quality_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rule check and the split on a stream."""
+    home = fresh_dir(spark, "stream-quality")
+    rows = decode(_listing_feed(spark, sf_dir, home))
+    marked = quality.with_violations(rows, fixture.as_of(), SPLIT_RULES)
+    run_to_end(start_to_sink(marked, split_sink(f"{home}/out"), "split", f"{home}/checkpoint"))
+    return _sides(spark, f"{home}/out", marked)
+
+
 # Landing -----------------------------------------------------------------------------
 
 
@@ -280,9 +322,7 @@ def landing_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landing_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decoded listings landed by record time; nested columns read back whole."""
     home = fresh_dir(spark, "landing-listings")
-    store(fixture.messages(spark, sf_dir, mapped=True), f"{home}/in")
-    limit = half_of_files(file_messages(spark, f"{home}/in"))
-    feed = file_stream(spark, f"{home}/in", max_files_per_trigger=limit)
+    feed = _listing_feed(spark, sf_dir, home)
     records = stamp_record_time(decode(feed, keep=[_message_time()]), fallback=MESSAGE_TIME)
     rows = stamp_processing_time(records.drop(MESSAGE_TIME))
     sink = landing_sink(f"{home}/data", EVENT_TIME)
@@ -445,7 +485,11 @@ def quality_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     home = fresh_dir(spark, "quality")
     marked = quality.with_violations(_nested(spark, sf_dir), fixture.as_of(), SPLIT_RULES)
     store_split(marked, home)
-    sides = spark.read.schema(marked.schema.add("side", "string")).parquet(home)
+    return _sides(spark, home, marked)
+
+
+def _sides(spark: SparkSession, path: str, marked: DataFrame) -> DataFrame:
+    sides = spark.read.schema(marked.schema.add("side", "string")).parquet(path)
     return sides.groupBy("side", F.col("property_details.type").alias("type")).agg(
         _rows(), _exact_sum("financials.price", "sum_price")
     )
@@ -490,6 +534,8 @@ QUERIES: dict[str, Query] = {
     "stream_append_closed_windows": stream_append_closed_windows,
     "stream_update_upsert": stream_update_upsert,
     "stream_late_rows": stream_late_rows,
+    "stream_price_estimate": stream_price_estimate,
+    "stream_quality_split": stream_quality_split,
     "landing_partitions": landing_partitions,
     "landing_retry": landing_retry,
     "landing_listings": landing_listings,

@@ -25,20 +25,37 @@ def replace_table(path: str) -> BatchSink:
 
 
 def add_batch(path: str) -> BatchSink:
-    """Append or update mode: every batch replaces its own directory only."""
+    """Append or update mode: every batch replaces its own directory only.
+
+    One path belongs to one checkpoint, since batch numbers start over with a new
+    one.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        _replace_batch(batch, path, batch_id)
+
+    return write
+
+
+def split_sink(path: str) -> BatchSink:
+    """Rule-checked rows of a stream under ``side=/batch_id=``, in one pass."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        numbered = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        (
-            numbered.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(path)
-        )
+        _replace_batch(batch.withColumn("side", side()), path, batch_id, "side")
 
     return write
 
 
+def _replace_batch(batch: DataFrame, path: str, batch_id: int, *outer: str) -> None:
+    numbered = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    (
+        numbered.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*outer, "batch_id")
+        .parquet(path)
+    )
+
+
 def latest_per_key(
     emissions: DataFrame, keys: Sequence[str], version: str = "batch_id"
 ) -> DataFrame:
