@@ -63,13 +63,18 @@ def land(
 def query_id(batch: DataFrame) -> str:
     """The id of the streaming query that runs this batch; it outlives restarts
     from the same checkpoint and changes with a new one."""
-    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    found = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not found:
+        raise ValueError("no streaming query runs here: name the run")
+    return found
 
 
-def landing_sink(path: str, time_col: str = PROCESSING_TIME, **options) -> BatchSink:
-    """The callback for ``foreachBatch``."""
+def landing_sink(
+    path: str, time_col: str = PROCESSING_TIME, run: str | None = None, **options
+) -> BatchSink:
+    """The callback for ``foreachBatch``; the run is the query's id unless named."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        land(batch, path, query_id(batch), batch_id, time_col, **options)
+        land(batch, path, run or query_id(batch), batch_id, time_col, **options)
 
     return write

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -54,10 +56,11 @@ def run_to_end(query: StreamingQuery) -> StreamingQuery:
     return query
 
 
-def await_any(spark: SparkSession) -> None:
-    """Block until some query ends, raise its failure, and stop the others."""
+def await_any(spark: SparkSession, queries: Iterable[StreamingQuery]) -> None:
+    """Block until some query of the session ends, raise its failure, and stop the
+    given ones."""
     try:
         spark.streams.awaitAnyTermination()
     finally:
-        for query in spark.streams.active:
+        for query in queries:
             query.stop()

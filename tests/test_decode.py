@@ -81,9 +81,20 @@ def damaged_texts():
     for i in range(len(whole)):
         yield from (whole[:i] + c + whole[i + 1:] for c in '}{",:[]x1 ')
     yield from (None, "", "[1]", "{}", "null", "{" + whole, whole + "}")
-    for outer in ("address", "property_details", "financials", "agent", "location"):
-        for odd in (5, "x", None, [], {}, [1]):
+    yield from (f"[{whole}]", f"[{whole},{whole}]", whole + whole, f" {whole} x", "\ufeff" + whole)
+    odd_values = (5, 1.5, -0.0, 1e308, 10**30, "x", "\t\u0000é", "", True, None, [], {}, [1], {"a": [1]})
+    for outer, part in RECORD.items():
+        for odd in odd_values:
             yield text(**{outer: odd})
+            for inner in part if isinstance(part, dict) else ():
+                yield text(**{f"{outer}__{inner}": odd})
+    for raw in ("NaN", "Infinity", "-INF", "1e999", "01", "'x'", "/*c*/1", '"\t"', '"\\q"', "[1,]"):
+        for old in ('"price":566280.0', '"type":"House"', '"bedrooms":3', '"id":"AGT-00007"',
+                    '"walk_score":50', '"latitude":1.5'):
+            yield whole.replace(old, f"{old.split(':')[0]}:{raw}")
+    for name in ("address", "agent", "financials"):
+        yield whole.replace("{", '{"%s":{"city":"Twice","price":1},' % name, 1)
+        yield whole.replace("{", '{"extra":{"%s":[{"b":[]}]},' % name, 1)
 
 
 def test_pruned_decode_equals_whole_decode_on_any_damage(spark):

@@ -177,9 +177,9 @@ def test_failure_of_either_query_surfaces(spark, tmp_path):
     idle = start_to_sink(
         rows, lambda b, i: None, "idle", str(tmp_path / "cp"), interval="1 hour"
     )
-    start_to_sink(rows, broken, "broken", str(tmp_path / "cp"), interval="1 hour")
+    failing = start_to_sink(rows, broken, "broken", str(tmp_path / "cp"), interval="1 hour")
     with pytest.raises(Exception, match="no disk"):
-        await_any(spark)
+        await_any(spark, [idle, failing])
     assert not idle.isActive
     spark.streams.resetTerminated()
 
@@ -219,6 +219,14 @@ def test_retry_after_a_failed_commit_lands_nothing_twice(spark, tmp_path):
     assert before == after
 
 
+def test_the_run_must_be_named_outside_a_query(spark, tmp_path):
+    rows = spark.sql("SELECT 1 AS n, current_timestamp() AS processing_timestamp")
+    with pytest.raises(ValueError, match="name the run"):
+        landing_sink(str(tmp_path / "data"))(rows, 0)
+    landing_sink(str(tmp_path / "data"), run="backfill")(rows, 0)
+    assert spark.read.parquet(str(tmp_path / "data")).first().run == "backfill"
+
+
 def test_a_fresh_checkpoint_does_not_replace_what_was_landed(spark, tmp_path):
     rows = job.landing_rows(feed(spark, tmp_path))
     for n in range(2):
