@@ -34,7 +34,7 @@ from parcelflow.sinks.tables import add_batch, latest_per_key, replace_table, sp
 from parcelflow.sources.landed import landed_table
 from parcelflow.sources.messages import file_messages, file_stream
 from parcelflow.streaming.progress import progress_table
-from parcelflow.streaming.runner import run_to_end, start_to_sink
+from parcelflow.streaming.runner import SUMMARY_PARTITIONS, run_to_end, start_to_sink
 from parcelflow.workspace import fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -172,9 +172,11 @@ def stream_complete_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     summary = flat_window(
         listing_summary(watermarked(_listing_rows(feed), EVENT_TIME), EVENT_TIME)
     )
+    sink = replace_table(f"{home}/out")
     run_to_end(
         start_to_sink(
-            summary, replace_table(f"{home}/out"), "complete", f"{home}/checkpoint", "complete"
+            summary, sink, "complete", f"{home}/checkpoint", "complete",
+            partitions=SUMMARY_PARTITIONS,
         )
     )
     return spark.read.schema(summary.schema).parquet(f"{home}/out")
@@ -191,7 +193,9 @@ def _replayed_event_summary(
     def start() -> StreamingQuery:
         summary = summarise(file_stream(spark, f"{home}/in", EVENTS))
         sink = add_batch(f"{home}/out")
-        return start_to_sink(summary, sink, mode, f"{home}/checkpoint", mode)
+        return start_to_sink(
+            summary, sink, mode, f"{home}/checkpoint", mode, partitions=SUMMARY_PARTITIONS
+        )
 
     replay(cuts, f"{home}/in", start)
     emitted = summarise(cuts[0]).schema.add("batch_id", "long")

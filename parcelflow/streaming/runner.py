@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -25,6 +26,26 @@ def _timed(writer: DataStreamWriter, interval: str | None) -> DataStreamWriter:
     return writer.trigger(availableNow=True)
 
 
+# A window holds at most cities x types groups, and partial aggregation leaves at
+# most that many rows per task to shuffle.  So the state stays small however many
+# rows the feed has, and a few partitions serve it.
+SUMMARY_PARTITIONS = 8
+
+
+@contextmanager
+def _state_partitions(spark: SparkSession, count: int | None) -> Iterator[None]:
+    """A stateful query takes its partition count when it first starts and keeps it
+    in its checkpoint, so the session's setting can be put back right after."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    if count:
+        spark.conf.set(name, count)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def start_to_sink(
     df: DataFrame,
     sink: BatchSink,
@@ -32,9 +53,12 @@ def start_to_sink(
     checkpoint_root: str,
     mode: str = "append",
     interval: str | None = None,
+    partitions: int | None = None,
 ) -> StreamingQuery:
+    """``partitions`` is the number of state partitions; by default the session's."""
     writer = _named(df, name, mode, checkpoint_root).foreachBatch(sink)
-    return _timed(writer, interval).start()
+    with _state_partitions(df.sparkSession, partitions):
+        return _timed(writer, interval).start()
 
 
 def start_to_console(
@@ -43,11 +67,13 @@ def start_to_console(
     checkpoint_root: str,
     mode: str = "update",
     interval: str | None = None,
+    partitions: int | None = None,
     rows: int = 20,
 ) -> StreamingQuery:
     writer = _named(df, name, mode, checkpoint_root).format("console")
     writer = writer.option("truncate", "false").option("numRows", rows)
-    return _timed(writer, interval).start()
+    with _state_partitions(df.sparkSession, partitions):
+        return _timed(writer, interval).start()
 
 
 def run_to_end(query: StreamingQuery) -> StreamingQuery:

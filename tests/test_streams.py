@@ -112,6 +112,22 @@ def test_window_offset(spark):
     assert by_window(flat_window(summary)) == [("00:10", 1)]
 
 
+def test_state_partitions_are_the_query_s_own(spark, tmp_path):
+    """Set for the query alone, and kept by its checkpoint."""
+    write_files(tmp_path / "in", D1)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    feed = file_stream(spark, str(tmp_path / "in"), "ts TIMESTAMP")
+    summary = windowed_summary(feed, "ts", {}, [F.count(F.lit(1)).alias("n")])
+    sink = replace_table(str(tmp_path / "out"))
+    query = start_to_sink(
+        flat_window(summary), sink, "s", str(tmp_path / "cp"), "complete", partitions=3
+    )
+    run_to_end(query)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    state = query.lastProgress.stateOperators[0]
+    assert state.numShufflePartitions == 3
+
+
 # The two queries of the job ----------------------------------------------------------
 
 
