@@ -408,6 +408,17 @@ loads AS (
 SELECT partition, CAST(row_count AS BIGINT) AS row_count, key_count,
     CAST(row_count * 6 AS DOUBLE) / (SELECT sum(row_count) FROM loads) AS skew
 FROM loads""",
+    "hot_keys": f"""WITH {MAPPED},
+counts AS (
+    SELECT CASE WHEN l_orderkey % 3 = 0 THEN 'Phoenix' ELSE city END AS key,
+        count(*) AS row_count
+    FROM listing GROUP BY ALL
+),
+shares AS (
+    SELECT *, CAST(row_count * 6 AS DOUBLE) / (SELECT sum(row_count) FROM counts) AS share
+    FROM counts
+)
+SELECT key, row_count, CAST(ceil(share * 4) AS BIGINT) AS ways FROM shares WHERE share > 1""",
     "query_progress": """
 SELECT 'feed' AS query, count(*) AS input_rows, true AS has_rate FROM events""",
 }

@@ -4,7 +4,14 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from parcelflow.operators.routing import route, routing_report, rows_per_key, topic_partition
+from parcelflow.operators.routing import (
+    hot_keys,
+    route,
+    route_evenly,
+    routing_report,
+    rows_per_key,
+    topic_partition,
+)
 
 N = 3000
 
@@ -31,6 +38,30 @@ def test_a_hot_key_can_be_spread(rows):
     assert spread.exceptAll(rows).count() == 0
 
 
+def test_hot_keys_are_found_and_divided(rows):
+    hot = hot_keys(rows, 6, "key").collect()
+    assert [(r.key, r.row_count, r.ways) for r in hot] == [("hot", N // 3, 8)]
+    even = route_evenly(rows, 6, "key", "id")
+    found = Counter(r.key for r in placement(even))
+    assert found.pop("hot") > 2 and set(found.values()) == {1}
+    assert even.exceptAll(rows).count() == 0 and even.count() == N
+
+    def largest(df):
+        return max(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+
+    assert largest(even) < largest(route(rows, 6, "key"))
+
+
+def test_rows_without_a_key_can_be_the_hot_ones(rows):
+    bare = rows.withColumn("key", F.when(F.col("key") != "hot", F.col("key")))
+    assert [(r.key, r.ways) for r in hot_keys(bare, 6, "key").collect()] == [(None, 8)]
+    even = route_evenly(bare, 6, "key", "id")
+    assert Counter(r.key for r in placement(even))[None] > 2
+    assert even.count() == N
+    report = {r.partition: r.row_count for r in routing_report(bare, 6, "key").collect()}
+    assert report[None] == N // 3 and sum(report.values()) == N
+
+
 def test_topic_partition_is_the_same_in_any_engine(spark):
     keys = ["", "Dallas", "San José", "k1"]
     df = spark.createDataFrame([(k,) for k in keys], "key STRING")
