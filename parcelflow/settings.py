@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
+# Where the feed and its store are by default.
 DEFAULT_BROKERS = "kafka-1:9092,kafka-2:9092,kafka-3:9092"
 DEFAULT_TOPIC = "real-estate-listings"
 DEFAULT_BUCKET = "real-estate-data"

@@ -58,35 +58,37 @@ D1 = [["10:01"], ["12:00"], ["10:02", "12:01"], ["15:00"]]
 D2 = [["10:01"], ["12:00"], ["12:01"], ["10:02", "12:02"], ["15:00"], ["15:01"]]
 
 
-@pytest.fixture(params=["default", "rocksdb"])
-def state_store(spark, request):
-    """Either state backend must give the same."""
-    if request.param == "rocksdb":
-        if request.node.callspec.params["batches"] is D1:
-            pytest.skip("one replay per mode is enough")
-        spark.conf.set(PROVIDER, SESSION_CONF[PROVIDER])
-    yield request.param
+CASES = [
+    (D1, "complete", [("10:00", 2), ("12:00", 2), ("15:00", 1)]),
+    (D1, "append", [("10:00", 2), ("12:00", 2)]),
+    (D1, "update", [("10:00", 1), ("10:00", 2), ("12:00", 1), ("12:00", 2), ("15:00", 1)]),
+    (D2, "complete", [("10:00", 2), ("12:00", 3), ("15:00", 2)]),
+    (D2, "append", [("10:00", 1), ("12:00", 3)]),
+    (D2, "update", [("10:00", 1), ("12:00", 1), ("12:00", 2), ("12:00", 3),
+                    ("15:00", 1), ("15:00", 2)]),
+]
+
+
+@pytest.fixture
+def rocksdb(spark):
+    spark.conf.set(PROVIDER, SESSION_CONF[PROVIDER])
+    yield
     spark.conf.unset(PROVIDER)
 
 
-@pytest.mark.parametrize(
-    "batches, mode, expected",
-    [
-        (D1, "complete", [("10:00", 2), ("12:00", 2), ("15:00", 1)]),
-        (D1, "append", [("10:00", 2), ("12:00", 2)]),
-        (D1, "update", [("10:00", 1), ("10:00", 2), ("12:00", 1), ("12:00", 2), ("15:00", 1)]),
-        (D2, "complete", [("10:00", 2), ("12:00", 3), ("15:00", 2)]),
-        (D2, "append", [("10:00", 1), ("12:00", 3)]),
-        (D2, "update", [("10:00", 1), ("12:00", 1), ("12:00", 2), ("12:00", 3),
-                        ("15:00", 1), ("15:00", 2)]),
-    ],
-)
-def test_late_rows(spark, tmp_path, state_store, batches, mode, expected):
+@pytest.mark.parametrize("batches, mode, expected", CASES)
+def test_late_rows(spark, tmp_path, batches, mode, expected):
     """The row right behind a watermark move still counts; one batch later it is late."""
     write_files(tmp_path / "in", batches)
     assert by_window(emissions(spark, tmp_path, mode)) == expected
 
 
+@pytest.mark.parametrize("batches, mode, expected", CASES[3:])
+def test_late_rows_in_the_job_s_state_store(spark, tmp_path, rocksdb, batches, mode, expected):
+    write_files(tmp_path / "in", batches)
+    assert by_window(emissions(spark, tmp_path, mode)) == expected
+
+
 def test_upsert_view_of_update_mode(spark, tmp_path):
     write_files(tmp_path / "in", D1)
     latest = latest_per_key(emissions(spark, tmp_path, "update"), ["window_start", "window_end"])
