@@ -320,6 +320,10 @@ SELECT * FROM ({EVENT_SUMMARY})
 WHERE window_end <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""",
     "stream_update_upsert": EVENT_SUMMARY,
     "stream_late_rows": LATE,
+    "stream_processing_time_summary": f"""WITH {MAPPED}
+SELECT {NOT_LOST.format("city")} AS city, {NOT_LOST.format("type")} AS type,
+    count(*) AS listing_count, bool_or(l_orderkey % 97 > 1) AS has_price
+FROM listing GROUP BY ALL""",
     "stream_price_estimate": f"""{CHECKED}
 SELECT property_id, city, c_state AS city_state, type, estimate AS price_estimate
 FROM looked_up""",
@@ -332,6 +336,10 @@ FROM events GROUP BY ALL""",
 SELECT {DAY.format("event_time")}, city, type, count(*) AS row_count,
     {_exact_sum("price")} AS sum_price, CAST(sum(len(amenities)) AS BIGINT) AS amenities,
     count(living_area) AS living_areas, count(*) AS stamped
+FROM listing GROUP BY ALL""",
+    "landing_processing_time": f"""WITH {MAPPED}
+SELECT {NOT_LOST.format("city")} AS city, {NOT_LOST.format("type")} AS type,
+    count(*) AS row_count, count(*) AS on_their_day
 FROM listing GROUP BY ALL""",
     "city_lookup": f"""WITH {CITY_DIM}, {MAPPED},
 half AS (

@@ -33,6 +33,7 @@ from parcelflow.sinks.messages import store
 from parcelflow.sinks.tables import add_batch, latest_per_key, replace_table, split_sink, store_split
 from parcelflow.sources.landed import landed_table
 from parcelflow.sources.messages import file_messages, file_stream
+from parcelflow.streaming import job
 from parcelflow.streaming.progress import progress_table
 from parcelflow.streaming.runner import SUMMARY_PARTITIONS, run_to_end, start_to_sink
 from parcelflow.workspace import fresh_dir
@@ -229,13 +230,34 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _replayed_event_summary(spark, home, cuts, "append").drop("batch_id")
 
 
-def _listing_feed(spark: SparkSession, sf_dir: str, home: str) -> DataFrame:
+def _listing_feed(
+    spark: SparkSession, sf_dir: str, home: str, damaged: bool = False
+) -> DataFrame:
     """The listing messages as a stream of two batches."""
-    store(fixture.messages(spark, sf_dir, mapped=True), f"{home}/in")
+    store(fixture.messages(spark, sf_dir, mapped=True, damaged=damaged), f"{home}/in")
     limit = half_of_files(file_messages(spark, f"{home}/in"))
     return file_stream(spark, f"{home}/in", max_files_per_trigger=limit)
 
 
+def stream_processing_time_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job's summary in complete mode over a feed with damaged messages.  Its
+    windows follow the clock; over all of them each group keeps its rows."""
+    home = fresh_dir(spark, "stream-processing-time")
+    summary = flat_window(job.analytics_rows(_listing_feed(spark, sf_dir, home, damaged=True)))
+    sink = replace_table(f"{home}/out")
+    run_to_end(
+        start_to_sink(
+            summary, sink, job.ANALYTICS, f"{home}/checkpoint", "complete",
+            partitions=SUMMARY_PARTITIONS,
+        )
+    )
+    windows = spark.read.schema(summary.schema).parquet(f"{home}/out")
+    return windows.groupBy(*LISTING_KEYS).agg(
+        F.sum("listing_count").alias("listing_count"),
+        (F.count("avg_price") > 0).alias("has_price"),
+    )
+
+
 def stream_price_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both lookups joined to a stream, and the estimate from them.  Messages on
     land carry no area, so these have none."""
@@ -345,6 +367,23 @@ def landing_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landing_processing_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job's landing over a feed with damaged messages: all of them land, under
+    the day they were processed."""
+    home = fresh_dir(spark, "landing-processing-time")
+    rows = job.landing_rows(_listing_feed(spark, sf_dir, home, damaged=True))
+    sink = landing_sink(f"{home}/data")
+    run_to_end(start_to_sink(rows, sink, job.LANDING, f"{home}/checkpoint"))
+    landed = landed_table(spark, f"{home}/data")
+    stamp = F.to_date(PROCESSING_TIME)
+    return landed.groupBy(
+        F.col("address.city").alias("city"), F.col("property_details.type").alias("type")
+    ).agg(
+        _rows(),
+        F.count_if(F.make_date("year", "month", "day") == stamp).alias("on_their_day"),
+    )
+
+
 # Lookups and derived columns -----------------------------------------------------------
 
 
@@ -546,11 +585,13 @@ QUERIES: dict[str, Query] = {
     "stream_append_closed_windows": stream_append_closed_windows,
     "stream_update_upsert": stream_update_upsert,
     "stream_late_rows": stream_late_rows,
+    "stream_processing_time_summary": stream_processing_time_summary,
     "stream_price_estimate": stream_price_estimate,
     "stream_quality_split": stream_quality_split,
     "landing_partitions": landing_partitions,
     "landing_retry": landing_retry,
     "landing_listings": landing_listings,
+    "landing_processing_time": landing_processing_time,
     "city_lookup": city_lookup_query,
     "type_lookup": type_lookup_query,
     "price_estimate": price_estimate,
