@@ -1,3 +1,4 @@
 from parcelflow.streaming.job import main
 
-main()
+if __name__ == "__main__":
+    main()

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelflow import vocabulary as V
-from parcelflow.functions import arrays, pricing, shape, text, times
+from parcelflow.functions import pricing, shape, text, times
 from parcelflow.operators.encode import assemble, encode
 from parcelflow.sources.tables import spread, table
 

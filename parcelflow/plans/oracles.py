@@ -235,8 +235,9 @@ def _broken(left_out: tuple[str, ...] = ()) -> str:
     )
 
 
+LEFT_OUT = ("property_id", "price_near_estimate", "listing_date")
 QUALITY_SPLIT = f"""{CHECKED}
-SELECT CASE WHEN concat_ws(',', {_broken(("property_id", "price_near_estimate", "listing_date"))}) = ''
+SELECT CASE WHEN concat_ws(',', {_broken(LEFT_OUT)}) = ''
             THEN 'valid' ELSE 'quarantined' END AS side,
     type, count(*) AS row_count, {_exact_sum("price")} AS sum_price
 FROM looked_up GROUP BY ALL"""
@@ -389,7 +390,8 @@ FROM (SELECT unnest(amenities) AS amenity FROM listing) GROUP BY ALL""",
 SELECT {LINE}, array_to_string(amenities[1:3], ', ') AS first_three,
     CAST(len(amenities) AS INTEGER) AS amenity_count,
     len(list_distinct(amenities)) = len(amenities) AS all_distinct,
-    CAST(len(amenities) - len(list_intersect(amenities, ['Pool', 'Gym', 'Parking', 'Garden']))
+    CAST(len(amenities)
+        - len(list_intersect(amenities, ['Pool', 'Gym', 'Parking', 'Garden']))
         AS INTEGER) AS beyond_four
 FROM listing""",
     "land_shape": f"""WITH {MAPPED}

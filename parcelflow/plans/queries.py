@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from parcelflow.functions import arrays, pricing, shape, text, times
+from parcelflow.functions import arrays, pricing, shape, times
 from parcelflow.operators import quality, routing
 from parcelflow.operators.decode import DAMAGED, decode, decode_fields
 from parcelflow.operators.lookup import city_lookup, type_lookup
@@ -26,7 +26,13 @@ from parcelflow.operators.timecols import (
     watermarked,
 )
 from parcelflow.plans import listings as fixture
-from parcelflow.plans.replay import EVENTS, event_cuts, half_of_files, replay, timed_events
+from parcelflow.plans.replay import (
+    EVENTS,
+    event_cuts,
+    half_of_files,
+    replay,
+    timed_events,
+)
 from parcelflow.schema import DAY_KEYS, LANDED, LANDED_KEYS
 from parcelflow.sinks.landing import BatchSink, landing_sink
 from parcelflow.sinks.messages import store
@@ -419,7 +425,9 @@ def price_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def age_band(spark: SparkSession, sf_dir: str) -> DataFrame:
     age = times.years_since(F.col("year_built"), fixture.as_of())
     rows = _flat(spark, sf_dir).select(
-        pricing.age_band(age).alias("age_band"), pricing.age_factor(age).alias("age_factor"), "price"
+        pricing.age_band(age).alias("age_band"),
+        pricing.age_factor(age).alias("age_factor"),
+        "price",
     )
     return rows.groupBy("age_band", "age_factor").agg(_rows(), _exact_sum("price", "sum_price"))
 
