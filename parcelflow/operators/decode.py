@@ -90,7 +90,9 @@ def decode_fields(
     kept = list(keep)
     quick = F.from_json(text, marked, {**PERMISSIVE, "columnNameOfCorruptRecord": DAMAGED})
     quick_part = _picked(F.col("_quick"), narrow)
-    careful_part = _picked(F.from_json(F.col("_text"), whole, PERMISSIVE), narrow)
+    # Inside a one-element array, so that the record is parsed once for all fields.
+    careful = F.array(F.from_json(F.col("_text"), whole, PERMISSIVE))
+    careful_part = F.get(F.transform(careful, lambda record: _picked(record, narrow)), F.lit(0))
     sound = F.col(f"_quick.{DAMAGED}").isNull()
     names = _names(messages, kept)
     return (
