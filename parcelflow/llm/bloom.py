@@ -9,9 +9,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 FILTER_BITS = 1 << 25
 CHUNK_BITS = 1 << 19
@@ -118,9 +121,6 @@ def share(frame: DataFrame, packed: np.ndarray) -> Broadcast:
 
 def may_hold(shared: Broadcast) -> Callable:
     """A column function: whether a bigint hash may be in the shared filter."""
-    import pandas as pd
-    from pyspark.sql.functions import pandas_udf
-
     @pandas_udf("boolean")
     def test(hashes: pd.Series) -> pd.Series:
         return pd.Series(holds(shared.value, hashes.to_numpy(np.int64).view(np.uint64)))
@@ -134,8 +134,6 @@ def likely_among(frame: DataFrame, key: str, keys: DataFrame, bits: int = FILTER
     Narrows the wide side of a join to be made after it.  ``keys`` is scanned by
     few tasks, as each holds a whole filter.
     """
-    from pyspark.sql import functions as F
-
     hashed = keys.select(F.array(F.xxhash64(F.col(keys.columns[0]))).alias("hashes"))
     few = max(keys.sparkSession.sparkContext.defaultParallelism, 1)
     once, _ = build(hashed.coalesce(few), bits)

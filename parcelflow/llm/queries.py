@@ -8,11 +8,25 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import line_dedup, quality
+from parcelflow.llm import line_dedup, packing, quality, substring_dedup, token_counts
 from parcelflow.llm.shipping import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {"op3_line_dedup": line_dedup.ORACLE}
+ORACLES: dict[str, str] = {
+    "op3_line_dedup": line_dedup.ORACLE,
+    "op4_substring_dedup": substring_dedup.ORACLE,
+}
+
+TOKENIZER = "word_bpe_49k.json"
+PACK_END_ID = 2
+SEPARATOR_ID = 49407
+
+
+def tokenizer_path() -> str:
+    """Where the vocabulary file lies on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
 
 
 def _query(name: str):
@@ -43,6 +57,24 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query("op4_substring_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.removal_digests(_table(spark, sf_dir, "documents"))
+
+
+@_query("op8_packing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return packing.pack(docs, tokenizer_path(), PACK_END_ID, with_ids=False).drop("ids")
+
+
+@_query("op10_token_counts")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    blocks, names = token_counts.token_files(docs, tokenizer_path(), SEPARATOR_ID)
+    return token_counts.count_tokens(blocks, names, SEPARATOR_ID)
+
+
 @_query("op9_quality_rules")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")

@@ -22,7 +22,6 @@ _LOWER[65:91] += 32
 LOWER_TABLE = _LOWER.tobytes()
 
 _BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
 _BYTE_VALUES = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64)
 _powers: dict[int, np.ndarray] = {}
 
@@ -93,13 +92,16 @@ def spans(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return starts, np.flatnonzero(ends) + 1, np.searchsorted(off, starts, "right") - 1
 
 
-def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word."""
+def word_hashes(
+    raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = _BASE
+) -> np.ndarray:
+    """A 64-bit hash of each word; another odd ``base`` gives another hash."""
     if not len(starts):
         return np.zeros(0, np.uint64)
     sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(_BYTE_VALUES[raw] * _powers_of(_BASE, len(raw)), out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * _powers_of(_INVERSE, len(raw))[starts])
+    np.cumsum(_BYTE_VALUES[raw] * _powers_of(base, len(raw)), out=sums[1:])
+    inverse = np.append(_powers_of(pow(base, -1, 1 << 64), len(raw)), np.uint64(1))
+    return mix((sums[ends] - sums[starts]) * inverse[starts])
 
 
 def window_hashes(words: np.ndarray, size: int, base: int = 0xD6E8FEB86659FD93) -> np.ndarray:
