@@ -8,11 +8,19 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import line_dedup, packing, quality, substring_dedup, token_counts
+from parcelflow.llm import (
+    line_dedup,
+    near_dedup,
+    packing,
+    quality,
+    substring_dedup,
+    token_counts,
+)
 from parcelflow.llm.shipping import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {
+    "op1_near_dedup": near_dedup.ORACLE,
     "op3_line_dedup": line_dedup.ORACLE,
     "op4_substring_dedup": substring_dedup.ORACLE,
 }
@@ -49,6 +57,11 @@ def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
 
 
+@_query("op1_near_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents")).drop("digest")
+
+
 @_query("op3_line_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
