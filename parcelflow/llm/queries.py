@@ -9,18 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelflow.llm import (
+    decontamination,
     line_dedup,
     near_dedup,
     packing,
     quality,
     substring_dedup,
     token_counts,
+    url_filter,
 )
 from parcelflow.llm.shipping import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {
     "op1_near_dedup": near_dedup.ORACLE,
+    "op2_url_filter": url_filter.ORACLE,
     "op3_line_dedup": line_dedup.ORACLE,
     "op4_substring_dedup": substring_dedup.ORACLE,
 }
@@ -62,6 +65,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents")).drop("digest")
 
 
+@_query("op2_url_filter")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages"), url_filter.RULES)
+
+
 @_query("op3_line_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -75,6 +83,13 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.removal_digests(_table(spark, sf_dir, "documents"))
 
 
+@_query("op6_decontamination")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.overlaps(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+
+
 @_query("op8_packing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
