@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from parcelflow.llm import (
     decontamination,
+    language_id,
+    license_scan,
     line_dedup,
     near_dedup,
     packing,
@@ -83,6 +85,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.removal_digests(_table(spark, sf_dir, "documents"))
 
 
+@_query("op5_license_scan")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
 @_query("op6_decontamination")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.overlaps(
@@ -90,6 +97,16 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query("op7_language_id")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = language_id.train(docs.filter(~language_id.held_out("doc_id")))
+    found = language_id.identify(docs, model, with_spans=False)
+    return found.select(
+        "doc_id", language_id.held_out("doc_id").alias("held_out"), "lang_pred", "score"
+    )
+
+
 @_query("op8_packing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
