@@ -1,32 +1,47 @@
-"""The corpus pipeline: documents to training sequences, a stage at a time."""
+"""The corpus pipeline: documents to training sequences, a stage at a time.
+
+Every stage takes what its predecessor kept, whole, and all but the last return the
+columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm import line_dedup, quality
+from parcelflow.llm import decontamination, line_dedup, near_dedup, packing, quality
 from parcelflow.llm.kept import kept
-from parcelflow.llm.queries import trusted_ids
+from parcelflow.llm.queries import PACK_END_ID, tokenizer_path, trusted_ids
 from parcelflow.llm.shipping import ship
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _stage(work: Stage) -> Stage:
+    @wraps(work)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return work(ship(spark), docs, sf_dir)
+
+    return run_stage
+
+
+@_stage
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and the likelihood ratio."""
-    verdicts = quality.judge(docs, trusted_ids(spark, sf_dir)).filter("kept")
-    passed = verdicts.select(
+    """Documents that pass the base rules and the likelihood ratio.  A verdict is
+    that of a text, so rows that share a doc_id are judged one by one."""
+    verdicts = quality.judge(docs, trusted_ids(spark, sf_dir)).filter(~F.col("kept"))
+    failed = verdicts.select(
         F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")
     ).distinct()
-    matched = docs["doc_id"].eqNullSafe(F.col("__id")) & (
-        F.xxhash64(docs["text"]) == F.col("__hash")
-    )
-    return docs.join(passed, matched, "left_semi")
+    matched = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__hash"))
+    marked = docs.withColumn("__text", F.xxhash64("text"))
+    return marked.join(failed, matched, "left_anti").select(*docs.columns)
 
 
+@_stage
 def lines_once(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that other documents keep."""
     left = line_dedup.dedup_lines(docs).select(*docs.columns)
@@ -36,18 +51,44 @@ def lines_once(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return left
 
 
+@_stage
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, that with the smallest doc_id."""
+    dropped = near_dedup.near_duplicates(docs).filter(~F.col("kept"))
+    dropped = kept(dropped.select(F.col("doc_id").alias("__id")).distinct(), "near-copies")
+    return docs.join(dropped, F.col("doc_id").cast("bigint") == F.col("__id"), "left_anti")
+
+
+@_stage
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that overlap no benchmark item."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    leaks = decontamination.overlaps(docs, benchmark).select(F.col("doc_id").alias("__id"))
+    leaks = kept(leaks.distinct(), "leaks")
+    return docs.join(leaks, F.col("doc_id").cast("bigint") == F.col("__id"), "left_anti")
+
+
+@_stage
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents left, placed in sequences."""
+    return packing.pack(docs, tokenizer_path(), PACK_END_ID, with_ids=False).drop("ids")
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_rules),
     ("line_dedup", lines_once),
+    ("near_dedup", near_duplicates),
+    ("decontamination", decontaminated),
+    ("packing", packed),
 ]
 
-#: The likelihood ratio hashes words in a way DuckDB has no function for, so no SQL
-#: gives the whole; tests/llm compares the stages with brute force.
+#: The likelihood ratio hashes words, and packing takes a tokenizer, for which DuckDB
+#: has no functions: no SQL gives the rows.  tests/llm compares the stages with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = ship(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = kept(stage(spark, docs, sf_dir), name)
+        docs = kept(stage(spark, docs, sf_dir), name, codec="snappy")
     return STAGES[-1][1](spark, docs, sf_dir)
