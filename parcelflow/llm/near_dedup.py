@@ -10,9 +10,10 @@ sets.
 
 Within a bucket, nodes are first compared with its smallest member only.  Once
 confirmed links are joined into components, buckets whose members lie in more than
-one component are compared across components, in blocks, so a large
-group costs a comparison a member, and links are lost only where no band agrees
-(below 3e-9 at similarity 0.85) or an estimate is 6 standard deviations off.
+one component are compared across components, block against block; likely partners
+stay in lists, one a node, and are confirmed on sets that each task holds once.  Links
+are lost only where no band agrees (below 3e-9 at similarity 0.85) or an estimate is
+6 standard deviations off.
 
 Defined cases: null or empty text has an empty set, linked with nothing; rows that
 share a doc_id are one document, linked through any of their texts; a row without a
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 
 from parcelflow.llm import bloom, words
 from parcelflow.llm.components import components
-from parcelflow.llm.kept import kept
+from parcelflow.llm.kept import kept, shuffle_partitions
 
 SHINGLE = 5
 MINIMA = 256
@@ -42,6 +43,8 @@ LOW_BITS = 2
 #: Estimates this far below the threshold (6 standard deviations) are not confirmed.
 SLACK = 0.16
 BLOCK = 1024
+#: Nodes that look for links side by side.
+CELL = 256
 
 _rng = np.random.default_rng(20240307)
 _FACTORS = (_rng.integers(0, 1 << 31, MINIMA, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -197,9 +200,10 @@ def _likely(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
 
 
 def _across(members: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
-    """Likely pairs of members (bucket, node, component) of one bucket in different
-    components.  The members outside the bucket's largest component by name face all
-    members, block against block, so that no task holds a whole bucket."""
+    """(a, partners): for nodes of mixed buckets, the likely partners that share a bucket
+    with them and lie in another component.  Members (bucket, node, component) outside a
+    bucket's first component face all its members, block against block, so that no
+    task holds a whole bucket; pairs stay in lists."""
     mixed = (
         members.groupBy("bucket")
         .agg(
@@ -220,21 +224,180 @@ def _across(members: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
         "bucket",
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
         F.col("block").alias("cell"),
-        F.col("node").alias("a"),
-        F.col("component").alias("component_a"),
-        F.col("bits").alias("bits_a"),
+        F.lit(True).alias("odd"),
+        "node", "component", "bits",
     )
-    odd_blocks = odd.select("bucket", "block", "cell").distinct()
-    rest = rows.select(
-        "bucket", "block", F.col("node").alias("b"), F.col("component").alias("component_b"),
-        F.col("bits").alias("bits_b"),
-    ).join(odd_blocks, ["bucket", "block"])
-    near = estimate("bits_a", "bits_b") >= percent / 100.0 - SLACK
+    cells = odd.select("bucket", "block", "cell").distinct()
+    rest = rows.join(cells, ["bucket", "block"]).select(
+        "bucket", "block", "cell", F.lit(False).alias("odd"), "node", "component", "bits"
+    )
+    key = ["bucket", "block", "cell"]
+    faced = (
+        odd.unionByName(rest)
+        .repartition(shuffle_partitions(members), *key)
+        .sortWithinPartitions(*key, "odd")
+        .mapInArrow(_faced(percent / 100.0 - SLACK), "a bigint, partners array<bigint>")
+    )
+    partners = F.array_distinct(F.flatten(F.collect_list("partners")))
+    return faced.groupBy("a").agg(partners.alias("partners"))
+
+
+def _faced(least: float):
+    """Batches sorted by (bucket, block, cell), its members before its odd nodes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        last = None
+        for batch in batches:
+            key = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[:3]], axis=1)
+            odd = batch.column(3).to_numpy(zero_copy_only=False)
+            node, component = (
+                batch.column(i).to_numpy(zero_copy_only=False) for i in (4, 5)
+            )
+            bits = batch.column(6).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            bits = bits.view(np.uint64).reshape(batch.num_rows, -1)
+            if not len(key):
+                continue
+            heads = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1)])
+            for x, y in zip(heads, np.r_[heads[1:], len(key)], strict=True):
+                if last is not None and not np.array_equal(last, key[x]):
+                    yield from _face(held, least)
+                    held = []
+                last = key[x]
+                held.append((odd[x:y], node[x:y], component[x:y], bits[x:y]))
+        yield from _face(held, least)
+
+    return run
+
+
+def _face(parts: list[tuple], least: float) -> Iterator[pa.RecordBatch]:
+    if not parts:
+        return
+    odd, node, component, bits = (np.concatenate(x) for x in zip(*parts, strict=True))
+    odd = odd.astype(bool)
+    all_node, all_component, all_bits = node[~odd], component[~odd], bits[~odd]
+    half = bits.shape[1] // 2
+    names, lists = [], []
+    for a, own, mine in zip(node[odd], component[odd], bits[odd], strict=True):
+        differ = all_bits ^ mine
+        agree = MINIMA - np.bitwise_count(differ[:, :half] | differ[:, half:]).sum(axis=1, dtype=np.int64)
+        chance = 1.0 / (1 << LOW_BITS)
+        likely = (agree / MINIMA - chance) / (1 - chance) >= least
+        likely &= all_component != own
+        if likely.any():
+            names.append(a)
+            lists.append(all_node[likely])
+    if names:
+        offsets = np.r_[0, np.cumsum([len(x) for x in lists])].astype(np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.array(names, np.int64)),
+                pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(lists))),
+            ],
+            names=["a", "partners"],
+        )
+
+
+def _confirm_lists(
+    faced: DataFrame, placed: DataFrame, docs: DataFrame, percent: int, filter_bits: int
+) -> DataFrame:
+    """Confirmed links (a, b) of (a, partners): for each a, one link into each component
+    it has a link with.  Nodes that name the same smallest partner work side by side,
+    ``CELL`` at a time, with one copy of each set they need."""
+    home = F.array_min("partners")
+    tasks = shuffle_partitions(faced)
+    sized = faced.withColumn("home", home).join(
+        faced.groupBy(home.alias("home")).agg(F.ceil(F.count(F.lit(1)) / CELL).alias("cells")), "home"
+    )
+    work = kept(
+        sized.select(
+            F.pmod(F.xxhash64("home", F.pmod(F.xxhash64("a"), F.col("cells"))), F.lit(tasks))
+            .cast("int")
+            .alias("task"),
+            "a", "partners",
+        ),
+        "cross-partners",
+    )
+
+    def needs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            wanted: dict[int, list[np.ndarray]] = {}
+            lists = batch.column(2)
+            for task, a, x, y in zip(
+                batch.column(0).to_pylist(), batch.column(1).to_pylist(),
+                lists.offsets.to_pylist()[:-1], lists.offsets.to_pylist()[1:], strict=True,
+            ):
+                part = lists.values[x:y].to_numpy(zero_copy_only=False)
+                wanted.setdefault(task, []).append(np.append(part, a))
+            for task, parts in wanted.items():
+                ids = np.unique(np.concatenate(parts))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(ids), task, np.int32)), pa.array(ids)], names=["task", "id"]
+                )
+
+    wanted = work.mapInArrow(needs, "task int, id bigint").distinct()
+    ids = wanted.select("id").distinct()
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, raw, off in words.slices(batches, "text"):
+            found = shingle_sets(words.lower(raw), off)
+            yield pa.RecordBatch.from_arrays(
+                [rows.column(0), rows.column(1), pa.array([x.tobytes() for x in found], pa.binary())],
+                names=["id", "component", "shingles"],
+            )
+
+    component = placed.select(F.col("node").alias("id"), "component").distinct()
+    made = (
+        bloom.likely_among(docs, "doc_id", ids, filter_bits)
+        .join(component, F.col("doc_id") == F.col("id"))
+        .select("id", "component", "text")
+        .mapInArrow(sets, "id bigint, component bigint, shingles binary")
+    )
+    none = F.lit(None)
+    given = wanted.join(made, "id").select(
+        "task", "id", "component", "shingles", none.cast("array<bigint>").alias("partners")
+    )
+    asked = work.select(
+        "task", F.col("a").alias("id"), none.cast("bigint").alias("component"),
+        none.cast("binary").alias("shingles"), "partners",
+    )
+
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, tuple[int, list[np.ndarray]]] = {}
+        questions: list[tuple[int, list[int]]] = []
+        for batch in batches:
+            for i, component, data, partners in zip(
+                *(batch.column(k).to_pylist() for k in (1, 2, 3, 4)), strict=True
+            ):
+                if partners is not None:
+                    questions.append((i, partners))
+                else:
+                    found = np.frombuffer(data, np.uint64)
+                    held.setdefault(i, (component, []))[1].append(found)
+        left, right = [], []
+        for a, partners in questions:
+            reached: set[int] = set()
+            rows = [(b, held[b][0], x) for b in partners if b in held for x in held[b][1] if len(x)]
+            for mine in held[a][1] if a in held else []:
+                if not rows or not len(mine):
+                    continue
+                other = np.concatenate([x for _, _, x in rows])
+                sizes = np.array([len(x) for _, _, x in rows])
+                at = np.minimum(np.searchsorted(mine, other), len(mine) - 1)
+                both = np.add.reduceat(mine[at] == other, np.cumsum(sizes) - sizes, dtype=np.int64)
+                linked = 100 * both >= percent * (sizes + len(mine) - both)
+                for k in np.flatnonzero(linked):
+                    if rows[k][1] not in reached:
+                        reached.add(rows[k][1])
+                        left.append(a)
+                        right.append(rows[k][0])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"]
+        )
+
     return (
-        odd.join(rest, ["bucket", "block", "cell"])
-        .filter((F.col("component_a") != F.col("component_b")) & near)
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
+        given.unionByName(asked).repartitionById(tasks, F.col("task"))
+        .mapInArrow(confirm, "a bigint, b bigint")
     )
 
 
@@ -278,11 +441,8 @@ def near_duplicates(
     found = components(links)
     component = F.coalesce("component", "node").alias("component")
     placed = members.join(found, "node", "left").select("bucket", "node", component)
-    tried = likely.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    across = kept(
-        _across(placed, bits, percent).join(tried, ["a", "b"], "left_anti"), "cross-pairs"
-    )
-    more = _confirm(across, named, percent, filter_bits)
+    faced = kept(_across(placed, bits, percent), "cross-likely")
+    more = _confirm_lists(faced, placed, named, percent, filter_bits)
     final = components(copies.unionByName(links).unionByName(more))
 
     same = F.col("doc_id") == F.col("node")
