@@ -84,17 +84,25 @@ def template_grams(
     docs: DataFrame, templates: list[tuple[str, str]], size: int
 ) -> DataFrame:
     """(hash, template, at, grams, gram) of the templates' k-grams."""
-    rows = []
-    for number, (phrase, _) in enumerate(templates):
-        words = phrase.split()
-        count = len(words) - size + 1
-        if count < 1:
+    for phrase, _ in templates:
+        if len(phrase.split(" ")) < size:
             raise ValueError(f"a template needs {size} words: {phrase!r}")
-        rows += [(number, at, count, words[at : at + size]) for at in range(count)]
-    frame = docs.sparkSession.createDataFrame(
-        rows, "template int, at int, grams int, gram array<string>"
+    given = F.array(
+        *[
+            F.struct(F.lit(number).alias("template"), F.lit(phrase).alias("phrase"))
+            for number, (phrase, _) in enumerate(templates)
+        ]
+    )
+    phrases = docs.sparkSession.range(1).select(F.inline(given)).select(
+        "template", F.split("phrase", " ").alias("words")
+    )
+    hashed = phrases.withColumn("hashes", gram_hashes(F.col("words"), size))
+    return hashed.select(
+        "template", "words", F.size("hashes").alias("grams"), F.posexplode("hashes").alias("at", "hash")
+    ).select(
+        "hash", "template", "at", "grams",
+        F.slice("words", F.col("at") + 1, F.lit(size)).alias("gram"),
     )
-    return frame.withColumn("hash", F.get(gram_hashes(F.col("gram"), size), F.lit(0)))
 
 
 def diagonals(
