@@ -95,7 +95,8 @@ def _deal(
 
 
 def _marked(packed: DataFrame, shards: int, first_too: bool, label: str) -> DataFrame:
-    """(doc_id, places) of what recurs; the first of each hash only if ``first_too``."""
+    """(doc_id, places) of what recurs; the first of each hash only if ``first_too``.
+    Marks are dealt out again by document, packed as the hashes were."""
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked: dict[int, list[tuple[np.ndarray, ...]]] = {}
@@ -121,15 +122,24 @@ def _marked(packed: DataFrame, shards: int, first_too: bool, label: str) -> Data
             docs.append(d[late])
             places.append(p[late])
         if docs and sum(map(len, docs)):
+            found = np.concatenate(docs)
+            home = (words.mix(found.astype(np.uint64)) % np.uint64(shards)).astype(np.int64)
+            yield _packed(home, True, found[:0].astype(np.uint64), found, np.concatenate(places))
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        docs, places = [], []
+        for batch in batches:
+            docs += [np.frombuffer(x, np.int64) for x in batch.column(3).to_pylist()]
+            places += [np.frombuffer(x, np.int32) for x in batch.column(4).to_pylist()]
+        if docs:
             keys, lists = words.lists_by(np.concatenate(docs), np.concatenate(places))
             yield pa.RecordBatch.from_arrays([pa.array(keys), lists], names=["doc_id", "places"])
 
-    parts = packed.repartitionById(shards, F.col("shard")).mapInArrow(
-        settle, "doc_id bigint, places array<int>"
-    )
-    return kept(
-        parts.groupBy("doc_id").agg(F.flatten(F.collect_list("places")).alias("places")), label
+    settled = packed.repartitionById(shards, F.col("shard")).mapInArrow(settle, _PACKED)
+    gathered = settled.repartitionById(shards, F.col("shard")).mapInArrow(
+        gather, "doc_id bigint, places array<int>"
     )
+    return kept(gathered, label)
 
 
 def _anchors(docs: DataFrame, shards: int) -> DataFrame:
