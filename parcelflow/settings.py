@@ -14,25 +14,41 @@ DEFAULT_TOPIC = "real-estate-listings"
 DEFAULT_BUCKET = "real-estate-data"
 
 
+# Admission of the rate-limited profile.  A feed faster than the limit
+# over a landing interval falls behind, and offsets that expire meanwhile are skipped.
+LIMITED_OFFSETS = 10_000
+
+
 def _number(text: str | None) -> int | None:
     return int(text) if text else None
 
 
+def _flag(text: str | None, default: bool) -> bool:
+    if not text:
+        return default
+    if text.lower() not in ("true", "false"):
+        raise ValueError(f"true or false, not {text!r}")
+    return text.lower() == "true"
+
+
 @dataclass(frozen=True)
 class Settings:
     """Where the feed comes from and where its results go.
 
     There are no default secrets: without explicit keys the object store client
-    uses its own credential chain.  ``max_offsets_per_trigger`` bounds a
-    micro-batch; at high feed rates set it to about rate x trigger interval.
+    uses its own credential chain.  By default no message is skipped: a trigger takes
+    all offsets there are, and offsets that have expired stop the job.
+    ``limited`` gives the profile that trades that for small, steady batches.
+    ``state_partitions`` is the number of the summary's state partitions, fixed in
+    its checkpoint by the first start; without it, the session's shuffle partitions.
     """
 
     brokers: str = DEFAULT_BROKERS
     topic: str = DEFAULT_TOPIC
     starting_offsets: str = "latest"
-    max_offsets_per_trigger: int | None = 10_000
+    max_offsets_per_trigger: int | None = None
     min_partitions: int | None = None
-    fail_on_data_loss: bool = False
+    fail_on_data_loss: bool = True
     base_path: str = f"s3a://{DEFAULT_BUCKET}"
     s3_endpoint: str | None = None
     s3_access_key: str | None = None
@@ -40,11 +56,31 @@ class Settings:
     landing_interval: str | None = "5 minutes"
     analytics_interval: str | None = "1 minute"
     analytics_mode: str = "update"
+    state_partitions: int | None = None
+    console_rows: int | None = None
+
+    @classmethod
+    def limited(cls, **changes) -> "Settings":
+        """At most ``LIMITED_OFFSETS`` a trigger, and expired offsets are passed over."""
+        given = {
+            "max_offsets_per_trigger": LIMITED_OFFSETS,
+            "fail_on_data_loss": False,
+            "analytics_mode": "complete",
+        }
+        return cls(**{**given, **changes})
 
     @property
     def landing_path(self) -> str:
         return f"{self.base_path}/data"
 
+    @property
+    def summary_path(self) -> str:
+        return f"{self.base_path}/summary"
+
+    @property
+    def progress_path(self) -> str:
+        return f"{self.base_path}/progress"
+
     @property
     def checkpoint_root(self) -> str:
         return f"{self.base_path}/checkpoints"
@@ -52,13 +88,13 @@ class Settings:
     @classmethod
     def from_env(cls, env: Mapping[str, str] | None = None) -> "Settings":
         env = os.environ if env is None else env
-        limit = env.get("MAX_OFFSETS_PER_TRIGGER", "10000")
         return cls(
             brokers=env.get("KAFKA_BROKERS", DEFAULT_BROKERS),
             topic=env.get("TOPIC_NAME", DEFAULT_TOPIC),
             starting_offsets=env.get("STARTING_OFFSETS", "latest"),
-            max_offsets_per_trigger=_number(limit),
+            max_offsets_per_trigger=_number(env.get("MAX_OFFSETS_PER_TRIGGER")),
             min_partitions=_number(env.get("MIN_PARTITIONS")),
+            fail_on_data_loss=_flag(env.get("FAIL_ON_DATA_LOSS"), True),
             base_path=env.get("BASE_PATH")
             or f"s3a://{env.get('S3_BUCKET', DEFAULT_BUCKET)}",
             s3_endpoint=env.get("S3_ENDPOINT"),
@@ -67,6 +103,8 @@ class Settings:
             landing_interval=env.get("LANDING_INTERVAL", "5 minutes"),
             analytics_interval=env.get("ANALYTICS_INTERVAL", "1 minute"),
             analytics_mode=env.get("ANALYTICS_MODE", "update"),
+            state_partitions=_number(env.get("STATE_PARTITIONS")),
+            console_rows=_number(env.get("CONSOLE_ROWS")),
         )
 
 
@@ -88,14 +126,8 @@ def object_store_conf(settings: Settings) -> dict[str, str]:
     return conf
 
 
-# Settable on a running session.  The zone is part of the results.  Records are
-# wide: fused into one method they outgrow the 8000 bytes of bytecode up to which
-# the JVM compiles a method, and run interpreted; past the limit set here Spark
-# generates small methods instead (2-3 times faster on the rule checks).
-RUNTIME_CONF = {
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.codegen.hugeMethodLimit": "8000",
-}
+# Settable on a running session.  The zone is part of the results.
+RUNTIME_CONF = {"spark.sql.session.timeZone": "UTC"}
 
 # The whole of it, with the state backend; executor counts, memory and shuffle
 # partitions belong to spark-submit.
@@ -110,11 +142,15 @@ SESSION_CONF = {
 }
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """``RUNTIME_CONF`` on a session built elsewhere."""
-    for name, value in RUNTIME_CONF.items():
-        spark.conf.set(name, value)
-    return spark
+def tuned(spark: SparkSession, **changes: str) -> SparkSession:
+    """A sibling session with the caller's settings and ``RUNTIME_CONF``; the caller's
+    own stays as it is."""
+    sibling = spark.newSession()
+    given = {row["key"]: row["value"] for row in spark.sql("SET").collect()}
+    for name, value in {**given, **RUNTIME_CONF, **changes}.items():
+        if sibling.conf.isModifiable(name):
+            sibling.conf.set(name, value)
+    return sibling
 
 
 def build_session(

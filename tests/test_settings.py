@@ -6,7 +6,7 @@ from parcelflow.settings import (
     Settings,
     build_session,
     object_store_conf,
-    tune,
+    tuned,
 )
 from parcelflow.sinks.messages import kafka_sink_options
 from parcelflow.sources.messages import kafka_options
@@ -18,15 +18,24 @@ def test_kafka_source_defaults():
         "kafka.bootstrap.servers": "kafka-1:9092,kafka-2:9092,kafka-3:9092",
         "subscribe": "real-estate-listings",
         "startingOffsets": "latest",
-        "maxOffsetsPerTrigger": "10000",
-        "failOnDataLoss": "false",
+        "failOnDataLoss": "true",
     }
 
 
+def test_limited_profile_and_its_switches():
+    options = kafka_options(Settings.limited(topic="t"))
+    assert options["maxOffsetsPerTrigger"] == "10000" and options["failOnDataLoss"] == "false"
+    env = {"FAIL_ON_DATA_LOSS": "false", "STATE_PARTITIONS": "64", "CONSOLE_ROWS": "5"}
+    settings = Settings.from_env(env)
+    assert (settings.fail_on_data_loss, settings.state_partitions, settings.console_rows) == (False, 64, 5)
+    with pytest.raises(ValueError, match="true or false"):
+        Settings.from_env({"FAIL_ON_DATA_LOSS": "maybe"})
+
+
 def test_kafka_source_from_the_environment():
     env = {
         "KAFKA_BROKERS": "b:1", "TOPIC_NAME": "t", "STARTING_OFFSETS": "earliest",
-        "MAX_OFFSETS_PER_TRIGGER": "", "MIN_PARTITIONS": "200",
+        "MAX_OFFSETS_PER_TRIGGER": "", "MIN_PARTITIONS": "200", "FAIL_ON_DATA_LOSS": "false",
     }
     assert kafka_options(Settings.from_env(env)) == {
         "kafka.bootstrap.servers": "b:1", "subscribe": "t", "startingOffsets": "earliest",
@@ -72,9 +81,18 @@ def test_session_leaves_sizing_to_the_caller(spark):
             session.conf.unset(name)
 
 
-def test_tune_sets_what_results_depend_on(spark):
-    tune(spark)
-    assert all(spark.conf.get(name) == value for name, value in RUNTIME_CONF.items())
+def test_tuned_leaves_the_caller_s_session_alone(spark):
+    zone, parts = "spark.sql.session.timeZone", "spark.sql.shuffle.partitions"
+    before = spark.conf.get(zone), spark.conf.get(parts)
+    spark.conf.set(zone, "Asia/Tokyo")
+    spark.conf.set(parts, "5")
+    try:
+        sibling = tuned(spark)
+        assert all(sibling.conf.get(name) == value for name, value in RUNTIME_CONF.items())
+        assert sibling.conf.get(parts) == "5" and spark.conf.get(zone) == "Asia/Tokyo"
+    finally:
+        spark.conf.set(zone, before[0])
+        spark.conf.set(parts, before[1])
 
 
 class Session:
