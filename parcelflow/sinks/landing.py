@@ -22,6 +22,7 @@ def land(
     gather: bool | None = None,
     compression: str = "snappy",
     max_records_per_file: int | None = None,
+    files: int | None = None,
 ) -> None:
     """Write one batch under ``year=/month=/day=/run=/batch_id=``.
 
@@ -33,7 +34,8 @@ def land(
     is, without a shuffle.  Under any other clock a batch can touch many days, so
     rows are gathered by day first, or every task would write a file per day; AQE
     divides a day too big for one task and merges small ones.  ``gather`` says
-    otherwise, for instance to merge the many small tasks of a wide topic.
+    otherwise.  ``files`` is the most files to write for a batch: the many small
+    tasks of a wide topic are then run together, without a shuffle.
     """
     moment = F.col(time_col)
     keyed = batch.withColumns(
@@ -47,6 +49,8 @@ def land(
     )
     if gather is None:
         gather = time_col != PROCESSING_TIME
+    if files:
+        keyed = keyed.coalesce(files)
     if gather:
         keyed = keyed.hint("rebalance", *DAY_KEYS)
     writer = (

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from parcelflow.settings import Settings
+from parcelflow.sinks.landing import BatchSink
 
 
 def kafka_sink_options(settings: Settings) -> dict[str, str]:
@@ -25,6 +26,16 @@ def send(messages: DataFrame, settings: Settings) -> None:
     messages.write.format("kafka").options(**kafka_sink_options(settings)).save()
 
 
+def sender(settings: Settings) -> BatchSink:
+    """The callback that sends a stream's messages; a retried batch is sent again, as the
+    topic's delivery is at least once."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        send(batch, settings)
+
+    return write
+
+
 def store(messages: DataFrame, path: str) -> None:
     """Add the messages to a replay folder."""
     messages.write.mode("append").parquet(path)

@@ -1,25 +1,86 @@
 """Parquet targets for streaming results, one callback per output mode.
 
 Executors write; nothing passes through the driver.  Each callback gives the
-same table when a batch is retried.
+same table when a batch is retried, and a reader never meets half a result.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelflow.operators.quality import side
 from parcelflow.sinks.landing import BatchSink
 
+VERSIONS = "version BIGINT, attempt STRING"
+# Versions that stay for readers who have just begun: the current one and the last.
+KEPT_VERSIONS = 2
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    target = _hadoop_path(spark, path)
+    store = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.delete(target, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target = _hadoop_path(spark, path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def publish(rows: DataFrame, path: str, version: int) -> None:
+    """Write a whole table beside its earlier versions, then name it the current one.
+
+    The name is one row in ``published``, whose commit is the switch: before it
+    readers see the last version, after it this one.  A retry writes under a name of its own.
+    """
+    spark = rows.sparkSession
+    attempt = uuid.uuid4().hex
+    rows.write.parquet(f"{path}/versions/{version}-{attempt}")
+    line = spark.createDataFrame([(version, attempt)], VERSIONS)
+    line.coalesce(1).write.mode("append").parquet(f"{path}/published")
+    for old in _published(spark, path)[KEPT_VERSIONS:]:
+        delete(spark, f"{path}/versions/{old['version']}-{old['attempt']}")
+
+
+def _published(spark: SparkSession, path: str) -> list:
+    """Versions that were named, the newest first; a few rows a run of the query."""
+    if not exists(spark, f"{path}/published"):
+        return []
+    lines = spark.read.schema(VERSIONS).parquet(f"{path}/published")
+    newest = lines.groupBy("version").agg(F.max("attempt").alias("attempt"))
+    return newest.orderBy(F.desc("version")).limit(KEPT_VERSIONS + 8).collect()
+
+
+def published_version(spark: SparkSession, path: str) -> int | None:
+    found = _published(spark, path)
+    return found[0]["version"] if found else None
+
+
+def published_table(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The current version; no rows before the first."""
+    found = _published(spark, path)
+    if not found:
+        return spark.createDataFrame([], schema)
+    newest = found[0]
+    return spark.read.schema(schema).parquet(
+        f"{path}/versions/{newest['version']}-{newest['attempt']}"
+    )
+
 
 def replace_table(path: str) -> BatchSink:
-    """Complete mode: every batch is the whole result."""
+    """Complete mode: every batch is the whole result, read by ``published_table``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        publish(batch, path, batch_id)
 
     return write
 
@@ -56,17 +117,80 @@ def _replace_batch(batch: DataFrame, path: str, batch_id: int, *outer: str) -> N
     )
 
 
+# Types whose values an aggregate can change in place, which lets it hash.
+_IN_PLACE = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def _newest(schema: T.StructType, values: Sequence[str], version: str) -> tuple[list[Column], list[Column]]:
+    """Aggregates that take the values of the newest version, and what to select after."""
+    plain = [c for c in values if isinstance(schema[c].dataType, _IN_PLACE)]
+    rest = [c for c in values if c not in plain]
+    made = [F.max_by(c, version).alias(c) for c in plain]
+    chosen = [F.col(c) for c in plain]
+    if rest:
+        made.append(F.max_by(F.struct(*rest), F.col(version)).alias("_rest"))
+        chosen += [F.col(f"_rest.{c}").alias(c) for c in rest]
+    return made, chosen
+
+
 def latest_per_key(
     emissions: DataFrame, keys: Sequence[str], version: str = "batch_id"
 ) -> DataFrame:
     """The upsert view of update mode: the last emission of every key.
 
     ``max_by`` combines before the shuffle, so a key that changed in every
-    batch still moves one row per task.
+    batch still moves one row per task; over numbers and times it aggregates by hash.
     """
     values = [name for name in emissions.columns if name not in (*keys, version)]
-    newest = F.max_by(F.struct(*values), F.col(version)).alias("_newest")
-    return emissions.groupBy(*keys).agg(newest).select(*keys, "_newest.*")
+    made, chosen = _newest(emissions.schema, values, version)
+    latest = emissions.groupBy(*keys).agg(*made)
+    return latest.select(*[c for c in emissions.columns if c in keys], *chosen).select(
+        *[c for c in emissions.columns if c != version]
+    )
+
+
+def upserted(
+    spark: SparkSession, path: str, keys: Sequence[str], schema: T.StructType
+) -> DataFrame:
+    """Update mode's table: what ``compact`` has folded, and the emissions since."""
+    numbered = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    folded = published_version(spark, f"{path}/folded")
+    since = F.lit(True) if folded is None else F.col("batch_id") > folded
+    emitted = spark.createDataFrame([], numbered)
+    if exists(spark, f"{path}/emitted"):
+        emitted = spark.read.schema(numbered).parquet(f"{path}/emitted").filter(since)
+    base = published_table(spark, f"{path}/folded", schema)
+    return latest_per_key(emitted.unionByName(base.withColumn("batch_id", F.lit(-1).cast("bigint"))), keys)
+
+
+def upsert(path: str) -> BatchSink:
+    """Update mode: emissions that ``upserted`` reads and ``compact`` folds."""
+    return add_batch(f"{path}/emitted")
+
+
+def compact(
+    spark: SparkSession, path: str, keys: Sequence[str], schema: T.StructType, upto: int
+) -> None:
+    """Fold the emissions up to a finished batch into one row a key, then delete them.
+
+    Publishing is the switch: a crash before it leaves the emissions as they were,
+    one after it leaves folded emissions that readers pass over.
+    """
+    folded = published_version(spark, f"{path}/folded")
+    numbered = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    emitted = spark.read.schema(numbered).parquet(f"{path}/emitted")
+    due = F.col("batch_id") <= upto
+    if folded is not None:
+        due &= F.col("batch_id") > folded
+    due_rows = emitted.filter(due)
+    batches = [r[0] for r in due_rows.select("batch_id").distinct().collect()]
+    if not batches:
+        return
+    base = published_table(spark, f"{path}/folded", schema)
+    together = due_rows.unionByName(base.withColumn("batch_id", F.lit(-1).cast("bigint")))
+    publish(latest_per_key(together, keys), f"{path}/folded", max(batches))
+    for batch in batches:
+        delete(spark, f"{path}/emitted/batch_id={batch}")
 
 
 def store_split(marked: DataFrame, path: str) -> None:

@@ -26,19 +26,3 @@ SCHEMAS = {
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
-
-# Inputs under about 1 GB, at the default split size of 128 MB.
-FEW_SPLITS = 8
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Deal the rows of a scan with a handful of splits over all task slots.
-
-    For heavy per-row work on a small input; any large input stays as it is.
-    Round robin needs no column of its own, so the scan still reads only what
-    the query uses.
-    """
-    slots = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= min(slots, FEW_SPLITS):
-        return scan
-    return scan.repartition(slots)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
@@ -26,24 +27,25 @@ def _timed(writer: DataStreamWriter, interval: str | None) -> DataStreamWriter:
     return writer.trigger(availableNow=True)
 
 
-# A window holds at most cities x types groups, and partial aggregation leaves at
-# most that many rows per task to shuffle.  So the state stays small however many
-# rows the feed has, and a few partitions serve it.
-SUMMARY_PARTITIONS = 8
+_starting = threading.Lock()
 
 
 @contextmanager
 def _state_partitions(spark: SparkSession, count: int | None) -> Iterator[None]:
     """A stateful query takes its partition count when it first starts and keeps it
-    in its checkpoint, so the session's setting can be put back right after."""
+    in its checkpoint, so the session's setting can be put back right after.  Starts
+    with a count of their own wait for each other."""
+    if not count:
+        yield
+        return
     name = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(name)
-    if count:
+    with _starting:
+        before = spark.conf.get(name)
         spark.conf.set(name, count)
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+        try:
+            yield
+        finally:
+            spark.conf.set(name, before)
 
 
 def start_to_sink(

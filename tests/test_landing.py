@@ -1,7 +1,9 @@
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
+from parcelflow.sinks import compaction
 from parcelflow.sinks.landing import land
 from parcelflow.sources.landed import landed_table
 from parcelflow.schema import LANDED_KEYS
@@ -71,3 +73,43 @@ def test_days_are_the_only_folders_listed(spark, tmp_path):
     assert all("day=28" in f or "day=29" in f for f in some.inputFiles())
     whole = landed_table(spark, str(tmp_path), SCHEMA).filter("day IN (28, 29)")
     assert sorted(some.collect()) == sorted(whole.collect())
+
+
+def test_a_crash_while_a_day_is_folded_shows_every_row_once(spark, tmp_path, monkeypatch):
+    path = str(tmp_path)
+    schema = f"id BIGINT, ts TIMESTAMP, {LANDED_KEYS}"
+    day = F.make_dt_interval(days=(F.col("id") % 3).cast("int"))
+    rows = spark.range(90).select("id", (F.lit("2024-01-01").cast("timestamp") + day).alias("ts"))
+    for batch in range(3):
+        land(rows.filter(F.floor(F.col("id") % 9 / 3) == batch), path, "r", batch, "ts")
+
+    def ids(**kwargs):
+        return sorted(r.id for r in landed_table(spark, path, schema, **kwargs).collect())
+
+    def fail(*_):
+        raise RuntimeError("died")
+
+    monkeypatch.setattr(compaction, "delete", fail)
+    with pytest.raises(RuntimeError):
+        compaction.compact_days(spark, path, [date(2024, 1, 1)], schema)
+    assert ids() == list(range(90))
+    monkeypatch.undo()
+    for n in (1, 1, 2):
+        compaction.compact_days(spark, path, [date(2024, 1, n)], schema)
+        assert ids() == list(range(90))
+    compaction.compact_days(spark, path, [date(2024, 1, n) for n in range(1, 6)], schema)
+    assert ids() == list(range(90))
+    assert ids(days=[date(2024, 1, 2)]) == list(range(1, 90, 3))
+    batches = landed_table(spark, path, schema).select("run", "batch_id").distinct().count()
+    assert batches == 3
+    land(rows.filter("id = 0"), path, "late", 7, "ts")  # after it was closed, all the same
+    assert ids() == [0, *range(90)]
+    compaction.compact_days(spark, path, [date(2024, 1, 1)], schema)
+    assert ids() == [0, *range(90)]
+
+
+def test_files_of_a_batch_are_bounded(spark, tmp_path):
+    rows = spark.range(1000, numPartitions=40).select("id", F.lit("2024-01-01").cast("timestamp").alias("processing_timestamp"))
+    land(rows, str(tmp_path), "r", 0, files=3)
+    assert len(list(tmp_path.rglob("*.parquet"))) <= 3
+    assert spark.read.parquet(str(tmp_path)).count() == 1000

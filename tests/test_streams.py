@@ -9,15 +9,30 @@ from corpus import envelope, text
 from pyspark.sql import functions as F
 
 from parcelflow.operators.summary import flat_window, windowed_summary
-from parcelflow.operators.timecols import EVENT_TIME, stamp_record_time, watermarked
+from parcelflow.operators.timecols import (
+    EVENT_TIME,
+    split_by_trust,
+    stamp_record_time,
+    watermarked,
+)
 from parcelflow.settings import SESSION_CONF, Settings
 from parcelflow.sinks.landing import landing_sink
 from parcelflow.sinks.messages import store
-from parcelflow.sinks.tables import add_batch, latest_per_key, replace_table
+from parcelflow.sinks import tables
+from parcelflow.sinks.tables import (
+    add_batch,
+    compact,
+    latest_per_key,
+    publish,
+    published_table,
+    replace_table,
+    upsert,
+    upserted,
+)
 from parcelflow.sources.landed import landed_table
 from parcelflow.sources.messages import file_stream
 from parcelflow.streaming import job
-from parcelflow.streaming.progress import progress_table
+from parcelflow.streaming.progress import progress_table, recorded, throughput
 from parcelflow.streaming.runner import await_any, run_to_end, start_to_console, start_to_sink
 
 DAY = datetime(2024, 1, 1, tzinfo=timezone.utc)
@@ -47,6 +62,8 @@ def emissions(spark, home, mode):
     out = str(home / mode)
     sink = replace_table(out) if mode == "complete" else add_batch(out)
     run_to_end(start_to_sink(summary, sink, mode, str(home / f"checkpoint-{mode}"), mode))
+    if mode == "complete":
+        return published_table(spark, out, summary.schema)
     return spark.read.parquet(out)
 
 
@@ -162,6 +179,10 @@ def test_job_lands_everything_and_summarises(spark, tmp_path, mode):
         "year = year(processing_timestamp) AND day = day(processing_timestamp)"
     ).count() == 6
     assert sum(p.numInputRows for p in analytics.recentProgress) == 6
+    stored = job.summary_table(spark, settings)
+    assert stored.agg(F.sum("listing_count")).first()[0] == 6
+    kept = throughput(spark, job.LANDING, settings.progress_path)
+    assert kept.agg(F.sum("rows")).first()[0] == 6
     # Started again, there is nothing left to do.
     for query in job.start(file_stream(spark, str(tmp_path / "in")), settings):
         run_to_end(query)
@@ -175,7 +196,7 @@ def test_processing_time_summary_counts_damaged_rows_apart(spark, tmp_path):
         start_to_sink(summary, replace_table(out), "s", str(tmp_path / "cp"), "complete")
     )
     counts = Counter()
-    for row in spark.read.parquet(out).collect():
+    for row in published_table(spark, out, summary.schema).collect():
         counts[row.city, row.type] += row.listing_count
         assert (row.avg_price is None) == (row.city is None)
     assert counts == {("Dallas", "House"): 2, ("Houston", "House"): 1, (None, None): 3}
@@ -204,6 +225,83 @@ def test_failure_of_either_query_surfaces(spark, tmp_path):
     spark.streams.resetTerminated()
 
 
+def test_bad_times_do_not_lead(spark):
+    rows = spark.sql("""
+        SELECT * FROM VALUES
+            (1, '2024-01-01 10:00:00.000000', timestamp'2024-01-05 00:00:00'),
+            (2, '2024-01-05 00:59:00.000000', timestamp'2024-01-05 00:00:00'),
+            (3, '2024-01-05 01:01:00.000000', timestamp'2024-01-05 00:00:00'),
+            (4, '2999-01-01 00:00:00.000000', timestamp'2024-01-05 00:00:00'),
+            (5, 'x', timestamp'2024-01-05 00:00:00'), (6, NULL, NULL),
+            (7, '2024-01-01 10:00:00.000000', NULL)
+        AS t(id, timestamp, sent)""")
+    trusted, rest = split_by_trust(rows, "sent")
+    assert sorted(r.id for r in trusted.collect()) == [1, 2, 7]
+    assert sorted(r.id for r in rest.collect()) == [3, 4, 5, 6]
+    assert {r.id: r[EVENT_TIME] == r.sent for r in rest.collect()} == {3: True, 4: True, 5: True, 6: True}
+
+
+def test_readers_see_the_last_whole_version(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    assert published_table(spark, path, "n INT").count() == 0
+    for version in range(4):
+        publish(spark.createDataFrame([(version,)], "n INT"), path, version)
+    assert [r.n for r in published_table(spark, path, "n INT").collect()] == [3]
+    assert len(list((tmp_path / "t" / "versions").iterdir())) == tables.KEPT_VERSIONS
+
+    def fail(*_):
+        raise RuntimeError("died before naming it")
+
+    monkeypatch.setattr(spark, "createDataFrame", fail)
+    rows = spark.sql("SELECT 9 AS n")
+    monkeypatch.setattr(type(rows.sparkSession), "createDataFrame", fail)
+    with pytest.raises(RuntimeError, match="died"):
+        publish(rows, path, 4)
+    monkeypatch.undo()
+    assert [r.n for r in published_table(spark, path, "n INT").collect()] == [3]
+    publish(spark.sql("SELECT 5 AS n"), path, 3)  # the batch is run again
+    assert published_table(spark, path, "n INT").count() == 1
+
+
+def test_folded_emissions_read_the_same(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sink = upsert(path)
+    schema = spark.sql("SELECT 'k' AS k, 1 AS n, 'x' AS s").schema
+    want = {}
+    for batch in range(5):
+        rows = [(f"k{i}", batch, f"s{batch}") for i in range(batch, 5)]
+        want |= {k: (n, s) for k, n, s in rows}
+        sink(spark.createDataFrame(rows, schema), batch)
+        if batch in (1, 3):
+            compact(spark, path, ["k"], schema, batch)
+            compact(spark, path, ["k"], schema, batch)
+        got = upserted(spark, path, ["k"], schema).collect()
+        assert {r.k: (r.n, r.s) for r in got} == want and len(got) == len(want)
+    left = {p.name for p in (tmp_path / "t" / "emitted").iterdir() if p.is_dir()}
+    assert left == {"batch_id=4"}
+
+
+def test_numbers_are_upserted_by_hash(spark):
+    rows = spark.sql("SELECT 'k' AS k, 1.5D AS n, 1L AS batch_id")
+    plan = latest_per_key(rows, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_throughput_outlives_spark_s_own_record(spark, tmp_path):
+    rows = feed(spark, tmp_path)
+    sink = recorded(add_batch(str(tmp_path / "o")), "p", str(tmp_path / "progress"))
+    before = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        query = run_to_end(start_to_sink(rows, sink, "p", str(tmp_path / "cp")))
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", before)
+    assert len(query.recentProgress) < 3
+    lines = throughput(spark, "p", str(tmp_path / "progress")).orderBy("batch_id").collect()
+    assert [line.batch_id for line in lines] == [0, 1, 2]
+    assert sum(line.rows for line in lines) == 6 and all(line.rows_per_second > 0 for line in lines)
+
+
 def test_progress(spark, tmp_path):
     query = run_to_end(
         start_to_sink(feed(spark, tmp_path), add_batch(str(tmp_path / "o")), "p", str(tmp_path / "cp"))
