@@ -25,14 +25,22 @@ def spread_key(key: Column, spread_by: Column, ways: int) -> Column:
     return F.concat_ws("#", key.cast("string"), F.pmod(F.xxhash64(spread_by), F.lit(ways)))
 
 
+def placed(df: DataFrame, partitions: int, key: Column) -> DataFrame:
+    """Rows in the partition ``topic_partition`` names, and the number as ``partition``.
+    Rows without a key have none; they share the first."""
+    numbered = df.withColumn("partition", topic_partition(key, partitions))
+    return numbered.repartitionById(partitions, F.coalesce("partition", F.lit(0)))
+
+
 def route(
     df: DataFrame, partitions: int, key: str, spread_by: str | None = None, ways: int = 1
 ) -> DataFrame:
-    """Equal keys to equal partitions; with ``ways`` > 1, to that many of them."""
+    """Equal keys to equal partitions; with ``ways`` > 1, to that many of them.
+    The placement is that of ``topic_partition``, so of a topic and of the report."""
     target = F.col(key)
     if spread_by is not None and ways > 1:
         target = spread_key(F.col(key), F.col(spread_by), ways)
-    return df.repartition(partitions, target)
+    return placed(df, partitions, target).select(*df.columns)
 
 
 # Sub-keys per even share: small pieces fall more evenly than large ones.
@@ -51,8 +59,8 @@ def hot_keys(df: DataFrame, partitions: int, key: str) -> DataFrame:
     return counts.filter(share > 1).withColumn("ways", F.ceil(share * PIECES))
 
 
-def route_evenly(df: DataFrame, partitions: int, key: str, spread_by: str) -> DataFrame:
-    """Like ``route``, but hot keys are divided by the hash of ``spread_by``.
+def with_even_key(df: DataFrame, partitions: int, key: str, spread_by: str) -> DataFrame:
+    """The rows with ``_even_key``: their key, or a sub-key where it is hot.
 
     Costs one count by key over the input.  All other keys stay whole; rows without
     a key are a key like any other, and may be the hot one.
@@ -62,9 +70,16 @@ def route_evenly(df: DataFrame, partitions: int, key: str, spread_by: str) -> Da
     )
     # Bounded by the number of partitions, hence safe to broadcast.
     marked = df.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hot")), "left")
-    piece = F.coalesce(F.pmod(F.xxhash64(spread_by), F.col("_ways")), F.lit(0))
-    placed = marked.withColumn("_piece", piece).repartition(partitions, key, "_piece")
-    return placed.select(*df.columns)
+    piece = F.concat_ws("#", F.coalesce(F.col(key).cast("string"), F.lit("")),
+                        F.pmod(F.xxhash64(spread_by), F.col("_ways")))
+    even = F.when(F.col("_ways").isNotNull(), piece).otherwise(F.col(key).cast("string"))
+    return marked.withColumn("_even_key", even).select(*df.columns, "_even_key")
+
+
+def route_evenly(df: DataFrame, partitions: int, key: str, spread_by: str) -> DataFrame:
+    """Like ``route``, but hot keys are divided by the hash of ``spread_by``."""
+    keyed = with_even_key(df, partitions, key, spread_by)
+    return placed(keyed, partitions, F.col("_even_key")).select(*df.columns)
 
 
 def rows_per_key(df: DataFrame, key: str) -> DataFrame:
