@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from parcelflow import vocabulary as V
 from parcelflow.functions import pricing, shape, text, times
 from parcelflow.operators.encode import assemble, encode
-from parcelflow.sources.tables import spread, table
+from parcelflow.operators.lookup import city_lookup, type_lookup
+from parcelflow.sources.tables import table
 
 AS_OF = "2002-01-01"
 FIRST_MINUTE = "2024-01-01 00:00:00"
@@ -35,6 +36,49 @@ BY_FLAG = {
     "neighborhood_class": {"A": "A", "N": "B", "R": "C"},
 }
 
+# What befalls a message of fault 2 and up: a pattern in its text and what takes its place.
+DAMAGE = (
+    (r'"bedrooms":(\d+)', '"bedrooms":"$1"'),  # 2: a wrong type in a nested field
+    (r"^.*$", ""),  # 3: an empty value
+    (r"^(.*)$", "[$1]"),  # 4: an array at the root
+    (r'"city":.*$', '"city":'),  # 5: cut off inside the first struct
+    (r'"property_id":"[^"]*"', '"property_id":17'),  # 6: a number in a string field
+    (r'"property_id":"[^"]*"', '"property_id":["a"]'),  # 7: an array in a string field
+    (r'"property_id":', '"unknown":1,"property_id":'),  # 8: a field not known
+)
+AHEAD_FAULT = 50
+
+# By rule: a field, and the value (SQL over the sound row) that breaks the rule.
+BREAKS = {
+    "type_known": ("type", "'Castle'"),
+    "transaction_known": ("transaction_type", "'Swap'"),
+    "construction_known": ("construction_type", "'Straw'"),
+    "class_known": ("neighborhood_class", "'Z'"),
+    "status_known": ("listing_status", "'Lost'"),
+    "city_known": ("city", "'Nowhere'"),
+    "state_of_city": ("state", "'ZZ'"),
+    "zip_of_city": ("zip_code", "'123'"),
+    "country": ("country", "'Mars'"),
+    "land_shape": ("floors", "9"),
+    "building_shape": ("bathrooms", "99"),
+    "amenities": ("amenities", "array('Pool')"),
+    "year_built": ("year_built", "1800"),
+    "unit_price": ("price_per_sqft", "1"),
+    "price_near_estimate": ("price", "price * 2"),
+    "tax_assessment": ("tax_assessment", "price * 2"),
+    "last_sale_price": ("last_sale_price", "price * 3"),
+    "hoa_fee": ("hoa_fee", "900"),
+    "scores": ("walk_score", "101"),
+    "parking": ("parking_spaces", "9"),
+    "school_district": ("school_district", "'District 99'"),
+    "property_id": ("property_id", "'X'"),
+    "agent_id": ("agent_id", "'AGT-1'"),
+    "listing_date": ("listing_date", "'1999-01-01'"),
+    "days_on_market": ("days_on_market", "-5"),
+    "last_sale_date": ("last_sale_date", "'2001-12-20'"),
+}
+BREAK_EVERY = 53
+
 RECORD_COLUMNS = [
     "property_id", "address", "property_details", "financials", "listing_details",
     "agent", "location", "timestamp",
@@ -80,8 +124,7 @@ def base_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     return (
-        spread(lines)
-        .join(part, F.col("l_partkey") == F.col("p_partkey"))
+        lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(places, F.col("s_nationkey") == F.col("n_nationkey"))
     )
@@ -93,7 +136,8 @@ def flat_listings(spark: SparkSession, sf_dir: str, mapped: bool = False) -> Dat
     cities = {name: [row[i] for row in V.CITIES] for i, name in enumerate(("city", "state", "zip"))}
     kind = _mapped(col("p_type"), PART_TYPES) if mapped else col("p_type")
     seller = col("l_suppkey")
-    price = F.floor("l_extendedprice").cast("double")
+    price = col("l_extendedprice")
+    cents = F.round(price * 100).cast("bigint")
     first = F.lit(FIRST_MINUTE).cast("timestamp_ntz")
     minutes = F.pmod("l_orderkey", F.lit(1440))
     rows = base_rows(spark, sf_dir).withColumns(
@@ -137,9 +181,8 @@ def flat_listings(spark: SparkSession, sf_dir: str, mapped: bool = False) -> Dat
         (col("l_linestatus") == "F").alias("has_garage"),
         F.pmod("l_partkey", F.lit(4)).cast("int").alias("parking_spaces"),
         price.alias("price"),
-        # Whole dollars and 256ths add up exactly in any order, so averages over
-        # them can be compared bit for bit.
-        (F.floor(pricing.unit_price(price, sqft) * 256) / 256).alias("price_per_sqft"),
+        # To the cent, halves up, reckoned in whole cents.
+        F.when(sqft > 0, F.floor((2 * cents + sqft) / (2 * sqft)) / 100).alias("price_per_sqft"),
         (price * 0.8).alias("tax_assessment"),
         F.when(
             F.pmod("l_partkey", F.lit(10)) >= 3,
@@ -167,6 +210,60 @@ def flat_listings(spark: SparkSession, sf_dir: str, mapped: bool = False) -> Dat
     )
 
 
+def ruled_listings(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Nested listings that meet every domain rule, but for the ones ``BREAKS`` names:
+    of every ``BREAK_EVERY`` order keys one breaks each rule."""
+    col = F.col
+    rows = type_lookup(city_lookup(flat_listings(spark, sf_dir, mapped=True), "city"), "type")
+    order, kind = col("l_orderkey"), col("type")
+    part, days = col("l_partkey"), F.pmod("l_orderkey", F.lit(731)).cast("int")
+    area = col("type_sqft_min") + F.pmod(
+        col("sqft"), col("type_sqft_max") - col("type_sqft_min") + 1
+    )
+    beds = col("type_bed_min") + F.pmod(part, col("type_bed_max") - col("type_bed_min") + 1)
+    letters = F.translate(
+        F.lpad(F.pmod(order, F.lit(10_000)).cast("string"), 4, "0"), "0123456789", "ABCDEFGHIJ"
+    )
+    number = F.lpad(col("l_linenumber").cast("string"), 4, "0")
+    sound = rows.withColumns(
+        {
+            "property_id": F.concat(F.lit("PRP-"), letters, F.lit("-"), number),
+            "year_built": (V.FIRST_YEAR_BUILT + F.pmod(part, F.lit(103))).cast("int"),
+            "bedrooms": beds.cast("int"),
+            "bathrooms": col("type_bath_min"),
+            "living_area": shape.only_building(kind, area).cast("int"),
+            "lot_size": shape.only_land(kind, 20_000 + col("sqft")).cast("bigint"),
+            "listing_date": times.format_date(F.date_sub(as_of(), days)),
+            "days_on_market": days,
+            "last_sale_date": times.format_date(
+                F.date_sub(as_of(), 400 + F.pmod(order, F.lit(3000)).cast("int"))
+            ),
+            "agent_id": text.agent_id(1 + F.pmod("l_suppkey", F.lit(V.AGENTS))),
+        }
+    )
+    estimate = pricing.price_estimate(
+        col("living_area"), col("type_base_price_per_sqft"), col("city_price_multiplier"),
+        col("bedrooms"), times.years_since(col("year_built"), as_of()), col("neighborhood_class"),
+    )
+    sound = sound.withColumn(
+        "price", F.when(kind == V.LAND, col("price")).otherwise(F.floor(estimate)).cast("double")
+    ).withColumns(
+        {
+            "price_per_sqft": pricing.unit_price(col("price"), col("living_area")),
+            "tax_assessment": col("price") * 0.8,
+            "last_sale_price": col("price") * 0.9,
+        }
+    )
+    due = F.pmod(order, F.lit(BREAK_EVERY))
+    broken: dict[str, Column] = {}
+    for turn, (name, value) in enumerate(BREAKS.values()):
+        kind_of = sound.schema[name].dataType
+        broken[name] = F.when(due == turn, F.expr(value).cast(kind_of)).otherwise(
+            broken.get(name, col(name))
+        )
+    return assemble(sound.withColumns(broken), SOURCES, keep)
+
+
 def listings(
     spark: SparkSession, sf_dir: str, mapped: bool = False, keep: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -175,15 +272,22 @@ def listings(
 
 
 def messages(
-    spark: SparkSession, sf_dir: str, mapped: bool = False, damaged: bool = False
+    spark: SparkSession,
+    sf_dir: str,
+    mapped: bool = False,
+    damaged: bool = False,
+    delayed: bool = False,
+    ruled: bool = False,
 ) -> DataFrame:
     """The listings as keyed JSON messages with the envelope of a topic.
 
     ``damaged`` breaks some by rule: of every 97 order keys one turns into text
-    that is not JSON, one into null, and one gets its bedrooms as text.
+    that is not JSON, one into null, one gets its bedrooms as text, and each other kind
+    of ``DAMAGE`` befalls one.  ``delayed`` messages are sent three days after their
+    record's time, and of those the first lines of one order key in 97 are dated far ahead.
     """
     keep = ("l_orderkey", "l_linenumber", "n_name")
-    nested = listings(spark, sf_dir, mapped, keep)
+    nested = ruled_listings(spark, sf_dir, keep) if ruled else listings(spark, sf_dir, mapped, keep)
     order = F.col("l_orderkey")
     offset = F.make_dt_interval(mins=F.pmod(order, F.lit(1440)).cast("int"))
     envelope = (
@@ -195,18 +299,27 @@ def messages(
     if damaged:
         nested = nested.withColumn("_fault", F.pmod(order, F.lit(97)))
         envelope += (F.col("_fault"),)
+    if delayed:
+        envelope += (order.alias("_order"),)
     out = encode(nested, F.col("n_name"), TOPIC, RECORD_COLUMNS, keep=envelope)
     if damaged:
         whole = F.col("value").cast("string")
-        as_text = F.regexp_replace(whole, r'"bedrooms":(\d+)', '"bedrooms":"$1"')
-        value = (
-            F.when(F.col("_fault") == 0, F.lit("not json"))
-            .when(F.col("_fault") == 1, F.lit(None))
-            .when(F.col("_fault") == 2, as_text)
-            .otherwise(whole)
+        value = F.when(F.col("_fault") == 0, F.lit("not json")).when(
+            F.col("_fault") == 1, F.lit(None)
+        )
+        for number, (pattern, put) in enumerate(DAMAGE, start=2):
+            value = value.when(F.col("_fault") == number, F.regexp_replace(whole, pattern, put))
+        out = out.withColumn("value", value.otherwise(whole).cast("binary"))
+    if delayed:
+        ahead = (F.col("_order") % 97 == AHEAD_FAULT) & (F.col("offset") == 1)
+        dated = F.regexp_replace(F.col("value").cast("string"), '"timestamp":"2024', '"timestamp":"2999')
+        out = out.withColumns(
+            {
+                "value": F.when(ahead, dated.cast("binary")).otherwise(F.col("value")),
+                "timestamp": F.col("timestamp") + F.expr("INTERVAL 3 DAYS"),
+            }
         )
-        out = out.withColumn("value", value.cast("binary"))
     return out.select(
         "key", "value", "topic", "partition", "offset", "timestamp", "timestampType",
-        *(["_fault"] if damaged else []),
+        *(["_fault"] if damaged else []), *(["_order"] if delayed else []),
     )

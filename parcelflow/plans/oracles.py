@@ -6,38 +6,28 @@ rounded, since engines break ties differently.
 
 from __future__ import annotations
 
-from parcelflow import vocabulary as V
-
-
-def _values(rows) -> str:
-    def literal(value) -> str:
-        return f"'{value}'" if isinstance(value, str) else f"{value!r}"
-
-    def typed(value) -> str:
-        text = literal(value)
-        return f"CAST({text} AS DOUBLE)" if isinstance(value, float) else text
-
-    return ", ".join("(" + ", ".join(typed(v) for v in row) + ")" for row in rows)
-
-
-def _list(values) -> str:
-    return "[" + ", ".join(f"'{value}'" for value in values) + "]"
-
-
-def _set(values) -> str:
-    return "(" + ", ".join(f"'{value}'" for value in values) + ")"
-
-
-CITY_DIM = (
-    "city_dim(city, state, zip_prefix, price_multiplier) AS "
-    f"(VALUES {_values(V.CITIES)})"
-)
-TYPE_DIM = (
-    "type_dim(type, sqft_min, sqft_max, bed_min, bed_max, bath_min, bath_max, "
-    f"base_price_per_sqft) AS (VALUES {_values(V.PROPERTY_TYPES)})"
-)
-CITY_AT = {i: _list([row[i] for row in V.CITIES]) + "[1 + l_suppkey % 10]" for i in range(3)}
-AMENITIES = _list(V.AMENITIES)
+# Stated here once more, in SQL, and not taken from the code under test.
+CITY_DIM = """city_dim(city, state, zip_prefix, price_multiplier) AS (VALUES
+    ('New York', 'NY', '10', CAST(1.8 AS DOUBLE)), ('Los Angeles', 'CA', '90', 1.6),
+    ('Chicago', 'IL', '60', 1.2), ('Houston', 'TX', '77', 1.1), ('Phoenix', 'AZ', '85', 1.0),
+    ('Philadelphia', 'PA', '19', 1.3), ('San Antonio', 'TX', '78', 0.9),
+    ('San Diego', 'CA', '92', 1.5), ('Dallas', 'TX', '75', 1.1), ('San Jose', 'CA', '95', 1.7))"""
+TYPE_DIM = """type_dim(type, sqft_min, sqft_max, bed_min, bed_max, bath_min, bath_max,
+    base_price_per_sqft) AS (VALUES
+    ('Apartment', 500, 2000, 1, 3, CAST(1 AS DOUBLE), CAST(2.5 AS DOUBLE), CAST(200 AS DOUBLE)),
+    ('House', 1000, 5000, 2, 5, 1.5, 4, 180), ('Villa', 2000, 8000, 3, 6, 2, 5, 250),
+    ('Condo', 600, 2500, 1, 3, 1, 3, 220), ('Townhouse', 1200, 3000, 2, 4, 1.5, 3.5, 190),
+    ('Land', 5000, 50000, 0, 0, 0, 0, 50))"""
+CITY_AT = {
+    0: """(['New York', 'Los Angeles', 'Chicago', 'Houston', 'Phoenix', 'Philadelphia',
+        'San Antonio', 'San Diego', 'Dallas', 'San Jose'])[1 + l_suppkey % 10]""",
+    1: "(['NY', 'CA', 'IL', 'TX', 'AZ', 'PA', 'TX', 'CA', 'TX', 'CA'])[1 + l_suppkey % 10]",
+    2: "(['10', '90', '60', '77', '85', '19', '78', '92', '75', '95'])[1 + l_suppkey % 10]",
+}
+AMENITIES = """['Pool', 'Gym', 'Parking', 'Garden', 'Fireplace', 'Balcony', 'Elevator',
+    'Security']"""
+CONSTRUCTIONS = "['Brick', 'Wood', 'Concrete', 'Steel', 'Mixed']"
+STATUSES = "['Active', 'Pending', 'Sold', 'Withdrawn']"
 
 MAPPED_TYPE = """CASE p_type WHEN 'ECONOMY' THEN 'Apartment' WHEN 'LARGE' THEN 'Condo'
     WHEN 'MEDIUM' THEN 'House' WHEN 'PROMO' THEN 'Land' WHEN 'SMALL' THEN 'Townhouse'
@@ -51,7 +41,7 @@ base AS (
     SELECT *,
         {MAPPED_TYPE if mapped else "p_type"} AS type,
         CAST(l_quantity * 100 AS INTEGER) AS sqft,
-        floor(l_extendedprice) AS price,
+        l_extendedprice AS price,
         ({AMENITIES})[1 + p_size % 4 : 2 + 2 * (p_size % 4)] AS amenities
     FROM lineitem
     JOIN part ON p_partkey = l_partkey
@@ -79,7 +69,7 @@ listing AS (
         CASE l_returnflag WHEN 'A' THEN 'Sale' WHEN 'N' THEN 'Rent' WHEN 'R' THEN 'Lease' END
             AS transaction_type,
         CAST(1900 + l_partkey % 126 AS INTEGER) AS year_built,
-        ({_list(V.CONSTRUCTION_TYPES)})[1 + l_partkey % 5] AS construction_type,
+        ({CONSTRUCTIONS})[1 + l_partkey % 5] AS construction_type,
         CASE WHEN type = 'Land' THEN 0 ELSE 1 + p_size % 3 END AS floors,
         CASE WHEN type = 'Land' THEN CAST(sqft * 2 AS DOUBLE) END AS lot_size,
         CASE WHEN type <> 'Land' THEN sqft END AS living_area,
@@ -89,7 +79,8 @@ listing AS (
         CASE l_returnflag WHEN 'A' THEN 'A' WHEN 'N' THEN 'B' WHEN 'R' THEN 'C' END
             AS neighborhood_class,
         price,
-        CASE WHEN sqft > 0 THEN floor(price / sqft * 256) / 256 END AS price_per_sqft,
+        CASE WHEN sqft > 0 THEN floor((2 * CAST(round(price * 100) AS BIGINT) + sqft) / (2 * sqft)) / 100
+            END AS price_per_sqft,
         price * CAST(0.8 AS DOUBLE) AS tax_assessment,
         CASE WHEN l_partkey % 10 >= 3 THEN CAST(100 + l_partkey % 400 AS DOUBLE) END AS hoa_fee,
         price * CAST(0.9 AS DOUBLE) AS last_sale_price,
@@ -97,7 +88,7 @@ listing AS (
         strftime(l_shipdate, '%Y-%m-%d') AS listing_date,
         CAST(date_diff('day', CAST(l_shipdate AS DATE), DATE '2002-01-01') AS INTEGER)
             AS days_on_market,
-        ({_list(V.LISTING_STATUSES)})[1 + l_orderkey % 4] AS listing_status,
+        ({STATUSES})[1 + l_orderkey % 4] AS listing_status,
         'Charming'
             || CASE WHEN bedrooms > 0 THEN ' ' || bedrooms || ' bedroom'
                     || CASE WHEN bedrooms > 1 THEN 's' ELSE '' END ELSE '' END
@@ -137,10 +128,14 @@ def _window(time: str) -> str:
     )
 
 
+def _exact_mean(value: str) -> str:
+    return f"CAST(sum(CAST({value} AS DECIMAL(28,6))) AS DOUBLE) / count({value})"
+
+
 LISTING_SUMMARY = f"""
 SELECT {_window("event_time")}, city, type,
-    avg(price) AS avg_price, count(*) AS listing_count,
-    avg(price_per_sqft) AS avg_price_per_sqft
+    {_exact_mean("price")} AS avg_price, count(*) AS listing_count,
+    {_exact_mean("price_per_sqft")} AS avg_price_per_sqft
 FROM listing GROUP BY ALL"""
 
 EVENT_MEAN = f"{_exact_sum('value')} / count(*) AS avg_value"
@@ -175,11 +170,11 @@ def _within(value: str, of: str, low: float, high: float) -> str:
 
 # What a valid row meets, in the order violations are named.
 CONDITIONS = {
-    "type_known": f"type IN {_set(row[0] for row in V.PROPERTY_TYPES)}",
-    "transaction_known": f"transaction_type IN {_set(V.TRANSACTION_TYPES)}",
-    "construction_known": f"construction_type IN {_set(V.CONSTRUCTION_TYPES)}",
-    "class_known": f"neighborhood_class IN {_set(V.NEIGHBORHOOD_CLASSES)}",
-    "status_known": f"listing_status IN {_set(V.LISTING_STATUSES)}",
+    "type_known": "type IN ('Apartment', 'House', 'Villa', 'Condo', 'Townhouse', 'Land')",
+    "transaction_known": "transaction_type IN ('Sale', 'Rent', 'Lease')",
+    "construction_known": f"list_contains({CONSTRUCTIONS}, construction_type)",
+    "class_known": "neighborhood_class IN ('A', 'B', 'C')",
+    "status_known": f"list_contains({STATUSES}, listing_status)",
     "city_known": "c_state IS NOT NULL",
     "state_of_city": "state = c_state",
     "zip_of_city": "starts_with(zip_code, c_zip) AND length(zip_code) = 5",
@@ -216,29 +211,91 @@ CONDITIONS = {
                       "BETWEEN 365 AND 3653",
 }
 
-CHECKED = f"""WITH {CITY_DIM}, {TYPE_DIM}, {MAPPED},
+BREAKS = (
+    ("type", "'Castle'"), ("transaction_type", "'Swap'"), ("construction_type", "'Straw'"),
+    ("neighborhood_class", "'Z'"), ("listing_status", "'Lost'"), ("city", "'Nowhere'"),
+    ("state", "'ZZ'"), ("zip_code", "'123'"), ("country", "'Mars'"), ("floors", "9"),
+    ("bathrooms", "99"), ("amenities", "['Pool']"), ("year_built", "1800"),
+    ("price_per_sqft", "1"), ("price", "price * 2"), ("tax_assessment", "price * 2"),
+    ("last_sale_price", "price * 3"), ("hoa_fee", "900"), ("walk_score", "101"),
+    ("parking_spaces", "9"), ("school_district", "'District 99'"), ("property_id", "'X'"),
+    ("agent_id", "'AGT-1'"), ("listing_date", "'1999-01-01'"), ("days_on_market", "-5"),
+    ("last_sale_date", "'2001-12-20'"),
+)
+
+
+def _ruled() -> str:
+    """``sound``: listings that meet every rule; ``ruled``: one rule broken by turns."""
+    broken = ",\n        ".join(
+        f"CASE WHEN l_orderkey % 53 = {turn} THEN {value} ELSE {name} END AS {name}"
+        for turn, (name, value) in enumerate(BREAKS)
+    )
+    return f"""
+dims AS (
+    SELECT listing.*, c.price_multiplier, t.* EXCLUDE (type),
+        t.sqft_min + sqft % (t.sqft_max - t.sqft_min + 1) AS area
+    FROM listing
+    JOIN city_dim c ON c.city = listing.city JOIN type_dim t ON t.type = listing.type
+),
+shaped AS (
+    SELECT * REPLACE (
+        'PRP-' || translate(lpad(CAST(l_orderkey % 10000 AS VARCHAR), 4, '0'), '0123456789',
+            'ABCDEFGHIJ') || '-' || lpad(CAST(l_linenumber AS VARCHAR), 4, '0') AS property_id,
+        CAST(1900 + l_partkey % 103 AS INTEGER) AS year_built,
+        bed_min + l_partkey % (bed_max - bed_min + 1) AS bedrooms,
+        bath_min AS bathrooms,
+        CASE WHEN type <> 'Land' THEN area END AS living_area,
+        CASE WHEN type = 'Land' THEN CAST(20000 + sqft AS DOUBLE) END AS lot_size,
+        strftime(DATE '2002-01-01' - CAST(l_orderkey % 731 AS INTEGER), '%Y-%m-%d') AS listing_date,
+        CAST(l_orderkey % 731 AS INTEGER) AS days_on_market,
+        strftime(DATE '2002-01-01' - CAST(400 + l_orderkey % 3000 AS INTEGER), '%Y-%m-%d')
+            AS last_sale_date,
+        'AGT-' || lpad(CAST(1 + l_suppkey % 1000 AS VARCHAR), 5, '0') AS agent_id)
+    FROM dims
+),
+priced AS (
+    SELECT t.* REPLACE (CASE WHEN type = 'Land' THEN price ELSE floor(
+        {ESTIMATE.replace("sqft * c.", "living_area * t.")}) END AS price)
+    FROM shaped t
+),
+sound AS (
+    SELECT * EXCLUDE (price_multiplier, sqft_min, sqft_max, bed_min, bed_max, bath_min, bath_max,
+            base_price_per_sqft, area)
+        REPLACE (CASE WHEN living_area > 0 THEN price / living_area END AS price_per_sqft,
+            price * CAST(0.8 AS DOUBLE) AS tax_assessment,
+            price * CAST(0.9 AS DOUBLE) AS last_sale_price)
+    FROM priced
+),
+ruled AS (
+    SELECT * REPLACE ({broken}) FROM sound
+)"""
+
+
+def _checked(rows: str) -> str:
+    return f"""
 looked_up AS (
     SELECT listing.*, c.state AS c_state, c.zip_prefix AS c_zip, t.* EXCLUDE (type),
         {ESTIMATE.replace("sqft * c.", "living_area * c.")} AS estimate
-    FROM listing
+    FROM {rows} AS listing
     LEFT JOIN city_dim c ON c.city = listing.city
     LEFT JOIN type_dim t ON t.type = listing.type
 )"""
 
 
-def _broken(left_out: tuple[str, ...] = ()) -> str:
+LOOKED_UP = f"WITH {CITY_DIM}, {TYPE_DIM}, {MAPPED}, {_checked('listing')}"
+CHECKED = f"WITH {CITY_DIM}, {TYPE_DIM}, {MAPPED}, {_ruled()}, {_checked('ruled')}"
+
+
+def _broken() -> str:
     """One entry per rule: its name where a row of ``looked_up`` breaks it, else null."""
     return ",\n    ".join(
         f"CASE WHEN NOT coalesce({condition}, false) THEN '{name}' END"
         for name, condition in CONDITIONS.items()
-        if name not in left_out
     )
 
 
-LEFT_OUT = ("property_id", "price_near_estimate", "listing_date")
 QUALITY_SPLIT = f"""{CHECKED}
-SELECT CASE WHEN concat_ws(',', {_broken(LEFT_OUT)}) = ''
-            THEN 'valid' ELSE 'quarantined' END AS side,
+SELECT CASE WHEN concat_ws(',', {_broken()}) = '' THEN 'valid' ELSE 'quarantined' END AS side,
     type, count(*) AS row_count, {_exact_sum("price")} AS sum_price
 FROM looked_up GROUP BY ALL"""
 
@@ -267,8 +324,30 @@ WHERE (watermark IS NULL OR window_start + INTERVAL 15 MINUTE > watermark)
       <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)
 GROUP BY ALL"""
 
-FAULT = "least(l_orderkey % 97, 3)"
-NOT_LOST = "CASE WHEN l_orderkey % 97 > 1 THEN {} END"
+FAULT = "least(l_orderkey % 97, 9)"
+# Messages that are not JSON, null, empty, arrays or cut off leave nothing.
+LOST = "l_orderkey % 97 IN (0, 1, 3, 4, 5)"
+NOT_LOST = f"CASE WHEN NOT {LOST} THEN {{}} END"
+OVER_WINDOWS = f"""count(*) AS listing_count, {_exact_sum("{price}")} AS sum_price,
+    {_exact_sum("{unit}")} AS sum_price_per_sqft"""
+
+
+def _damaged(closed: str) -> str:
+    """Sound rows by window, and the others on a line of their own."""
+    return f"""WITH {MAPPED},
+sound AS (
+    SELECT * FROM listing
+    WHERE NOT {LOST} AND NOT (l_orderkey % 97 = 50 AND l_linenumber = 1)
+),
+summed AS (
+    SELECT {_window("event_time")}, city, type, {_exact_mean("price")} AS avg_price,
+        count(*) AS listing_count, {_exact_mean("price_per_sqft")} AS avg_price_per_sqft
+    FROM sound GROUP BY ALL
+)
+SELECT * FROM summed WHERE {closed}
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, (SELECT count(*) FROM listing) - count(*), NULL FROM sound"""
+
 ROUTE_PARTITION = (
     "CAST(CAST('0x' || substr(md5(city), 1, 8) AS BIGINT) % 6 AS INTEGER)"
 )
@@ -287,12 +366,12 @@ SELECT property_id, street, city, state, zip_code, country, type, transaction_ty
 FROM listing""",
     "listing_decode_malformed": f"""
 SELECT {FAULT} AS fault, count(*) AS row_count,
-    count(*) FILTER (l_orderkey % 97 > 1) AS ids,
-    count(*) FILTER (l_orderkey % 97 > 1) AS cities,
-    count(*) FILTER (l_orderkey % 97 > 2) AS bedrooms,
-    count(*) FILTER (l_orderkey % 97 > 1) AS bathrooms,
-    count(*) FILTER (l_orderkey % 97 > 1) AS prices,
-    count(*) FILTER (l_orderkey % 97 IN (0, 2)) AS damaged_texts
+    count(*) FILTER (l_orderkey % 97 NOT IN (0, 1, 3, 4)) AS ids,
+    count(*) FILTER (NOT {LOST}) AS cities,
+    count(*) FILTER (NOT {LOST} AND l_orderkey % 97 <> 2) AS bedrooms,
+    count(*) FILTER (NOT {LOST}) AS bathrooms,
+    count(*) FILTER (NOT {LOST}) AS prices,
+    count(*) FILTER (l_orderkey % 97 IN (0, 2, 4, 5)) AS damaged_texts
 FROM lineitem GROUP BY ALL""",
     "message_envelope": f"""WITH {MAPPED}
 SELECT n_name AS key, 'listings' AS topic, CAST(l_orderkey % 6 AS INTEGER) AS partition,
@@ -305,15 +384,15 @@ FROM listing GROUP BY ALL""",
     "listing_window_summary_malformed": f"""WITH {PLAIN}
 SELECT {_window("event_time")},
     {NOT_LOST.format("city")} AS city, {NOT_LOST.format("type")} AS type,
-    avg({NOT_LOST.format("price")}) AS avg_price, count(*) AS listing_count,
-    avg({NOT_LOST.format("price_per_sqft")}) AS avg_price_per_sqft
+    {_exact_mean(NOT_LOST.format("price"))} AS avg_price, count(*) AS listing_count,
+    {_exact_mean(NOT_LOST.format("price_per_sqft"))} AS avg_price_per_sqft
 FROM listing GROUP BY ALL""",
     "events_window_summary": f"""
 SELECT {_window("ts")}, event_type, count(*) AS event_count, {EVENT_MEAN},
     avg(CAST(json_extract_string(props, '$.k') AS INTEGER)) AS avg_k
 FROM events GROUP BY ALL""",
     "processing_time_summary": f"""WITH {PLAIN}
-SELECT city, type, CAST(1 AS BIGINT) AS windows, count(*) AS listing_count
+SELECT city, type, {OVER_WINDOWS.format(price="price", unit="price_per_sqft")}
 FROM listing GROUP BY ALL""",
     "stream_complete_equals_batch": f"WITH {PLAIN} {LISTING_SUMMARY}",
     "stream_append_closed_windows": f"""
@@ -323,15 +402,25 @@ WHERE window_end <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""",
     "stream_late_rows": LATE,
     "stream_processing_time_summary": f"""WITH {MAPPED}
 SELECT {NOT_LOST.format("city")} AS city, {NOT_LOST.format("type")} AS type,
-    count(*) AS listing_count, bool_or(l_orderkey % 97 > 1) AS has_price
+    {OVER_WINDOWS.format(price=NOT_LOST.format("price"), unit=NOT_LOST.format("price_per_sqft"))}
+FROM listing GROUP BY ALL""",
+    "stream_damaged_append": _damaged(
+        "window_end <= (SELECT max(event_time) - INTERVAL 10 MINUTE FROM sound)"
+    ),
+    "stream_damaged_update": _damaged("true"),
+    "job_two_queries": f"""WITH {MAPPED}
+SELECT {NOT_LOST.format("city")} AS city, {NOT_LOST.format("type")} AS type,
+    count(*) AS landed_rows, count(*) AS listing_count,
+    {_exact_sum(NOT_LOST.format("price"))} AS sum_price, true AS stopped_together
 FROM listing GROUP BY ALL""",
-    "stream_price_estimate": f"""{CHECKED}
+    "stream_price_estimate": f"""{LOOKED_UP}
 SELECT property_id, city, c_state AS city_state, type, estimate AS price_estimate
 FROM looked_up""",
     "stream_quality_split": QUALITY_SPLIT,
     "landing_partitions": f"""{EVENT_DAYS},
     min(event_id) AS first_event, max(event_id) AS last_event
 FROM events GROUP BY ALL""",
+    "landing_compacted": f"{EVENT_DAYS}, CAST(1 AS BIGINT) AS files FROM events GROUP BY ALL",
     "landing_retry": f"{EVENT_DAYS} FROM events GROUP BY ALL",
     "landing_listings": f"""WITH {MAPPED}
 SELECT {DAY.format("event_time")}, city, type, count(*) AS row_count,
@@ -429,6 +518,14 @@ shares AS (
     FROM counts
 )
 SELECT key, row_count, CAST(ceil(share * 4) AS BIGINT) AS ways FROM shares WHERE share > 1""",
+    "routed_messages": """
+SELECT count(*) AS row_count, CAST(6 AS BIGINT) AS as_reported, CAST(6 AS BIGINT) AS in_place,
+    true AS hot_key_divided
+FROM lineitem""",
     "query_progress": """
-SELECT 'feed' AS query, count(*) AS input_rows, true AS has_rate FROM events""",
+SELECT 'feed' AS query, batch_id, count(*) AS rows, true AS has_rate
+FROM (SELECT CASE WHEN ts < TIMESTAMP '2024-01-11' THEN 0
+                  WHEN ts < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END::BIGINT AS batch_id
+      FROM events)
+GROUP BY ALL""",
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from parcelflow.functions import arrays, pricing, shape, times
 from parcelflow.operators import quality, routing
 from parcelflow.operators.decode import DAMAGED, decode, decode_fields
+from parcelflow.operators.encode import encode
 from parcelflow.operators.lookup import city_lookup, type_lookup
 from parcelflow.operators.summary import (
     LISTING_KEYS,
@@ -22,26 +24,32 @@ from parcelflow.operators.timecols import (
     EVENT_TIME,
     PROCESSING_TIME,
     stamp_processing_time,
+    split_by_trust,
     stamp_record_time,
     watermarked,
 )
 from parcelflow.plans import listings as fixture
-from parcelflow.plans.replay import (
-    EVENTS,
-    event_cuts,
-    half_of_files,
-    replay,
-    timed_events,
-)
+from parcelflow.plans.replay import EVENTS, event_cuts, replay, timed_events
 from parcelflow.schema import DAY_KEYS, LANDED, LANDED_KEYS
+from parcelflow.sinks.compaction import compact_days, folded
 from parcelflow.sinks.landing import BatchSink, landing_sink
 from parcelflow.sinks.messages import store
-from parcelflow.sinks.tables import add_batch, latest_per_key, replace_table, split_sink, store_split
+from parcelflow.settings import Settings
+from parcelflow.sinks.tables import (
+    add_batch,
+    compact,
+    published_table,
+    replace_table,
+    split_sink,
+    store_split,
+    upsert,
+    upserted,
+)
 from parcelflow.sources.landed import landed_table
-from parcelflow.sources.messages import file_messages, file_stream
+from parcelflow.sources.messages import file_stream
 from parcelflow.streaming import job
-from parcelflow.streaming.progress import progress_table
-from parcelflow.streaming.runner import SUMMARY_PARTITIONS, run_to_end, start_to_sink
+from parcelflow.streaming.progress import recorded, throughput
+from parcelflow.streaming.runner import await_any, run_to_end, start_to_sink
 from parcelflow.workspace import fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +57,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The envelope's time, kept beside the record so damaged rows stay countable.
 MESSAGE_TIME = "message_timestamp"
 LINE = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+# Stored files a replay takes in one batch.
+FILES_A_TRIGGER = 2
 
 
 def _message_time() -> Column:
@@ -89,10 +99,10 @@ def listing_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def listing_decode_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What is left of each kind of damage (fault 3 and up: none)."""
+    """What is left of each kind of damage (fault 9 and up: none)."""
     records = decode(
         fixture.messages(spark, sf_dir, damaged=True),
-        keep=[F.least("_fault", F.lit(3)).alias("fault")],
+        keep=[F.least("_fault", F.lit(9)).alias("fault")],
         damaged_column=DAMAGED,
     )
     return records.groupBy("fault").agg(
@@ -158,13 +168,10 @@ def events_window_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def processing_time_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The clock varies, so only what it must not change: all rows of a run share
-    one window, and each city and type keeps its rows."""
+    """The clock varies, so what it must not change: over all windows each city and
+    type keeps its rows and its mean prices."""
     rows = stamp_processing_time(decode_fields(fixture.messages(spark, sf_dir)))
-    summary = listing_summary(rows, PROCESSING_TIME)
-    return summary.groupBy(*LISTING_KEYS).agg(
-        F.count("window").alias("windows"), F.sum("listing_count").alias("listing_count")
-    )
+    return _over_windows(flat_window(listing_summary(rows, PROCESSING_TIME)))
 
 
 # Streams ---------------------------------------------------------------------------
@@ -174,19 +181,19 @@ def stream_complete_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship as a stream in complete mode; the last result table."""
     home = fresh_dir(spark, "stream-complete")
     store(fixture.messages(spark, sf_dir), f"{home}/in")
-    limit = half_of_files(file_messages(spark, f"{home}/in"))
-    feed = file_stream(spark, f"{home}/in", max_files_per_trigger=limit)
+    feed = file_stream(spark, f"{home}/in", max_files_per_trigger=FILES_A_TRIGGER)
     summary = flat_window(
         listing_summary(watermarked(_listing_rows(feed), EVENT_TIME), EVENT_TIME)
     )
     sink = replace_table(f"{home}/out")
     run_to_end(
-        start_to_sink(
-            summary, sink, "complete", f"{home}/checkpoint", "complete",
-            partitions=SUMMARY_PARTITIONS,
-        )
+        start_to_sink(summary, sink, "complete", f"{home}/checkpoint", "complete")
     )
-    return spark.read.schema(summary.schema).parquet(f"{home}/out")
+    return published_table(spark, f"{home}/out", summary.schema)
+
+
+def _summarise_events(events: DataFrame) -> DataFrame:
+    return flat_window(_event_summary(watermarked(events, "ts")))
 
 
 def _replayed_event_summary(
@@ -194,18 +201,12 @@ def _replayed_event_summary(
 ) -> DataFrame:
     """Every emission of the windowed event summary, with its ``batch_id``."""
 
-    def summarise(events: DataFrame) -> DataFrame:
-        return flat_window(_event_summary(watermarked(events, "ts")))
-
     def start() -> StreamingQuery:
-        summary = summarise(file_stream(spark, f"{home}/in", EVENTS))
-        sink = add_batch(f"{home}/out")
-        return start_to_sink(
-            summary, sink, mode, f"{home}/checkpoint", mode, partitions=SUMMARY_PARTITIONS
-        )
+        summary = _summarise_events(file_stream(spark, f"{home}/in", EVENTS))
+        return start_to_sink(summary, add_batch(f"{home}/out"), mode, f"{home}/checkpoint", mode)
 
     replay(cuts, f"{home}/in", start)
-    emitted = summarise(cuts[0]).schema.add("batch_id", "long")
+    emitted = _summarise_events(cuts[0]).schema.add("batch_id", "long")
     return spark.read.schema(emitted).parquet(f"{home}/out")
 
 
@@ -217,11 +218,22 @@ def stream_append_closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_update_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Update mode gives changed groups again; the newest of each is the result."""
+    """Update mode gives changed groups again; the newest of each is the result.  The
+    log of emissions is folded after the second cut."""
     home = fresh_dir(spark, "stream-update")
     cuts = event_cuts(spark, sf_dir)
-    emissions = _replayed_event_summary(spark, home, cuts, "update")
-    return latest_per_key(emissions, ["window_start", "window_end", "event_type"])
+    keys = ["window_start", "window_end", "event_type"]
+    schema = _summarise_events(cuts[0]).schema
+
+    def start() -> StreamingQuery:
+        summary = _summarise_events(file_stream(spark, f"{home}/in", EVENTS))
+        sink = upsert(f"{home}/out")
+        return start_to_sink(summary, sink, "update", f"{home}/checkpoint", "update")
+
+    done = replay(cuts[:2], f"{home}/in", start)
+    compact(spark, f"{home}/out", keys, schema, done[-1].lastProgress.batchId)
+    replay(cuts[2:], f"{home}/in", start)
+    return upserted(spark, f"{home}/out", keys, schema)
 
 
 def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -239,10 +251,9 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _listing_feed(
     spark: SparkSession, sf_dir: str, home: str, damaged: bool = False
 ) -> DataFrame:
-    """The listing messages as a stream of two batches."""
+    """The listing messages as a stream."""
     store(fixture.messages(spark, sf_dir, mapped=True, damaged=damaged), f"{home}/in")
-    limit = half_of_files(file_messages(spark, f"{home}/in"))
-    return file_stream(spark, f"{home}/in", max_files_per_trigger=limit)
+    return file_stream(spark, f"{home}/in", max_files_per_trigger=FILES_A_TRIGGER)
 
 
 def stream_processing_time_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -252,15 +263,110 @@ def stream_processing_time_summary(spark: SparkSession, sf_dir: str) -> DataFram
     summary = flat_window(job.analytics_rows(_listing_feed(spark, sf_dir, home, damaged=True)))
     sink = replace_table(f"{home}/out")
     run_to_end(
-        start_to_sink(
-            summary, sink, job.ANALYTICS, f"{home}/checkpoint", "complete",
-            partitions=SUMMARY_PARTITIONS,
-        )
+        start_to_sink(summary, sink, job.ANALYTICS, f"{home}/checkpoint", "complete")
     )
-    windows = spark.read.schema(summary.schema).parquet(f"{home}/out")
-    return windows.groupBy(*LISTING_KEYS).agg(
+    return _over_windows(published_table(spark, f"{home}/out", summary.schema))
+
+
+def _over_windows(summary: DataFrame) -> DataFrame:
+    """Rows of each group and their mean prices times their number, whatever windows
+    the clock gave; a mean of cents times its number is whole cents again."""
+
+    def total(column: str, name: str) -> Column:
+        cents = F.round(F.col(column) * F.col("listing_count"), 2).cast("decimal(18,2)")
+        return F.sum(cents).cast("double").alias(name)
+
+    return summary.groupBy(*LISTING_KEYS).agg(
         F.sum("listing_count").alias("listing_count"),
-        (F.count("avg_price") > 0).alias("has_price"),
+        total("avg_price", "sum_price"),
+        total("avg_price_per_sqft", "sum_price_per_sqft"),
+    )
+
+
+DAMAGED_KEYS = ["window_start", "window_end", "city", "type"]
+
+
+def _damaged_stream(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+    """Messages sent days after their record time, some damaged and some dated far
+    ahead, cut by record time.  Sound rows are summed by window; the others are
+    counted apart, on a line without a window."""
+    home = fresh_dir(spark, f"stream-damaged-{mode}")
+    sent = fixture.messages(spark, sf_dir, mapped=True, damaged=True, delayed=True)
+    minute = F.pmod("_order", F.lit(1440))
+    thirds = [minute < 480, (minute >= 480) & (minute < 960), minute >= 960]
+    cuts = [sent.filter(third).drop("_order", "_fault") for third in thirds]
+
+    def rows(feed: DataFrame) -> tuple[DataFrame, DataFrame]:
+        return split_by_trust(decode_fields(feed, keep=[_message_time()]), MESSAGE_TIME)
+
+    def summarise(trusted: DataFrame) -> DataFrame:
+        return flat_window(listing_summary(watermarked(trusted, EVENT_TIME), EVENT_TIME))
+
+    def start_sound() -> StreamingQuery:
+        trusted, _ = rows(file_stream(spark, f"{home}/in"))
+        sink = upsert(f"{home}/sound")
+        return start_to_sink(summarise(trusted), sink, "sound", f"{home}/checkpoint", mode)
+
+    replay(cuts, f"{home}/in", start_sound)
+    feed = file_stream(spark, f"{home}/in")
+    _, rest = rows(feed)
+    apart = rest.select(EVENT_TIME)
+    sink = add_batch(f"{home}/apart")
+    run_to_end(start_to_sink(apart, sink, "apart", f"{home}/checkpoint"))
+    schema = summarise(rows(cuts[0])[0]).schema
+    sound = upserted(spark, f"{home}/sound", DAMAGED_KEYS, schema)
+    stored = spark.read.schema(f"{EVENT_TIME} TIMESTAMP, batch_id BIGINT").parquet(f"{home}/apart")
+    nothing = [
+        F.lit(None).cast(f.dataType).alias(f.name) if f.name != "listing_count"
+        else F.count(F.lit(1)).alias(f.name)
+        for f in schema
+    ]
+    return sound.unionByName(stored.agg(*nothing))
+
+
+def stream_damaged_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _damaged_stream(spark, sf_dir, "append")
+
+
+def stream_damaged_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _damaged_stream(spark, sf_dir, "update")
+
+
+def job_two_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job as it starts its queries, on timed triggers: landed rows and the stored
+    summary's rows by city and type, and whether one query's failure stops the other."""
+    home = fresh_dir(spark, "job")
+    settings = Settings(
+        base_path=home, landing_interval="1 second", analytics_interval="1 second"
+    )
+    feed = _listing_feed(spark, sf_dir, home, damaged=True)
+    queries = job.start(feed, settings)
+    for query in queries:
+        query.processAllAvailable()
+
+    def broken(batch: DataFrame, batch_id: int) -> None:
+        raise RuntimeError("no disk")
+
+    failing = start_to_sink(feed, broken, "broken", f"{home}/checkpoints", interval="1 second")
+    stopped = False
+    try:
+        await_any(spark, (*queries, failing))
+    except Exception as failure:
+        if "no disk" not in str(failure):
+            raise
+        stopped = not any(query.isActive for query in queries)
+    finally:
+        spark.streams.resetTerminated()
+    landed = landed_table(spark, settings.landing_path).groupBy(
+        F.col("address.city").alias("city"), F.col("property_details.type").alias("type")
+    ).agg(F.count(F.lit(1)).alias("landed_rows"))
+    summed = _over_windows(job.summary_table(spark, settings)).select(
+        F.col("city").alias("_city"), F.col("type").alias("_type"), "listing_count", "sum_price"
+    )
+    same = F.col("city").eqNullSafe(F.col("_city")) & F.col("type").eqNullSafe(F.col("_type"))
+    return landed.join(summed, same, "full").select(
+        "city", "type", "landed_rows", "listing_count", "sum_price",
+        F.lit(stopped).alias("stopped_together"),
     )
 
 
@@ -293,8 +399,9 @@ def stream_price_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_quality_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rule check and the split on a stream."""
     home = fresh_dir(spark, "stream-quality")
-    rows = decode(_listing_feed(spark, sf_dir, home))
-    marked = quality.with_violations(rows, fixture.as_of(), SPLIT_RULES)
+    store(fixture.messages(spark, sf_dir, ruled=True), f"{home}/in")
+    rows = decode(file_stream(spark, f"{home}/in", max_files_per_trigger=FILES_A_TRIGGER))
+    marked = quality.with_violations(rows, fixture.as_of())
     run_to_end(start_to_sink(marked, split_sink(f"{home}/out"), "split", f"{home}/checkpoint"))
     return _sides(spark, f"{home}/out", marked)
 
@@ -308,8 +415,7 @@ def _days(landed: DataFrame, *measures: Column) -> DataFrame:
 
 def _land_events(spark: SparkSession, home: str, sink: BatchSink) -> None:
     """Land the stored events in two batches."""
-    limit = half_of_files(file_messages(spark, f"{home}/in", EVENTS))
-    feed = file_stream(spark, f"{home}/in", EVENTS, limit)
+    feed = file_stream(spark, f"{home}/in", EVENTS, FILES_A_TRIGGER)
     run_to_end(start_to_sink(feed, sink, "landing", f"{home}/checkpoint"))
 
 
@@ -328,6 +434,27 @@ def landing_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landing_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events landed in several batches, every day then folded: the same rows, in one
+    file a day."""
+    home = fresh_dir(spark, "landing-compacted")
+    for cut in event_cuts(spark, sf_dir):
+        store(cut, f"{home}/in")
+    _land_events(spark, home, landing_sink(f"{home}/data", "ts"))
+    schema = f"{EVENTS}, {LANDED_KEYS}"
+    days = landed_table(spark, f"{home}/data", schema).select(*DAY_KEYS).distinct().collect()
+    compact_days(spark, f"{home}/data", [date(*found) for found in days], schema)
+    folder = folded(spark, f"{home}/data").first()["folder"]
+    files = (
+        spark.read.schema(schema).parquet(f"{home}/data/{folder}")
+        .select(*DAY_KEYS, F.input_file_name().alias("file"))
+        .groupBy(*DAY_KEYS)
+        .agg(F.count_distinct("file").alias("files"))
+    )
+    landed = landed_table(spark, f"{home}/data", schema)
+    return _days(landed, _exact_sum("value", "sum_value")).join(files, list(DAY_KEYS))
+
+
 def landing_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same, but the job dies after a write and before its commit, and the
     query is started again.  No row may be lost or landed twice."""
@@ -508,17 +635,8 @@ def land_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Quality ---------------------------------------------------------------------------
 
-# The derived listings break some rules by construction (their ids are order
-# numbers, their prices do not follow the estimate); the split leaves those out.
-SPLIT_RULES = tuple(
-    name
-    for name in quality.RULES
-    if name not in ("property_id", "price_near_estimate", "listing_date")
-)
-
-
 def _nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixture.listings(spark, sf_dir, mapped=True, keep=LINE)
+    return fixture.ruled_listings(spark, sf_dir, keep=LINE)
 
 
 def quality_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -534,7 +652,7 @@ def quality_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quality_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows on either side of a stored split, by type."""
     home = fresh_dir(spark, "quality")
-    marked = quality.with_violations(_nested(spark, sf_dir), fixture.as_of(), SPLIT_RULES)
+    marked = quality.with_violations(_nested(spark, sf_dir), fixture.as_of())
     store_split(marked, home)
     return _sides(spark, home, marked)
 
@@ -566,18 +684,52 @@ def hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routing.hot_keys(rows.select(city.alias("city")), 6, "city")
 
 
+def routed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of a hot key, each sent to the partition its key names, stored by
+    partition and read back: the rows that really lie in each, and those the
+    report foretells."""
+    home = fresh_dir(spark, "routed")
+    rushed = F.pmod("l_orderkey", F.lit(3)) == 0
+    city = F.when(rushed, F.lit("Phoenix")).otherwise(F.col("city"))
+    rows = _flat(spark, sf_dir).select("property_id", city.alias("city"))
+    keyed = routing.with_even_key(rows, 6, "city", "property_id")
+    sent = encode(
+        keyed, F.col("city"), fixture.TOPIC, ["property_id", "city"],
+        partition=routing.topic_partition(F.col("_even_key"), 6),
+    )
+    placed = sent.repartitionById(6, F.col("partition"))
+    placed.withColumn("task", F.spark_partition_id()).write.partitionBy("partition").parquet(home)
+    stored = spark.read.schema("key BINARY, task INT, partition INT").parquet(home)
+    found = stored.groupBy("partition").agg(
+        _rows(),
+        F.count_if(F.col("key").cast("string") == "Phoenix").alias("hot_rows"),
+        F.count_distinct("task").alias("tasks"),
+        F.first("task").alias("task"),
+    )
+    told = routing.routing_report(keyed, 6, "_even_key").select(
+        F.col("partition").alias("_partition"), F.col("row_count").alias("reported_rows")
+    )
+    return found.join(told, F.col("partition") == F.col("_partition"), "full").agg(
+        F.sum("row_count").alias("row_count"),
+        F.count_if(F.col("row_count") == F.col("reported_rows")).alias("as_reported"),
+        F.count_if((F.col("tasks") == 1) & (F.col("task") == F.col("partition"))).alias("in_place"),
+        (F.max("hot_rows") * 2 < F.sum("hot_rows")).alias("hot_key_divided"),
+    )
+
+
 def query_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows a stream reports as read; its rates vary, so only that it has some."""
+    """Rows of every batch, over more batches than Spark's own record would keep."""
     home = fresh_dir(spark, "progress")
-    store(timed_events(spark, sf_dir), f"{home}/in")
-    feed = file_stream(spark, f"{home}/in", EVENTS)
-    query = run_to_end(
-        start_to_sink(feed, add_batch(f"{home}/out"), "feed", f"{home}/checkpoint")
-    )
-    progress = progress_table(spark, query)
-    return progress.groupBy("query").agg(
-        F.sum("input_rows").alias("input_rows"),
-        (F.max("processed_rows_per_second") > 0).alias("has_rate"),
+    path = f"{home}/progress"
+
+    def start() -> StreamingQuery:
+        feed = file_stream(spark, f"{home}/in", EVENTS)
+        sink = recorded(add_batch(f"{home}/out"), "feed", path)
+        return start_to_sink(feed, sink, "feed", f"{home}/checkpoint")
+
+    replay(event_cuts(spark, sf_dir), f"{home}/in", start)
+    return throughput(spark, "feed", path).select(
+        "query", "batch_id", "rows", (F.col("rows_per_second") > 0).alias("has_rate")
     )
 
 
@@ -594,9 +746,13 @@ QUERIES: dict[str, Query] = {
     "stream_update_upsert": stream_update_upsert,
     "stream_late_rows": stream_late_rows,
     "stream_processing_time_summary": stream_processing_time_summary,
+    "stream_damaged_append": stream_damaged_append,
+    "stream_damaged_update": stream_damaged_update,
+    "job_two_queries": job_two_queries,
     "stream_price_estimate": stream_price_estimate,
     "stream_quality_split": stream_quality_split,
     "landing_partitions": landing_partitions,
+    "landing_compacted": landing_compacted,
     "landing_retry": landing_retry,
     "landing_listings": landing_listings,
     "landing_processing_time": landing_processing_time,
@@ -618,5 +774,6 @@ QUERIES: dict[str, Query] = {
     "route_by_key": route_by_key,
     "routing_report": routing_report,
     "hot_keys": hot_keys,
+    "routed_messages": routed_messages,
     "query_progress": query_progress,
 }

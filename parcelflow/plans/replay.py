@@ -60,7 +60,3 @@ def replay(
         runs.append(run_to_end(start()))
     return runs
 
-
-def half_of_files(df: DataFrame) -> int:
-    """A per-trigger limit that replays stored files in two batches or so."""
-    return max(1, -(-len(df.inputFiles()) // 2))

@@ -11,16 +11,16 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from parcelflow.operators.lookup import city_lookup
 from parcelflow.plans import listings as fixture
+from parcelflow.plans.queries import QUERIES
 from parcelflow.plans.replay import event_cuts
 from parcelflow.sinks.landing import land
 from parcelflow.sources.landed import landed_table
 from parcelflow.schema import LANDED_KEYS
-from parcelflow.sources.tables import spread
 
 SF = "/root/testdata/sf0.001"
 BATCH = [
-    name for name in entry.queries()
-    if not name.startswith(("stream_", "landing_")) and name != "query_progress"
+    name for name in QUERIES
+    if not name.startswith(("stream_", "landing_", "job_")) and name != "query_progress"
 ]
 
 
@@ -69,7 +69,7 @@ def test_flagship_parses_each_message_once_and_combines_before_the_shuffle(spark
         i for i, line in enumerate(lines)
         if "HashAggregate" in line or "Exchange hashpartitioning(window" in line
     ]
-    assert "partial_avg" in lines[partial] and final < exchange < partial
+    assert "partial_sum" in lines[partial] and final < exchange < partial
 
 
 def test_scans_read_only_what_a_query_uses(spark):
@@ -98,14 +98,6 @@ def test_landed_days_prune_partitions(spark, tmp_path):
     assert landed.filter("day = 3").count() == 20
 
 
-def test_large_inputs_are_not_spread(spark):
-    for splits in (8, 64):
-        many = spark.range(0, 1000, 1, splits)
-        assert spread(many) is many
-    few = spark.range(0, 1000, 1, 1)
-    assert "RoundRobinPartitioning" in plan(spread(few)) and spread(few).count() == 1000
-
-
 def test_lookup_strategy_follows_the_size(spark):
     rows = spark.range(1000).select(F.concat(F.lit("c"), "id").alias("city"))
     assert "BroadcastHashJoin" in plan(city_lookup(rows, "city"))
