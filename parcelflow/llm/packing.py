@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelflow.llm.kept import kept
-from parcelflow.llm.tokens import PieceEncoder
+from parcelflow.llm.tokens import SLICE_BYTES, encoder
 from parcelflow.llm.words import slices
 
 SEQUENCE_TOKENS = 4096
@@ -47,11 +47,11 @@ def cut_pieces(
     partition, ``part``."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(tokenizer_path)
+        ids_of = encoder(tokenizer_path)
         part = TaskContext.get().partitionId()
         seen = np.zeros(limit + 1, np.int64)
-        for rows, _, _ in slices(batches, "text"):
-            flat, counts = encoder.encode(rows.column(1))
+        for rows, _, _ in slices(batches, "text", SLICE_BYTES):
+            flat, counts = ids_of.encode(rows.column(1))
             tokens = counts + 1
             ends = np.cumsum(tokens)
             whole = np.full(int(ends[-1]), end_id, np.uint32)

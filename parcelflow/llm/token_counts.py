@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelflow.llm.kept import kept
-from parcelflow.llm.tokens import PieceEncoder
+from parcelflow.llm.tokens import SLICE_BYTES, encoder
 from parcelflow.llm.words import slices
 
 BLOCK_IDS = 1 << 18
@@ -44,7 +44,7 @@ def token_files(
     doc_ids)."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(tokenizer_path, literal_specials=True)
+        ids_of = encoder(tokenizer_path, literal_specials=True)
         file = TaskContext.get().partitionId()
         open_ids, block, first = np.zeros(0, dtype), 0, 0
 
@@ -60,8 +60,8 @@ def token_files(
                 names=_NAMES,
             )
 
-        for rows, _, _ in slices(batches, "text"):
-            flat, counts = encoder.encode(rows.column(1))
+        for rows, _, _ in slices(batches, "text", SLICE_BYTES):
+            flat, counts = ids_of.encode(rows.column(1))
             ends = np.cumsum(counts + 1)
             ids = np.full(int(ends[-1]), separator, dtype)
             inner = np.ones(len(ids), bool)

@@ -38,7 +38,7 @@ def mix(values: np.ndarray) -> np.ndarray:
 def _powers_of(base: int, count: int) -> np.ndarray:
     known = _powers.get(base)
     if known is None or len(known) < count:
-        steps = np.full(max(count, SLICE_BYTES), base, np.uint64)
+        steps = np.full(max(1 << count.bit_length(), 1 << 16), base, np.uint64)
         steps[0] = 1
         known = _powers[base] = np.cumprod(steps)
     return known[:count]
