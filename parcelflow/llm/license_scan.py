@@ -208,3 +208,61 @@ def scan(
         F.array_join(F.coalesce("labels", none), ",").alias("labels"),
         F.coalesce("score", F.lit(0.0)).alias("score"),
     )
+
+
+def oracle(
+    phrases: tuple[tuple[str, str], ...] = PHRASES, notices: tuple[tuple[str, str], ...] = NOTICES
+) -> str:
+    """The scan in SQL: the same votes by joining words, not hashes."""
+    templates = ", ".join(
+        f"({number}, {number < len(phrases)}, '{label}', '{phrase}')"
+        for number, (phrase, label) in enumerate((*phrases, *notices))
+    )
+    return rf"""
+WITH cut AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM documents
+), word AS (
+  SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS place FROM cut
+), gram AS (
+  SELECT a.doc_id, a.place - 1 AS place, a.word AS w0, b.word AS w1
+  FROM word a JOIN word b ON a.doc_id = b.doc_id AND b.place = a.place + 1
+), template(number, base, label, phrase) AS (VALUES {templates}),
+tword AS (
+  SELECT number, unnest(string_split(phrase, ' ')) AS word,
+         generate_subscripts(string_split(phrase, ' '), 1) AS place FROM template
+), tgram AS (
+  SELECT a.number, a.place - 1 AS spot, a.word AS w0, b.word AS w1,
+         count(*) OVER (PARTITION BY a.number) AS grams
+  FROM tword a JOIN tword b ON a.number = b.number AND b.place = a.place + 1
+), vote AS (
+  SELECT doc_id, number, place - spot AS start, grams, list(DISTINCT spot) AS ats
+  FROM gram JOIN tgram USING (w0, w1) GROUP BY ALL
+), marked AS (
+  SELECT *, len(ats) = grams OR coalesce(lag(len(ats) = grams) OVER w, true)
+            OR start - lag(start) OVER w > {NEAR} AS begins
+  FROM vote WINDOW w AS (PARTITION BY doc_id, number ORDER BY start)
+), numbered AS (
+  SELECT *, sum(begins::INT) OVER (PARTITION BY doc_id, number ORDER BY start) AS part FROM marked
+), merged AS (
+  SELECT doc_id, number, min(start) AS start, any_value(grams) AS grams,
+         len(list_distinct(flatten(list(ats)))) AS votes
+  FROM numbered GROUP BY doc_id, number, part
+), span AS (
+  SELECT doc_id, label, start, base, CAST(votes AS DOUBLE) / grams AS coverage
+  FROM merged JOIN template USING (number)
+  WHERE CAST(votes AS DOUBLE) / grams >= {COVERAGE} AND (NOT base OR votes = grams)
+), found AS (
+  SELECT doc_id, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word,
+         max(start) FILTER (base) AS last_word, max(coverage) AS score,
+         array_to_string(list_sort(list(DISTINCT label) FILTER (base)), ',') AS base_labels,
+         array_to_string(list_sort(list(DISTINCT label)), ',') AS labels
+  FROM span GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       coalesce(score, 0) AS score
+FROM cut LEFT JOIN found USING (doc_id)
+"""

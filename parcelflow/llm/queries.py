@@ -28,6 +28,7 @@ ORACLES: dict[str, str] = {
     "op2_url_filter": url_filter.ORACLE,
     "op3_line_dedup": line_dedup.ORACLE,
     "op4_substring_dedup": substring_dedup.ORACLE,
+    "op5_license_scan": license_scan.oracle(),
 }
 
 TOKENIZER = "word_bpe_49k.json"

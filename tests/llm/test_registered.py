@@ -15,6 +15,8 @@ SF = "/root/testdata/sf0.001"
 def test_query_equals_sql(spark, name):
     mine = queries.QUERIES[name](spark, SF).toPandas()
     theirs = connect(SF).execute(queries.ORACLES[name]).df()
+    # Whole numbers with nulls are floats in one engine's frames.
+    theirs = theirs.astype({c: "float64" for c in theirs if str(theirs[c].dtype) == "Int64"})
     assert len(mine) > 0
     assert differences(mine[list(theirs.columns)], theirs) == []
 
