@@ -41,6 +41,8 @@ class Settings:
     ``limited`` gives the profile that trades that for small, steady batches.
     ``state_partitions`` is the number of the summary's state partitions, fixed in
     its checkpoint by the first start; without it, the session's shuffle partitions.
+    ``landing_files`` is the most files a landed batch is written to; without it, as
+    many as the batch has tasks.
     """
 
     brokers: str = DEFAULT_BROKERS
@@ -57,6 +59,7 @@ class Settings:
     analytics_interval: str | None = "1 minute"
     analytics_mode: str = "update"
     state_partitions: int | None = None
+    landing_files: int | None = None
     console_rows: int | None = None
 
     @classmethod
@@ -104,6 +107,7 @@ class Settings:
             analytics_interval=env.get("ANALYTICS_INTERVAL", "1 minute"),
             analytics_mode=env.get("ANALYTICS_MODE", "update"),
             state_partitions=_number(env.get("STATE_PARTITIONS")),
+            landing_files=_number(env.get("LANDING_FILES")),
             console_rows=_number(env.get("CONSOLE_ROWS")),
         )
 

@@ -18,7 +18,7 @@ from parcelflow.operators.timecols import (
 from parcelflow.settings import SESSION_CONF, Settings
 from parcelflow.sinks.landing import landing_sink
 from parcelflow.sinks.messages import store
-from parcelflow.sinks import tables
+from parcelflow.sinks import messages, tables
 from parcelflow.sinks.tables import (
     add_batch,
     compact,
@@ -312,6 +312,17 @@ def test_progress(spark, tmp_path):
     assert all(row.query == "p" and row.duration_ms > 0 for row in rows)
 
 
+def test_a_stream_of_messages_is_sent_batch_by_batch(spark, tmp_path, monkeypatch):
+    sent = []
+    monkeypatch.setattr(
+        messages, "send", lambda batch, settings: sent.append((settings.topic, batch.count()))
+    )
+    rows = feed(spark, tmp_path).select("key", "value", "topic", "partition")
+    sink = messages.sender(Settings(topic="t"))
+    run_to_end(start_to_sink(rows, sink, "send", str(tmp_path / "cp")))
+    assert {topic for topic, _ in sent} == {"t"} and sum(n for _, n in sent) == 6
+
+
 # Landing ------------------------------------------------------------------------------
 
 
