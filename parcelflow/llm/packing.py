@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelflow.llm.kept import kept
-from parcelflow.llm.tokens import SLICE_BYTES, encoder
+from parcelflow.llm.tokens import encoder
 from parcelflow.llm.words import slices
 
 SEQUENCE_TOKENS = 4096
@@ -50,7 +50,7 @@ def cut_pieces(
         ids_of = encoder(tokenizer_path)
         part = TaskContext.get().partitionId()
         seen = np.zeros(limit + 1, np.int64)
-        for rows, _, _ in slices(batches, "text", SLICE_BYTES):
+        for rows, _, _ in slices(batches, "text"):
             flat, counts = ids_of.encode(rows.column(1))
             tokens = counts + 1
             ends = np.cumsum(tokens)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelflow.llm.kept import kept
-from parcelflow.llm.tokens import SLICE_BYTES, encoder
+from parcelflow.llm.tokens import encoder
 from parcelflow.llm.words import slices
 
 BLOCK_IDS = 1 << 18
@@ -60,7 +60,7 @@ def token_files(
                 names=_NAMES,
             )
 
-        for rows, _, _ in slices(batches, "text", SLICE_BYTES):
+        for rows, _, _ in slices(batches, "text"):
             flat, counts = ids_of.encode(rows.column(1))
             ends = np.cumsum(counts + 1)
             ids = np.full(int(ends[-1]), separator, dtype)

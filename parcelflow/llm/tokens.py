@@ -18,9 +18,7 @@ from parcelflow.llm.words import text_bytes, word_hashes
 
 #: Pieces remembered by one Python worker, about 50 bytes each; once there are as many,
 #: others are encoded again in each slice.
-STORE_PIECES = 600_000
-#: Bytes of text encoded at a time.
-SLICE_BYTES = 2 << 20
+STORE_PIECES = 400_000
 #: Pieces encoded as one text, and texts in one call.
 TOGETHER, CALL = 500, 16
 _SECOND = 0xFF51AFD7ED558CCD

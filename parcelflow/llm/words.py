@@ -7,13 +7,14 @@ on bytes.  Everything here sees one slice of a batch at a time.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -38,7 +39,7 @@ def mix(values: np.ndarray) -> np.ndarray:
 def _powers_of(base: int, count: int) -> np.ndarray:
     known = _powers.get(base)
     if known is None or len(known) < count:
-        steps = np.full(max(1 << count.bit_length(), 1 << 16), base, np.uint64)
+        steps = np.full(-(-count // (1 << 20)) << 20, base, np.uint64)
         steps[0] = 1
         known = _powers[base] = np.cumprod(steps)
     return known[:count]
@@ -57,7 +58,8 @@ def slices(
     batches: Iterable[pa.RecordBatch], text: str, limit: int = SLICE_BYTES
 ) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Cut batches into runs of rows of about ``limit`` bytes of text (a longer row
-    stands alone), each with its bytes and offsets."""
+    stands alone), each with its bytes and offsets.  At their end, memory that is free
+    goes back to the system: workers wait for the next task beside a growing JVM."""
     for batch in batches:
         raw, off = text_bytes(batch.column(batch.schema.get_field_index(text)))
         first = 0
@@ -70,6 +72,15 @@ def slices(
                 off[first : last + 1] - off[first],
             )
             first = last
+        del batch, raw, off
+    give_back()
+
+
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+    if trim is not None:
+        trim(0)
 
 
 def lower(raw: np.ndarray) -> np.ndarray:
@@ -96,12 +107,12 @@ def word_hashes(
     raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = _BASE
 ) -> np.ndarray:
     """A 64-bit hash of each word; another odd ``base`` gives another hash."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
+    if not len(raw):
+        return mix(np.zeros(len(starts), np.uint64))
     sums = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum(_BYTE_VALUES[raw] * _powers_of(base, len(raw)), out=sums[1:])
-    inverse = np.append(_powers_of(pow(base, -1, 1 << 64), len(raw)), np.uint64(1))
-    return mix((sums[ends] - sums[starts]) * inverse[starts])
+    inverse = _powers_of(pow(base, -1, 1 << 64), len(raw))
+    return mix((sums[ends] - sums[starts]) * inverse[np.minimum(starts, len(raw) - 1)])
 
 
 def window_hashes(words: np.ndarray, size: int, base: int = 0xD6E8FEB86659FD93) -> np.ndarray:
