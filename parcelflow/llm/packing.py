@@ -205,7 +205,8 @@ def pack(
                 names=[*_CUT_NAMES, "sequence_id", "offset"],
             )
 
+    # Never broadcast: it has a row for each length and partition.
     ranked = pieces.join(
-        first, (F.col("length") == F.col("__length")) & (F.col("part") == F.col("__part"))
+        first.hint("merge"), (F.col("length") == F.col("__length")) & (F.col("part") == F.col("__part"))
     ).select(*_CUT_NAMES, (F.col("place") + F.col("__first")).alias("rank"))
     return ranked.mapInArrow(place, f"{_CUT}, sequence_id bigint, offset bigint")
