@@ -105,6 +105,16 @@ def _mapped(column: Column, pairs: dict[str, str]) -> Column:
     return F.try_element_at(F.create_map(*entries), column)
 
 
+# A session's setting: deal the lines to so many tasks.  For tables of one row group, which
+# a scan cannot divide; without it, the scan's own splits are the tasks.
+DEALT = "spark.parcelflow.dealtTasks"
+
+
+def _dealt(lines: DataFrame) -> DataFrame:
+    tasks = lines.sparkSession.conf.get(DEALT, None)
+    return lines.repartition(int(tasks)) if tasks else lines
+
+
 def base_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lineitem`` with its part, supplier, nation and region.
 
@@ -124,7 +134,7 @@ def base_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     return (
-        lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
+        _dealt(lines).join(part, F.col("l_partkey") == F.col("p_partkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(places, F.col("s_nationkey") == F.col("n_nationkey"))
     )

@@ -130,8 +130,14 @@ def object_store_conf(settings: Settings) -> dict[str, str]:
     return conf
 
 
-# Settable on a running session.  The zone is part of the results.
-RUNTIME_CONF = {"spark.sql.session.timeZone": "UTC"}
+# Settable on a running session.  The zone is part of the results.  Records are
+# wide: fused into one method they outgrow the 8000 bytes of bytecode up to which
+# the JVM compiles a method, and run interpreted; past the limit set here Spark
+# generates small methods instead.
+RUNTIME_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
 
 # The whole of it, with the state backend; executor counts, memory and shuffle
 # partitions belong to spark-submit.
