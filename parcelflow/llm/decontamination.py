@@ -11,8 +11,12 @@ An overlap counts if it has ``MIN_MATCHES`` matching words, or four fifths of a
 shorter item, and at least four fifths of its words match.  Words are those between
 white space, A-Z lower-cased.
 
-Defined cases: null or empty text overlaps nothing; an item shorter than a seed's
-span is not searched for; items with equal words are searched once and all
+An item shorter than the span is searched with masks for its length, which miss no
+overlap that counts: up to seven words, only a run of matches long enough by itself
+does; from eight, a substitution has four matches or more on either side of it.
+
+Defined cases: null or empty text overlaps nothing, an item without words neither;
+items with equal words are searched once and all
 reported; rows that repeat a doc_id are one document; rows without a doc_id, and
 items without an item_id, are not judged; an empty table on either side gives an
 empty result.  Only the columns named are read.
@@ -33,50 +37,80 @@ from parcelflow.llm.kept import kept
 #: Places looked at (1) and ignored (0).
 SEEDS = ("110110111011", "111010011011", "101101101101")
 SPAN = 12
+#: For items of 8 words up to the span.
+LIGHT = ("1110111", "1111101")
+#: Items up to this many words count only as one run of matches.
+UNBROKEN = 7
 MIN_MATCHES = 12
 FILTER_BITS = 1 << 24
 MISMATCH = 3
 
 
+def needed(item_words: int) -> int:
+    """Matches an overlap with an item of so many words must have."""
+    return min(MIN_MATCHES, -(-4 * item_words // 5))
+
+
+def seeds_for(item_words: int) -> tuple[str, ...]:
+    """The masks an item of so many words is searched with."""
+    if item_words >= SPAN:
+        return SEEDS
+    if item_words > UNBROKEN:
+        return LIGHT
+    return ("1" * needed(item_words),)
+
+
+#: All masks; a hash's ``seed`` is a place in this list.
+MASKS = tuple(dict.fromkeys(m for n in range(1, SPAN + 1) for m in seeds_for(n)))
+
+
 def seed_hashes(x: np.ndarray, seed: str) -> np.ndarray:
     """Hash under the seed from each word on, row ends ignored."""
     count = max(len(x) - len(seed) + 1, 0)
-    total = np.full(count, SEEDS.index(seed) + 1, np.uint64)
+    total = np.full(count, int(seed, 2), np.uint64)  # no two masks are the same number
     for i, look in enumerate(seed):
         if look == "1":
             total = words.mix(total + x[i : i + count])
     return total
 
 
-def _hashed(frame: DataFrame, shared=None) -> DataFrame:
-    """(id, hash, place) for every span; with a filter, only for those it may hold."""
+def _hashed(frame: DataFrame, shared=None, seeds: list[int] | None = None) -> DataFrame:
+    """(id, hash, place, seed, n_words) for every span; with a filter, of documents: under
+    all ``seeds``, only hashes the filter may hold.  Without, of items: under the masks
+    for their length."""
 
     def hash_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, raw, off in words.slices(batches, "text"):
             starts, ends, row = words.spans(words.lower(raw), off)
             x = words.word_hashes(words.lower(raw), starts, ends)
-            if len(x) < SPAN:
-                continue
             place = words.places(row)
-            inside = row[: len(x) - SPAN + 1] == row[SPAN - 1 :]
-            found_h, found_at = [], []
-            for seed in SEEDS:
-                h = seed_hashes(x, seed)
-                take = inside & bloom.holds(shared.value, h) if shared is not None else inside
+            length = np.bincount(row, minlength=len(off) - 1)[row]
+            own = [seeds_for(n) for n in range(SPAN + 1)]
+            for seed, mask in enumerate(MASKS):
+                if len(x) < len(mask) or (seeds is not None and seed not in seeds):
+                    continue
+                take = row[: len(x) - len(mask) + 1] == row[len(mask) - 1 :]
+                h = seed_hashes(x, mask)
+                if shared is not None:
+                    take &= bloom.holds(shared.value, h)
+                else:
+                    searched = np.array([mask in masks for masks in own])
+                    take &= searched[np.minimum(length[: len(h)], SPAN)]
                 at = np.flatnonzero(take)
-                found_h.append(h[at])
-                found_at.append(at)
-            at = np.concatenate(found_at)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    rows.column(0).take(pa.array(row[at])),
-                    pa.array(np.concatenate(found_h).view(np.int64)),
-                    pa.array(place[at]),
-                ],
-                names=["id", "hash", "place"],
-            )
-
-    return frame.mapInArrow(hash_spans, "id bigint, hash bigint, place bigint")
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        rows.column(0).take(pa.array(row[at])),
+                        pa.array(h[at].view(np.int64)),
+                        pa.array(place[at]),
+                        pa.array(np.full(len(at), seed, np.int32)),
+                        pa.array(length[at]),
+                    ],
+                    names=["id", "hash", "place", "seed", "n_words"],
+                )
+
+    return frame.mapInArrow(
+        hash_spans, "id bigint, hash bigint, place bigint, seed int, n_words bigint"
+    )
 
 
 def best_run(same: np.ndarray) -> tuple[int, int]:
@@ -89,6 +123,15 @@ def best_run(same: np.ndarray) -> tuple[int, int]:
     return int(np.flatnonzero(total[:end] == low[end - 1])[-1]), end
 
 
+def overlap_run(same: np.ndarray, item_words: int) -> tuple[int, int, int] | None:
+    """Start, end and matches of the best run, if it counts as an overlap."""
+    a, b = best_run(same)
+    matches = int(same[a:b].sum())
+    if matches >= needed(item_words) and 5 * matches >= 4 * (b - a):
+        return a, b, matches
+    return None
+
+
 def _verify(found: DataFrame) -> DataFrame:
     """Overlaps among (doc_id, item_id, offset, text, item)."""
 
@@ -110,10 +153,9 @@ def _verify(found: DataFrame) -> DataFrame:
                 if last <= first:
                     continue
                 same = want[first:last] == doc_words[first + offset : last + offset]
-                a, b = best_run(same)
-                matches = int(same[a:b].sum())
-                need = min(MIN_MATCHES, -(-4 * len(want) // 5))
-                if matches >= need and 5 * matches >= 4 * (b - a):
+                run = overlap_run(same, len(want))
+                if run is not None:
+                    a, b, matches = run
                     out.append((doc, item_id, first + offset + a, first + a, b - a, matches, len(want)))
             columns = list(zip(*out, strict=True)) if out else [()] * 7
             yield pa.RecordBatch.from_arrays(
@@ -152,11 +194,21 @@ def overlaps(
     seeds = kept(_hashed(single.select("id", F.col("item").alias("text"))), "item-seeds")
     few = max(docs.sparkSession.sparkContext.defaultParallelism, 1)
     once, _ = bloom.build(seeds.select(F.array("hash").alias("hashes")).coalesce(few), filter_bits)
+    occurring = [r["seed"] for r in seeds.select("seed").distinct().collect()]
+    # A hit of an item that must match whole is an overlap; the first is the best.
+    whole = [n for n in range(1, UNBROKEN + 1) if needed(n) == n]
+    offset = F.col("place") - F.col("__place")
     hits = (
-        _hashed(named, bloom.share(docs, once))
-        .join(seeds.select("hash", F.col("id").alias("item_id"), F.col("place").alias("__place")), "hash")
-        .select("id", "item_id", (F.col("place") - F.col("__place")).alias("offset"))
-        .distinct()
+        _hashed(named, bloom.share(docs, once), occurring)
+        .select("id", "hash", "place")
+        .join(
+            seeds.select("hash", F.col("id").alias("item_id"), F.col("place").alias("__place"), "n_words"),
+            "hash",
+        )
+        .select("id", "item_id", offset.alias("offset"), F.col("n_words").isin(whole).alias("whole"))
+        .groupBy("id", "item_id", F.when(~F.col("whole"), F.col("offset")).alias("__each"))
+        .agg(F.min("offset").alias("offset"))
+        .drop("__each")
     )
     hits = kept(hits.withColumnRenamed("id", "__id"), "seed-hits")
     likely = bloom.likely_among(named, "id", hits.select("__id").distinct(), filter_bits)

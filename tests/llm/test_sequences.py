@@ -112,6 +112,39 @@ def test_seeds_hit_whatever_single_word_is_changed():
         )
 
 
+def missed(length):
+    """Patterns of matches over an item of this length that count but have no hit."""
+    same = (np.arange(1 << length)[:, None] >> np.arange(length)) & 1 == 1
+    hit = np.zeros(len(same), bool)
+    for seed in decontamination.seeds_for(length):
+        looked = [i for i, c in enumerate(seed) if c == "1"]
+        for at in range(length - len(seed) + 1):
+            hit |= same[:, [at + i for i in looked]].all(axis=1)
+    return [p for p in same[~hit] if p.any() and decontamination.overlap_run(p, length)]
+
+
+@pytest.mark.parametrize("length", range(1, 12))
+def test_short_items_are_hit_wherever_the_verifier_accepts(length):
+    assert missed(length) == []
+
+
+def test_decontamination_finds_short_items(spark):
+    own = [f"own{i}" for i in range(30)]
+    short = {n: [f"s{n}w{i}" for i in range(n)] for n in range(1, 12)}
+    rows = [(n, " ".join(own + item + own + [w.upper() for w in item])) for n, item in short.items()]
+    rows += [(20, " ".join([*short[11][:5], "else", *short[11][6:], *own]))]
+    rows += [(21, " ".join([*own, *short[10][1:9]])), (22, " ".join([*short[5][:4], *own]))]
+    rows += [(23, " ".join([*short[4][:3], *own])), (24, " ".join([*short[9][:6], *own])), (25, " ".join(own))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    benchmark = spark.createDataFrame(
+        [(n, " ".join(item)) for n, item in short.items()] + [(30, ""), (31, " ")], "item_id bigint, text string"
+    )
+    got = {(r[0], r[1]): tuple(r[2:]) for r in decontamination.overlaps(docs, benchmark).collect()}
+    want = {(n, n): (30, 0, n, n, n) for n in short}
+    want |= {(20, 11): (0, 0, 11, 10, 11), (21, 10): (30, 1, 8, 8, 10), (22, 5): (0, 0, 4, 4, 5)}
+    assert got == want
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.dictionaries(st.integers(1, 64), st.integers(1, 40), max_size=20))
 def test_patterns_hold_the_histogram(histogram):
