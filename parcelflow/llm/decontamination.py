@@ -11,9 +11,12 @@ An overlap counts if it has ``MIN_MATCHES`` matching words, or four fifths of a
 shorter item, and at least four fifths of its words match.  Words are those between
 white space, A-Z lower-cased.
 
-An item shorter than the span is searched with masks for its length, which miss no
-overlap that counts: up to seven words, only a run of matches long enough by itself
-does; from eight, a substitution has four matches or more on either side of it.
+The masks miss no overlap that counts.  A best run starts with more than ``MISMATCH``
+matches, and so many that its score stays above 0.  Seven or more, or four or more and
+then three or more behind one substitution, agree under the first mask; five or six, a
+substitution and a match, under the second; there is no other start, as five matches must
+be followed by two, and four by three.  Items of up to ``UNBROKEN`` words count
+only as one run of matches, so that run is their mask.
 
 Defined cases: null or empty text overlaps nothing, an item without words neither;
 items with equal words are searched once and all
@@ -35,10 +38,7 @@ from parcelflow.llm import bloom, words
 from parcelflow.llm.kept import kept
 
 #: Places looked at (1) and ignored (0).
-SEEDS = ("110110111011", "111010011011", "101101101101")
-SPAN = 12
-#: For items of 8 words up to the span.
-LIGHT = ("1110111", "1111101")
+SEEDS = ("1110111", "1111101")
 #: Items up to this many words count only as one run of matches.
 UNBROKEN = 7
 MIN_MATCHES = 12
@@ -53,15 +53,13 @@ def needed(item_words: int) -> int:
 
 def seeds_for(item_words: int) -> tuple[str, ...]:
     """The masks an item of so many words is searched with."""
-    if item_words >= SPAN:
-        return SEEDS
     if item_words > UNBROKEN:
-        return LIGHT
+        return SEEDS
     return ("1" * needed(item_words),)
 
 
 #: All masks; a hash's ``seed`` is a place in this list.
-MASKS = tuple(dict.fromkeys(m for n in range(1, SPAN + 1) for m in seeds_for(n)))
+MASKS = tuple(dict.fromkeys(m for n in range(1, UNBROKEN + 2) for m in seeds_for(n)))
 
 
 def seed_hashes(x: np.ndarray, seed: str) -> np.ndarray:
@@ -85,7 +83,7 @@ def _hashed(frame: DataFrame, shared=None, seeds: list[int] | None = None) -> Da
             x = words.word_hashes(words.lower(raw), starts, ends)
             place = words.places(row)
             length = np.bincount(row, minlength=len(off) - 1)[row]
-            own = [seeds_for(n) for n in range(SPAN + 1)]
+            own = [seeds_for(n) for n in range(UNBROKEN + 2)]
             for seed, mask in enumerate(MASKS):
                 if len(x) < len(mask) or (seeds is not None and seed not in seeds):
                     continue
@@ -95,7 +93,7 @@ def _hashed(frame: DataFrame, shared=None, seeds: list[int] | None = None) -> Da
                     take &= bloom.holds(shared.value, h)
                 else:
                     searched = np.array([mask in masks for masks in own])
-                    take &= searched[np.minimum(length[: len(h)], SPAN)]
+                    take &= searched[np.minimum(length[: len(h)], UNBROKEN + 1)]
                 at = np.flatnonzero(take)
                 yield pa.RecordBatch.from_arrays(
                     [

@@ -123,11 +123,42 @@ def missed(length):
     return [p for p in same[~hit] if p.any() and decontamination.overlap_run(p, length)]
 
 
-@pytest.mark.parametrize("length", range(1, 12))
-def test_short_items_are_hit_wherever_the_verifier_accepts(length):
+@pytest.mark.parametrize("length", range(1, 18))
+def test_items_are_hit_wherever_the_verifier_accepts(length):
     assert missed(length) == []
 
 
+def hit(same):
+    return any(
+        all(same[at + i] for i, c in enumerate(seed) if c == "1")
+        for seed in decontamination.seeds_for(len(same))
+        for at in range(len(same) - len(seed) + 1)
+    )
+
+
+@pytest.mark.parametrize("length", [20, 30, 40, 60])
+def test_dense_patterns_are_hit(length):
+    rng = np.random.default_rng(length)
+    for phase in range(5):
+        same = np.arange(length) % 5 != phase
+        assert decontamination.overlap_run(same, length) and hit(same)
+    accepted = 0
+    for _ in range(4000):
+        same = rng.permutation(np.arange(length) >= rng.integers(1, length // 4 + 1))
+        if decontamination.overlap_run(same, length):
+            accepted += 1
+            assert hit(same)
+    assert accepted > 500
+
+
+def test_decontamination_finds_every_fifth_word_changed(spark):
+    rows = [(p, " ".join("else" if i % 5 == p else w for i, w in enumerate(ITEM))) for p in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    benchmark = spark.createDataFrame([(1, " ".join(ITEM))], "item_id bigint, text string")
+    found = {r["doc_id"]: r["n_matches"] for r in decontamination.overlaps(docs, benchmark).collect()}
+    assert set(found) == set(range(5))
+
+
 def test_decontamination_finds_short_items(spark):
     own = [f"own{i}" for i in range(30)]
     short = {n: [f"s{n}w{i}" for i in range(n)] for n in range(1, 12)}
