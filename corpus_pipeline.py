@@ -17,6 +17,9 @@ from parcelflow.llm.kept import kept
 from parcelflow.llm.queries import PACK_END_ID, tokenizer_path, trusted_ids
 from parcelflow.llm.shipping import ship
 
+#: Least similarity of near-duplicates; 85 is the contract of ``op1_near_dedup`` alone.
+NEAR_PERCENT = 80
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -54,7 +57,7 @@ def lines_once(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, that with the smallest doc_id."""
-    dropped = near_dedup.near_duplicates(docs).filter(~F.col("kept"))
+    dropped = near_dedup.near_duplicates(docs, percent=NEAR_PERCENT).filter(~F.col("kept"))
     dropped = kept(dropped.select(F.col("doc_id").alias("__id")).distinct(), "near-copies")
     return docs.join(dropped, F.col("doc_id").cast("bigint") == F.col("__id"), "left_anti")
 

@@ -12,8 +12,8 @@ Within a bucket, nodes are first compared with its smallest member only.  Once
 confirmed links are joined into components, buckets whose members lie in more than
 one component are compared across components, block against block; likely partners
 stay in lists, one a node, and are confirmed on sets that each task holds once.  Links
-are lost only where no band agrees (below 3e-9 at similarity 0.85) or an estimate is
-6 standard deviations off.
+are lost only where no band agrees (below 3e-9 at similarity 0.85, 3e-6 at 0.8) or an
+estimate is 6 standard deviations off.
 
 Defined cases: null or empty text has an empty set, linked with nothing; rows that
 share a doc_id are one document, linked through any of their texts; a row without a
@@ -24,6 +24,7 @@ an empty result.  Only the columns named are read.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,8 +41,6 @@ MINIMA = 256
 BANDS = 42
 ROWS = 6
 LOW_BITS = 2
-#: Estimates this far below the threshold (6 standard deviations) are not confirmed.
-SLACK = 0.16
 BLOCK = 1024
 #: Nodes that look for links side by side.
 CELL = 256
@@ -153,6 +152,15 @@ def estimate(bits_a: str, bits_b: str):
     return (agree / F.lit(float(MINIMA)) - chance) / (1.0 - chance)
 
 
+def least_estimate(percent: int) -> float:
+    """Estimates below this, 6 standard deviations (a hundredth rounded up) under the
+    threshold, are not confirmed."""
+    chance = 1.0 / (1 << LOW_BITS)
+    agree = chance + (1.0 - chance) * percent / 100.0
+    deviation = math.sqrt(agree * (1.0 - agree) / MINIMA) / (1.0 - chance)
+    return percent / 100.0 - math.ceil(600 * deviation) / 100.0
+
+
 def _confirm(pairs: DataFrame, docs: DataFrame, percent: int, filter_bits: int) -> DataFrame:
     """The pairs (a, b) whose full sets meet the threshold."""
     ids = pairs.select("a").union(pairs.select("b")).distinct()
@@ -193,7 +201,7 @@ def _likely(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
         pairs.distinct()
         .join(left, "a")
         .join(right, "b")
-        .filter(estimate("bits_a", "bits_b") >= percent / 100.0 - SLACK)
+        .filter(estimate("bits_a", "bits_b") >= least_estimate(percent))
         .select("a", "b")
         .distinct()
     )
@@ -236,7 +244,7 @@ def _across(members: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
         odd.unionByName(rest)
         .repartition(shuffle_partitions(members), *key)
         .sortWithinPartitions(*key, "odd")
-        .mapInArrow(_faced(percent / 100.0 - SLACK), "a bigint, partners array<bigint>")
+        .mapInArrow(_faced(least_estimate(percent)), "a bigint, partners array<bigint>")
     )
     partners = F.array_distinct(F.flatten(F.collect_list("partners")))
     return faced.groupBy("a").agg(partners.alias("partners"))

@@ -65,7 +65,7 @@ def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("op1_near_dedup")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents")).drop("digest")
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), percent=85).drop("digest")
 
 
 @_query("op2_url_filter")

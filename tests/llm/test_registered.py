@@ -50,3 +50,15 @@ def test_stages_take_effect(spark):
     assert set(pieces.doc_id) == {r["doc_id"] for r in docs.select("doc_id").collect()}
     assert pieces.groupby("doc_id").length.sum().equals(pieces.groupby("doc_id").doc_tokens.first())
     assert len(corpus_pipeline.run(spark, SF).toPandas()) == len(pieces)
+
+
+def test_near_copies_from_four_fifths_leave_the_pipeline(spark):
+    table = []
+    for n, count in enumerate((50, 52, 55, 58, 45)):  # one word changed: 0.80 to 0.83, then 0.78
+        base = [f"w{n}_{i}" for i in range(count)]
+        copy = list(base)
+        copy[count // 2] = "changed"
+        table += [(2 * n, " ".join(base)), (2 * n + 1, " ".join(copy))]
+    docs = spark.createDataFrame(table, "doc_id bigint, text string")
+    after = corpus_pipeline.near_duplicates(spark, docs, SF)
+    assert sorted(r["doc_id"] for r in after.collect()) == [0, 2, 4, 6, 8, 9]
