@@ -5,6 +5,7 @@ from collections import Counter
 
 import llm_cases
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -72,6 +73,25 @@ def test_higher_orders_fill_buckets(spark):
     assert [r[0] for r in grams] == [6, 1, 0]
 
 
+def test_all_trusted_documents_count(spark):
+    docs = spark.createDataFrame([(i, f"own{i} " * 20) for i in range(60)], "doc_id bigint, text string")
+    trusted = spark.range(250_000).withColumnRenamed("id", "doc_id")
+    marked = quality.ratio_model(docs, trusted).collect()
+    # Every text is trusted, so target and raw counts are the same.
+    assert len(marked) > 50 and all(abs(r["weight"]) < 1e-9 for r in marked)
+
+
+@pytest.mark.parametrize("kind", ["bigint", "int", "string"])
+def test_trusted_ids_are_marked_whatever_their_type(spark, kind):
+    ids = [-(1 << 31), -65, -64, -1, 0, 1, 62, 63, 64, 127, (1 << 31) - 1, None]
+    frame = spark.createDataFrame([(i,) for i in ids], "id bigint").selectExpr(f"cast(id AS {kind}) AS __id")
+    picked = [i for i in ids[::2] if i is not None]
+    trusted = spark.createDataFrame([(i,) for i in [*picked, picked[0], 5, None]], "t bigint")
+    trusted = trusted.selectExpr(f"cast(t AS {kind}) AS t")
+    got = sorted((str(r["__id"]), r["__t"]) for r in quality.mark_trusted(frame, trusted).collect())
+    assert got == sorted((str(i), int(i in picked)) for i in ids)
+
+
 def test_no_trusted_documents_reject_nothing_more(spark, docs):
     none = spark.createDataFrame([], "doc_id bigint")
     got = quality.judge(docs, none).collect()
