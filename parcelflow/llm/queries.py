@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 
 from parcelflow.llm import (
     decontamination,
+    hard_negatives,
     language_id,
     license_scan,
     line_dedup,
     near_dedup,
     packing,
+    periodic_runs,
+    pivot_dedup,
     quality,
     substring_dedup,
     token_counts,
@@ -29,6 +32,8 @@ ORACLES: dict[str, str] = {
     "op3_line_dedup": line_dedup.ORACLE,
     "op4_substring_dedup": substring_dedup.ORACLE,
     "op5_license_scan": license_scan.oracle(),
+    "op11_hard_negatives": hard_negatives.ORACLE,
+    "op12_periodic_runs": periodic_runs.ORACLE,
 }
 
 TOKENIZER = "word_bpe_49k.json"
@@ -128,3 +133,19 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", F.round("score", 6).alias("score"),
     )
+
+
+@_query("op11_hard_negatives")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(hard_negatives.whole_vectors(_table(spark, sf_dir, "embeddings")))
+
+
+@_query("op12_periodic_runs")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.planted(_table(spark, sf_dir, "documents"))
+    return periodic_runs.run_digests(periodic_runs.periodic_runs(docs))
+
+
+@_query("op13_simhash_dedup")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
