@@ -32,4 +32,5 @@ def days_on_market(listing_date: Column, as_of: Column) -> Column:
 
 
 def years_since(year: Column, as_of: Column) -> Column:
-    return F.year(as_of) - year
+    """In a wider type, so that no year overflows it."""
+    return F.year(as_of).cast("bigint") - year

@@ -46,8 +46,22 @@ DAMAGE = (
     (r'"property_id":"[^"]*"', '"property_id":["a"]'),  # 7: an array in a string field
     (r'"property_id":', '"unknown":1,"property_id":'),  # 8: a field not known
 )
+#: The least fault that is none, and the one whose first lines are dated ahead.
+SOUND = 14
 AHEAD_FAULT = 50
 
+_WHOLE = r'"(year_built|floors|living_area|bedrooms|parking_spaces|days_on_market|walk_score|transit_score)":-?[0-9]+'
+_BROKEN = r'"(tax_assessment|last_sale_price|latitude|longitude)":[^,}]+'
+# Faults 9 and up: values at the end of their type's range, a vast price (2^996), and none that is a number.
+EXTREMES = (
+    ((r'"price":[^,}]+', '"price":6.696928794914171E299'),),
+    ((r'"price":[^,}]+', '"price":NaN'),),
+    ((r'"price_per_sqft":[^,}]+', '"price_per_sqft":-Infinity'),),
+    ((_WHOLE, '"$1":-2147483648'), (_BROKEN, '"$1":-1.7976931348623157E308')),
+    ((_WHOLE, '"$1":2147483647'), (_BROKEN, '"$1":1.7976931348623157E308')),
+)
+FIRST_EXTREME = SOUND - len(EXTREMES)
+
 # By rule: a field, and the value (SQL over the sound row) that breaks the rule.
 BREAKS = {
     "type_known": ("type", "'Castle'"),
@@ -77,6 +91,15 @@ BREAKS = {
     "days_on_market": ("days_on_market", "-5"),
     "last_sale_date": ("last_sale_date", "'2001-12-20'"),
 }
+# Values at the end of a type's range, or none that is a number, by turns after those.
+EXTREME_VALUES = (
+    ("year_built", "-2147483648"), ("year_built", "2147483647"), ("bedrooms", "-2147483648"),
+    ("bedrooms", "2147483647"), ("living_area", "2147483647"), ("living_area", "-2147483648"),
+    ("walk_score", "-2147483648"), ("days_on_market", "2147483647"), ("tax_assessment", "'NaN'"),
+    ("last_sale_price", "'Infinity'"), ("hoa_fee", "'-Infinity'"), ("price_per_sqft", "'NaN'"),
+    ("tax_assessment", "-1.7976931348623157E308"), ("bathrooms", "1.7976931348623157E308"),
+    ("price", "1e15"), ("lot_size", "9223372036854775807"),
+)
 BREAK_EVERY = 53
 
 RECORD_COLUMNS = [
@@ -222,7 +245,7 @@ def flat_listings(spark: SparkSession, sf_dir: str, mapped: bool = False) -> Dat
 
 def ruled_listings(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Nested listings that meet every domain rule, but for the ones ``BREAKS`` names:
-    of every ``BREAK_EVERY`` order keys one breaks each rule."""
+    of every ``BREAK_EVERY`` order keys one breaks each rule, and one has each of ``EXTREME_VALUES``."""
     col = F.col
     rows = type_lookup(city_lookup(flat_listings(spark, sf_dir, mapped=True), "city"), "type")
     order, kind = col("l_orderkey"), col("type")
@@ -266,7 +289,7 @@ def ruled_listings(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ())
     )
     due = F.pmod(order, F.lit(BREAK_EVERY))
     broken: dict[str, Column] = {}
-    for turn, (name, value) in enumerate(BREAKS.values()):
+    for turn, (name, value) in enumerate([*BREAKS.values(), *EXTREME_VALUES]):
         kind_of = sound.schema[name].dataType
         broken[name] = F.when(due == turn, F.expr(value).cast(kind_of)).otherwise(
             broken.get(name, col(name))
@@ -288,16 +311,19 @@ def messages(
     damaged: bool = False,
     delayed: bool = False,
     ruled: bool = False,
+    extreme: bool = False,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """The listings as keyed JSON messages with the envelope of a topic.
 
     ``damaged`` breaks some by rule: of every 97 order keys one turns into text
     that is not JSON, one into null, one gets its bedrooms as text, and each other kind
-    of ``DAMAGE`` befalls one.  ``delayed`` messages are sent three days after their
+    of ``DAMAGE`` befalls one, and of ``EXTREMES`` if they are ``extreme``.  ``delayed`` messages are sent three days after their
     record's time, and of those the first lines of one order key in 97 are dated far ahead.
+    ``keep`` are keys of the line to keep beside the envelope.
     """
-    keep = ("l_orderkey", "l_linenumber", "n_name")
-    nested = ruled_listings(spark, sf_dir, keep) if ruled else listings(spark, sf_dir, mapped, keep)
+    line = ("l_orderkey", "l_linenumber", "n_name")
+    nested = ruled_listings(spark, sf_dir, line) if ruled else listings(spark, sf_dir, mapped, line)
     order = F.col("l_orderkey")
     offset = F.make_dt_interval(mins=F.pmod(order, F.lit(1440)).cast("int"))
     envelope = (
@@ -311,6 +337,7 @@ def messages(
         envelope += (F.col("_fault"),)
     if delayed:
         envelope += (order.alias("_order"),)
+    envelope += tuple(F.col(name) for name in keep)
     out = encode(nested, F.col("n_name"), TOPIC, RECORD_COLUMNS, keep=envelope)
     if damaged:
         whole = F.col("value").cast("string")
@@ -319,6 +346,11 @@ def messages(
         )
         for number, (pattern, put) in enumerate(DAMAGE, start=2):
             value = value.when(F.col("_fault") == number, F.regexp_replace(whole, pattern, put))
+        for number, changes in enumerate(EXTREMES if extreme else (), start=FIRST_EXTREME):
+            text_of = whole
+            for pattern, put in changes:
+                text_of = F.regexp_replace(text_of, pattern, put)
+            value = value.when(F.col("_fault") == number, text_of)
         out = out.withColumn("value", value.otherwise(whole).cast("binary"))
     if delayed:
         ahead = (F.col("_order") % 97 == AHEAD_FAULT) & (F.col("offset") == 1)
@@ -331,5 +363,5 @@ def messages(
         )
     return out.select(
         "key", "value", "topic", "partition", "offset", "timestamp", "timestampType",
-        *(["_fault"] if damaged else []), *(["_order"] if delayed else []),
+        *(["_fault"] if damaged else []), *(["_order"] if delayed else []), *keep,
     )

@@ -129,7 +129,16 @@ def _window(time: str) -> str:
 
 
 def _exact_mean(value: str) -> str:
-    return f"CAST(sum(CAST({value} AS DECIMAL(28,6))) AS DOUBLE) / count({value})"
+    """The exact sum of the doubles, in units of 2^-60, rounded once; values above 1e100 are all 2^996."""
+    vast, inf = f"abs({value}) > 1e100 AND isfinite({value})", "CAST('Infinity' AS DOUBLE)"
+    return f"""CASE
+        WHEN count({value}) = 0 THEN NULL
+        WHEN count(*) FILTER (isnan({value})) > 0 THEN CAST('NaN' AS DOUBLE)
+        WHEN count(*) FILTER ({value} = {inf}) > 0 THEN {inf}
+        WHEN count(*) FILTER ({value} = -{inf}) > 0 THEN -{inf}
+        WHEN count(*) FILTER ({vast}) > 0 THEN count(*) FILTER ({vast}) * pow(2, 996) / count({value})
+        ELSE CAST(CAST(sum(TRY_CAST({value} * pow(2, 60) AS HUGEINT)) AS VARCHAR) AS DOUBLE)
+            / pow(2, 60) / count({value}) END"""
 
 
 LISTING_SUMMARY = f"""
@@ -146,7 +155,7 @@ FROM events GROUP BY ALL"""
 EVENT_DAYS = f"""
 SELECT {DAY.format("ts")}, count(*) AS row_count, {_exact_sum("value")} AS sum_value"""
 
-AGE = "2002 - year_built"
+AGE = "2002 - CAST(year_built AS BIGINT)"
 AGE_FACTOR = (
     f"CASE WHEN {AGE} < 5 THEN CAST(1.1 AS DOUBLE) "
     f"WHEN {AGE} > 30 THEN CAST(0.8 AS DOUBLE) ELSE CAST(1.0 AS DOUBLE) END"
@@ -221,15 +230,23 @@ BREAKS = (
     ("parking_spaces", "9"), ("school_district", "'District 99'"), ("property_id", "'X'"),
     ("agent_id", "'AGT-1'"), ("listing_date", "'1999-01-01'"), ("days_on_market", "-5"),
     ("last_sale_date", "'2001-12-20'"),
+    ("year_built", "-2147483648"), ("year_built", "2147483647"), ("bedrooms", "-2147483648"),
+    ("bedrooms", "2147483647"), ("living_area", "2147483647"), ("living_area", "-2147483648"),
+    ("walk_score", "-2147483648"), ("days_on_market", "2147483647"),
+    ("tax_assessment", "CAST('NaN' AS DOUBLE)"), ("last_sale_price", "CAST('Infinity' AS DOUBLE)"),
+    ("hoa_fee", "CAST('-Infinity' AS DOUBLE)"), ("price_per_sqft", "CAST('NaN' AS DOUBLE)"),
+    ("tax_assessment", "CAST(-1.7976931348623157E308 AS DOUBLE)"),
+    ("bathrooms", "CAST(1.7976931348623157E308 AS DOUBLE)"), ("price", "CAST(1e15 AS DOUBLE)"),
+    ("lot_size", "CAST(9223372036854775807 AS DOUBLE)"),
 )
 
 
 def _ruled() -> str:
     """``sound``: listings that meet every rule; ``ruled``: one rule broken by turns."""
-    broken = ",\n        ".join(
-        f"CASE WHEN l_orderkey % 53 = {turn} THEN {value} ELSE {name} END AS {name}"
-        for turn, (name, value) in enumerate(BREAKS)
-    )
+    turns: dict[str, str] = {}
+    for turn, (name, value) in enumerate(BREAKS):
+        turns[name] = turns.get(name, "") + f" WHEN l_orderkey % 53 = {turn} THEN {value}"
+    broken = ",\n        ".join(f"CASE{cases} ELSE {name} END AS {name}" for name, cases in turns.items())
     return f"""
 dims AS (
     SELECT listing.*, c.price_multiplier, t.* EXCLUDE (type),
@@ -299,8 +316,7 @@ SELECT CASE WHEN concat_ws(',', {_broken()}) = '' THEN 'valid' ELSE 'quarantined
     type, count(*) AS row_count, {_exact_sum("price")} AS sum_price
 FROM looked_up GROUP BY ALL"""
 
-LATE = f"""
-WITH arrivals AS (
+ARRIVALS = """arrivals AS (
     SELECT *, cut + CASE WHEN event_id % 20 = 0 AND cut < 2 THEN 1 ELSE 0 END AS arrival,
         time_bucket(INTERVAL 15 MINUTE, ts) AS window_start
     FROM (
@@ -315,7 +331,10 @@ reached AS (
     JOIN (SELECT arrival, max(ts) AS ts FROM arrivals GROUP BY arrival) b
       ON b.arrival < a.arrival
     GROUP BY a.arrival
-)
+)"""
+
+LATE = f"""
+WITH {ARRIVALS}
 SELECT window_start, window_start + INTERVAL 15 MINUTE AS window_end, event_type,
     count(*) AS event_count, {EVENT_MEAN}
 FROM arrivals LEFT JOIN reached USING (arrival)
@@ -324,7 +343,11 @@ WHERE (watermark IS NULL OR window_start + INTERVAL 15 MINUTE > watermark)
       <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)
 GROUP BY ALL"""
 
-FAULT = "least(l_orderkey % 97, 9)"
+FAULT = "least(l_orderkey % 97, 14)"
+# The prices of messages whose faults are extreme values.
+FAR_PRICE = """CASE l_orderkey % 97 WHEN 9 THEN pow(2, 996) WHEN 10 THEN CAST('NaN' AS DOUBLE)
+    ELSE price END"""
+FAR_UNIT = "CASE l_orderkey % 97 WHEN 11 THEN CAST('-Infinity' AS DOUBLE) ELSE price_per_sqft END"
 # Messages that are not JSON, null, empty, arrays or cut off leave nothing.
 LOST = "l_orderkey % 97 IN (0, 1, 3, 4, 5)"
 NOT_LOST = f"CASE WHEN NOT {LOST} THEN {{}} END"
@@ -336,7 +359,7 @@ def _damaged(closed: str) -> str:
     """Sound rows by window, and the others on a line of their own."""
     return f"""WITH {MAPPED},
 sound AS (
-    SELECT * FROM listing
+    SELECT * REPLACE ({FAR_PRICE} AS price, {FAR_UNIT} AS price_per_sqft) FROM listing
     WHERE NOT {LOST} AND NOT (l_orderkey % 97 = 50 AND l_linenumber = 1)
 ),
 summed AS (
@@ -364,15 +387,25 @@ SELECT property_id, street, city, state, zip_code, country, type, transaction_ty
     agent_id, agent_name, agent_company,
     strftime(event_time, '%Y-%m-%d %H:%M:%S.%f') AS record_time
 FROM listing""",
-    "listing_decode_malformed": f"""
+    "listing_decode_malformed": f"""WITH {PLAIN}
 SELECT {FAULT} AS fault, count(*) AS row_count,
     count(*) FILTER (l_orderkey % 97 NOT IN (0, 1, 3, 4)) AS ids,
     count(*) FILTER (NOT {LOST}) AS cities,
     count(*) FILTER (NOT {LOST} AND l_orderkey % 97 <> 2) AS bedrooms,
     count(*) FILTER (NOT {LOST}) AS bathrooms,
     count(*) FILTER (NOT {LOST}) AS prices,
-    count(*) FILTER (l_orderkey % 97 IN (0, 2, 4, 5)) AS damaged_texts
-FROM lineitem GROUP BY ALL""",
+    count(*) FILTER (l_orderkey % 97 IN (0, 2, 4, 5)) AS damaged_texts,
+    count(*) FILTER (l_orderkey % 97 = 10) AS nan_prices,
+    count(*) FILTER (l_orderkey % 97 = 9) AS vast_prices,
+    count(*) FILTER (l_orderkey % 97 = 11) AS infinite_unit_prices,
+    min(CASE l_orderkey % 97 WHEN 12 THEN -2147483648 WHEN 13 THEN 2147483647
+        ELSE {NOT_LOST.format("year_built")} END)::DOUBLE AS first_year,
+    max(CASE l_orderkey % 97 WHEN 12 THEN -2147483648 WHEN 13 THEN 2147483647
+        ELSE {NOT_LOST.format("walk_score")} END)::DOUBLE AS top_walk_score,
+    max(CASE l_orderkey % 97 WHEN 12 THEN CAST(-1.7976931348623157E308 AS DOUBLE)
+        WHEN 13 THEN CAST(1.7976931348623157E308 AS DOUBLE)
+        ELSE {NOT_LOST.format("tax_assessment")} END) AS top_tax
+FROM listing GROUP BY ALL""",
     "message_envelope": f"""WITH {MAPPED}
 SELECT n_name AS key, 'listings' AS topic, CAST(l_orderkey % 6 AS INTEGER) AS partition,
     count(*) AS row_count,
@@ -384,9 +417,21 @@ FROM listing GROUP BY ALL""",
     "listing_window_summary_malformed": f"""WITH {PLAIN}
 SELECT {_window("event_time")},
     {NOT_LOST.format("city")} AS city, {NOT_LOST.format("type")} AS type,
-    {_exact_mean(NOT_LOST.format("price"))} AS avg_price, count(*) AS listing_count,
-    {_exact_mean(NOT_LOST.format("price_per_sqft"))} AS avg_price_per_sqft
+    {_exact_mean(NOT_LOST.format(FAR_PRICE))} AS avg_price, count(*) AS listing_count,
+    {_exact_mean(NOT_LOST.format(FAR_UNIT))} AS avg_price_per_sqft
 FROM listing GROUP BY ALL""",
+    "exact_means": """
+WITH small AS (
+    SELECT l_orderkey % 211 AS g, l_extendedprice * pow(2, -996) AS value,
+        CAST(l_extendedprice * pow(2, 60) AS HUGEINT) AS units,
+        CASE WHEN l_orderkey % 211 IN (7, 8, 9) AND l_linenumber = 1 THEN 1 ELSE 0 END AS odd
+    FROM lineitem
+)
+SELECT g AS "group", 3 * count(*) AS row_count,
+    CASE WHEN g <> 10 AND sum(odd) = 0 THEN CAST(CAST(sum(units) AS VARCHAR) AS DOUBLE) / pow(2, 60)
+        / (3 * count(*)) * pow(2, -996) END AS mean,
+    CASE WHEN sum(odd) > 0 THEN CASE g WHEN 7 THEN 'NaN' WHEN 8 THEN 'Infinity' ELSE '-Infinity' END END AS no_number
+FROM small GROUP BY g""",
     "events_window_summary": f"""
 SELECT {_window("ts")}, event_type, count(*) AS event_count, {EVENT_MEAN},
     avg(CAST(json_extract_string(props, '$.k') AS INTEGER)) AS avg_k
@@ -413,6 +458,14 @@ SELECT {NOT_LOST.format("city")} AS city, {NOT_LOST.format("type")} AS type,
     count(*) AS landed_rows, count(*) AS listing_count,
     {_exact_sum(NOT_LOST.format("price"))} AS sum_price, true AS stopped_together
 FROM listing GROUP BY ALL""",
+    "job_fresh_checkpoint": """
+SELECT mode, 2::INTEGER AS epochs, CASE WHEN mode <> 'append' THEN all_rows ELSE 0 END AS summed_rows,
+    CASE WHEN mode <> 'append' THEN half ELSE 0 END AS epoch_1_rows,
+    CASE WHEN mode = 'update' THEN half + all_rows ELSE 0 END AS landed_rows,
+    concat_ws(',', half, all_rows) || CASE WHEN mode = 'update' THEN concat_ws(',', '', half, all_rows)
+        ELSE '' END AS read
+FROM (SELECT unnest(['update', 'complete', 'append']) AS mode),
+    (SELECT count(*) AS all_rows, count(*) FILTER (l_orderkey % 2 = 0) AS half FROM lineitem)""",
     "stream_price_estimate": f"""{LOOKED_UP}
 SELECT property_id, city, c_state AS city_state, type, estimate AS price_estimate
 FROM looked_up""",
@@ -421,6 +474,22 @@ FROM looked_up""",
     min(event_id) AS first_event, max(event_id) AS last_event
 FROM events GROUP BY ALL""",
     "landing_compacted": f"{EVENT_DAYS}, CAST(1 AS BIGINT) AS files FROM events GROUP BY ALL",
+    "landing_folded_while_landing": f"""{EVENT_DAYS}, count(DISTINCT event_id) AS events,
+    count(DISTINCT event_id % 8) AS batches, true AS few_folders
+FROM events GROUP BY ALL""",
+    "landing_by_time": f"""{EVENT_DAYS}, CAST(7 AS INTEGER) AS folders_read FROM events
+WHERE ts >= TIMESTAMP '2024-01-09 03:00:00' AND ts < TIMESTAMP '2024-01-12 03:00:00' GROUP BY ALL""",
+    "landing_dead_letters": """
+SELECT CASE l_orderkey % 97 WHEN 1 THEN 'null' WHEN 2 THEN 'mistyped' WHEN 3 THEN 'empty'
+        WHEN 4 THEN 'not an object' ELSE 'not json' END AS fault,
+    count(*) AS row_count, count(*) AS as_sent, count(*) FILTER (l_orderkey % 97 <> 1) AS with_bytes
+FROM lineitem WHERE l_orderkey % 97 <= 5 GROUP BY ALL""",
+    "landing_unknown_fields": f"""WITH {MAPPED}
+SELECT type, count(*) AS row_count, count(*) AS ids, count(*) FILTER (l_orderkey % 5 < 2) AS with_more,
+    CAST(0 AS BIGINT) AS dead,
+    CAST(sum(l_linenumber) FILTER (l_orderkey % 5 = 0) AS BIGINT) AS grades,
+    3 * count(*) FILTER (l_orderkey % 5 = 1) AS levels
+FROM listing GROUP BY ALL""",
     "landing_retry": f"{EVENT_DAYS} FROM events GROUP BY ALL",
     "landing_listings": f"""WITH {MAPPED}
 SELECT {DAY.format("event_time")}, city, type, count(*) AS row_count,
@@ -522,10 +591,10 @@ SELECT key, row_count, CAST(ceil(share * 4) AS BIGINT) AS ways FROM shares WHERE
 SELECT count(*) AS row_count, CAST(6 AS BIGINT) AS as_reported, CAST(6 AS BIGINT) AS in_place,
     true AS hot_key_divided
 FROM lineitem""",
-    "query_progress": """
-SELECT 'feed' AS query, batch_id, count(*) AS rows, true AS has_rate
-FROM (SELECT CASE WHEN ts < TIMESTAMP '2024-01-11' THEN 0
-                  WHEN ts < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END::BIGINT AS batch_id
-      FROM events)
-GROUP BY ALL""",
+    "query_progress": f"""
+WITH {ARRIVALS}
+SELECT 'feed' AS query, arrival AS turn, count(*) AS input_rows,
+    count(*) FILTER (window_start + INTERVAL 15 MINUTE <= watermark) AS late_rows,
+    true AS has_rate, true AS has_watermark
+FROM arrivals LEFT JOIN reached USING (arrival) GROUP BY ALL""",
 }

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,9 +14,16 @@ from parcelflow.operators import quality, routing
 from parcelflow.operators.decode import DAMAGED, decode, decode_fields
 from parcelflow.operators.encode import encode
 from parcelflow.operators.lookup import city_lookup, type_lookup
+from parcelflow.operators.exact import finished_means, partial_means
+from parcelflow.operators.faults import DEAD
 from parcelflow.operators.summary import (
     LISTING_KEYS,
+    PARTIAL_KEYS,
+    PARTIALS,
+    SUMMARY,
+    finished_summary,
     flat_window,
+    listing_partials,
     listing_summary,
     windowed_summary,
 )
@@ -30,8 +37,9 @@ from parcelflow.operators.timecols import (
 )
 from parcelflow.plans import listings as fixture
 from parcelflow.plans.replay import EVENTS, event_cuts, replay, timed_events
-from parcelflow.schema import DAY_KEYS, LANDED, LANDED_KEYS
-from parcelflow.sinks.compaction import compact_days, folded
+from parcelflow.schema import DAY_KEYS, LANDED, LANDED_KEYS, LANDED_MESSAGES
+from parcelflow.sinks import manifest
+from parcelflow.sinks.compaction import compact_days
 from parcelflow.sinks.landing import BatchSink, landing_sink
 from parcelflow.sinks.messages import store
 from parcelflow.settings import Settings
@@ -40,15 +48,18 @@ from parcelflow.sinks.tables import (
     compact,
     published_table,
     replace_table,
+    result_epochs,
     split_sink,
     store_split,
+    stored_rows,
     upsert,
     upserted,
 )
 from parcelflow.sources.landed import landed_table
-from parcelflow.sources.messages import file_stream
+from parcelflow.sources.messages import file_messages, file_stream
+from parcelflow.sources.tables import table
 from parcelflow.streaming import job
-from parcelflow.streaming.progress import recorded, throughput
+from parcelflow.streaming.progress import progress_log, watch
 from parcelflow.streaming.runner import await_any, run_to_end, start_to_sink
 from parcelflow.workspace import fresh_dir
 
@@ -99,12 +110,13 @@ def listing_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def listing_decode_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What is left of each kind of damage (fault 9 and up: none)."""
+    """What is left of each kind of damage, and of each kind of extreme value."""
     records = decode(
-        fixture.messages(spark, sf_dir, damaged=True),
-        keep=[F.least("_fault", F.lit(9)).alias("fault")],
+        fixture.messages(spark, sf_dir, damaged=True, extreme=True),
+        keep=[F.least("_fault", F.lit(fixture.SOUND)).alias("fault")],
         damaged_column=DAMAGED,
     )
+    price, unit_price = F.col("financials.price"), F.col("financials.price_per_sqft")
     return records.groupBy("fault").agg(
         _rows(),
         F.count("property_id").alias("ids"),
@@ -113,6 +125,12 @@ def listing_decode_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count("property_details.bathrooms").alias("bathrooms"),
         F.count("financials.price").alias("prices"),
         F.count(DAMAGED).alias("damaged_texts"),
+        F.count_if(F.isnan(price)).alias("nan_prices"),
+        F.count_if(~F.isnan(price) & (price > 1e100)).alias("vast_prices"),
+        F.count_if(unit_price == float("-inf")).alias("infinite_unit_prices"),
+        F.min("property_details.year_built").cast("double").alias("first_year"),
+        F.max("location.walk_score").cast("double").alias("top_walk_score"),
+        F.max("financials.tax_assessment").alias("top_tax"),
     )
 
 
@@ -144,11 +162,40 @@ def listing_window_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def listing_window_summary_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same over a feed with damaged messages: they form null groups."""
-    sent = fixture.messages(spark, sf_dir, damaged=True)
+    """The same over a feed with damaged messages, which form null groups, and with prices that
+    are vast, infinite or no numbers, which change the means of their own groups alone."""
+    sent = fixture.messages(spark, sf_dir, damaged=True, extreme=True)
     return flat_window(listing_summary(_listing_rows(sent), EVENT_TIME))
 
 
+# A price times this, and times its inverse, is near either end of the doubles.
+FAR = 2.0**996
+
+
+def exact_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of every line its price times ``FAR``, the same below zero, and its price over ``FAR``: the
+    first two cancel, so the mean is that of the last, 1e-300 and the like.  In some groups a value is no number."""
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.pmod("l_orderkey", F.lit(211)).alias("group"),
+        "l_linenumber",
+        F.explode(F.array(F.lit(FAR), F.lit(-FAR), F.lit(1 / FAR))).alias("factor"),
+        F.col("l_extendedprice").alias("price"),
+    )
+    odd = F.when(F.abs("factor") < 1, F.when(F.col("l_linenumber") == 1, F.col("group")))
+    value = (
+        F.when(odd == 7, float("nan")).when(odd == 8, float("inf")).when(odd == 9, float("-inf"))
+        .when(F.col("group") == 10, None).otherwise(F.col("price") * F.col("factor"))
+    )
+    counts = {"row_count": F.count(F.lit(1))}
+    partials = partial_means(rows.withColumn("value", value), [F.col("group")], {"mean": "value"}, counts)
+    found = finished_means(partials, ["group"], ["mean"], ["row_count"])
+    number = ~F.isnan("mean") & (F.abs("mean") != float("inf"))
+    return found.select(
+        "group", "row_count", F.when(number, F.col("mean")).alias("mean"),
+        F.when(~number, F.col("mean").cast("string")).alias("no_number"),
+    )
+
+
 def _event_measures() -> list[Column]:
     """Event values have cents, whose double sum hangs on the order of the rows;
     the exact sum over the count is the same mean in any order."""
@@ -182,14 +229,14 @@ def stream_complete_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     home = fresh_dir(spark, "stream-complete")
     store(fixture.messages(spark, sf_dir), f"{home}/in")
     feed = file_stream(spark, f"{home}/in", max_files_per_trigger=FILES_A_TRIGGER)
-    summary = flat_window(
-        listing_summary(watermarked(_listing_rows(feed), EVENT_TIME), EVENT_TIME)
+    partials = flat_window(
+        listing_partials(watermarked(_listing_rows(feed), EVENT_TIME), EVENT_TIME)
     )
-    sink = replace_table(f"{home}/out")
+    sink = replace_table(f"{home}/out", finished_summary)
     run_to_end(
-        start_to_sink(summary, sink, "complete", f"{home}/checkpoint", "complete")
+        start_to_sink(partials, sink, "complete", f"{home}/checkpoint", "complete")
     )
-    return published_table(spark, f"{home}/out", summary.schema)
+    return published_table(spark, f"{home}/out", SUMMARY)
 
 
 def _summarise_events(events: DataFrame) -> DataFrame:
@@ -206,8 +253,7 @@ def _replayed_event_summary(
         return start_to_sink(summary, add_batch(f"{home}/out"), mode, f"{home}/checkpoint", mode)
 
     replay(cuts, f"{home}/in", start)
-    emitted = _summarise_events(cuts[0]).schema.add("batch_id", "long")
-    return spark.read.schema(emitted).parquet(f"{home}/out")
+    return stored_rows(spark, f"{home}/out", _summarise_events(cuts[0]).schema)
 
 
 def stream_append_closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,12 +286,16 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every 20th event arrives one cut late.  In append mode it counts only if its
     window was still open at the watermark the earlier cuts had reached."""
     home = fresh_dir(spark, "stream-late")
+    cuts = _late_cuts(spark, sf_dir)
+    return _replayed_event_summary(spark, home, cuts, "append").drop("batch_id")
+
+
+def _late_cuts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     held = F.pmod("event_id", F.lit(20)) == 0
     pieces = event_cuts(spark, sf_dir)
     prompt = [piece.filter(~held) for piece in pieces]
     late = [piece.filter(held) for piece in pieces]
-    cuts = [prompt[0], prompt[1].union(late[0]), prompt[2].union(late[1]).union(late[2])]
-    return _replayed_event_summary(spark, home, cuts, "append").drop("batch_id")
+    return [prompt[0], prompt[1].union(late[0]), prompt[2].union(late[1]).union(late[2])]
 
 
 def _listing_feed(
@@ -260,12 +310,12 @@ def stream_processing_time_summary(spark: SparkSession, sf_dir: str) -> DataFram
     """The job's summary in complete mode over a feed with damaged messages.  Its
     windows follow the clock; over all of them each group keeps its rows."""
     home = fresh_dir(spark, "stream-processing-time")
-    summary = flat_window(job.analytics_rows(_listing_feed(spark, sf_dir, home, damaged=True)))
-    sink = replace_table(f"{home}/out")
+    partials = job.analytics_rows(_listing_feed(spark, sf_dir, home, damaged=True))
+    sink = replace_table(f"{home}/out", finished_summary)
     run_to_end(
-        start_to_sink(summary, sink, job.ANALYTICS, f"{home}/checkpoint", "complete")
+        start_to_sink(partials, sink, job.ANALYTICS, f"{home}/checkpoint", "complete")
     )
-    return _over_windows(published_table(spark, f"{home}/out", summary.schema))
+    return _over_windows(published_table(spark, f"{home}/out", SUMMARY))
 
 
 def _over_windows(summary: DataFrame) -> DataFrame:
@@ -283,15 +333,12 @@ def _over_windows(summary: DataFrame) -> DataFrame:
     )
 
 
-DAMAGED_KEYS = ["window_start", "window_end", "city", "type"]
-
-
 def _damaged_stream(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
     """Messages sent days after their record time, some damaged and some dated far
     ahead, cut by record time.  Sound rows are summed by window; the others are
     counted apart, on a line without a window."""
     home = fresh_dir(spark, f"stream-damaged-{mode}")
-    sent = fixture.messages(spark, sf_dir, mapped=True, damaged=True, delayed=True)
+    sent = fixture.messages(spark, sf_dir, mapped=True, damaged=True, delayed=True, extreme=True)
     minute = F.pmod("_order", F.lit(1440))
     thirds = [minute < 480, (minute >= 480) & (minute < 960), minute >= 960]
     cuts = [sent.filter(third).drop("_order", "_fault") for third in thirds]
@@ -299,13 +346,11 @@ def _damaged_stream(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
     def rows(feed: DataFrame) -> tuple[DataFrame, DataFrame]:
         return split_by_trust(decode_fields(feed, keep=[_message_time()]), MESSAGE_TIME)
 
-    def summarise(trusted: DataFrame) -> DataFrame:
-        return flat_window(listing_summary(watermarked(trusted, EVENT_TIME), EVENT_TIME))
-
     def start_sound() -> StreamingQuery:
         trusted, _ = rows(file_stream(spark, f"{home}/in"))
-        sink = upsert(f"{home}/sound")
-        return start_to_sink(summarise(trusted), sink, "sound", f"{home}/checkpoint", mode)
+        partials = flat_window(listing_partials(watermarked(trusted, EVENT_TIME), EVENT_TIME))
+        sink = upsert(f"{home}/sound", PARTIAL_KEYS)
+        return start_to_sink(partials, sink, "sound", f"{home}/checkpoint", mode)
 
     replay(cuts, f"{home}/in", start_sound)
     feed = file_stream(spark, f"{home}/in")
@@ -313,13 +358,12 @@ def _damaged_stream(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
     apart = rest.select(EVENT_TIME)
     sink = add_batch(f"{home}/apart")
     run_to_end(start_to_sink(apart, sink, "apart", f"{home}/checkpoint"))
-    schema = summarise(rows(cuts[0])[0]).schema
-    sound = upserted(spark, f"{home}/sound", DAMAGED_KEYS, schema)
-    stored = spark.read.schema(f"{EVENT_TIME} TIMESTAMP, batch_id BIGINT").parquet(f"{home}/apart")
+    sound = finished_summary(upserted(spark, f"{home}/sound", PARTIAL_KEYS, PARTIALS))
+    stored = published_table(spark, f"{home}/apart", f"{EVENT_TIME} TIMESTAMP")
     nothing = [
         F.lit(None).cast(f.dataType).alias(f.name) if f.name != "listing_count"
         else F.count(F.lit(1)).alias(f.name)
-        for f in schema
+        for f in sound.schema
     ]
     return sound.unionByName(stored.agg(*nothing))
 
@@ -370,6 +414,45 @@ def job_two_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+MODES = ("update", "complete", "append")
+
+
+def job_fresh_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job runs over half of the messages, in two batches; then its checkpoints are lost, and it
+    starts over with fresh ones on the same tables and all messages.  In every mode the summary is that of
+    the new run, and the old one can still be read by its epoch; progress holds both, and so do the
+    landed rows of the mode that is run with its landing."""
+    found = []
+    inputs = fresh_dir(spark, "job-fresh-in")
+    sent = fixture.messages(spark, sf_dir, mapped=True, keep=["l_orderkey"])
+    for n in (0, 1):
+        half = sent.filter(F.pmod("l_orderkey", F.lit(2)) == n).drop("l_orderkey")
+        store(half.repartition(2), f"{inputs}/{n}")
+    for mode in MODES:
+        home = fresh_dir(spark, f"job-fresh-{mode}")
+        for turn, parts in enumerate(("0", "{0,1}")):
+            settings = Settings(
+                base_path=home, landing_interval=None, analytics_interval=None, analytics_mode=mode,
+                checkpoints=f"{home}/checkpoints-{turn}", progress_every=2,
+            )
+            feed = file_stream(spark, f"{inputs}/{parts}", max_files_per_trigger=1 + 3 * turn)
+            log = job.log_progress(spark, settings)
+            start = job.start if mode == "update" else job.start_analytics
+            for query in start(feed, settings):
+                run_to_end(query)
+                log.settled(query)
+            spark.streams.removeListener(log)
+        epochs = [epoch for epoch, _, _ in result_epochs(spark, settings.summary_path)]
+        results = [job.summary_table(spark, settings, epoch) for epoch in (None, *epochs[:1])]
+        rows = [result.agg(F.coalesce(F.sum("listing_count"), F.lit(0))).first()[0] for result in results]
+        lines = progress_log(spark, settings.progress_path)
+        read = lines.groupBy("query", "run").agg(F.sum("input_rows").alias("rows")).sort("query", "rows")
+        read_rows = ",".join(str(row["rows"]) for row in read.collect())
+        found.append((mode, len(epochs), *rows, job.landed(spark, settings).count(), read_rows))
+    names = "mode STRING, epochs INT, summed_rows BIGINT, epoch_1_rows BIGINT, landed_rows BIGINT, read STRING"
+    return spark.createDataFrame(found, names)
+
+
 def stream_price_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both lookups joined to a stream, and the estimate from them.  Messages on
     land carry no area, so these have none."""
@@ -393,7 +476,7 @@ def stream_price_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
     run_to_end(
         start_to_sink(priced, add_batch(f"{home}/out"), "estimate", f"{home}/checkpoint")
     )
-    return spark.read.schema(priced.schema).parquet(f"{home}/out").drop("batch_id")
+    return published_table(spark, f"{home}/out", priced.schema)
 
 
 def stream_quality_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -403,7 +486,7 @@ def stream_quality_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = decode(file_stream(spark, f"{home}/in", max_files_per_trigger=FILES_A_TRIGGER))
     marked = quality.with_violations(rows, fixture.as_of())
     run_to_end(start_to_sink(marked, split_sink(f"{home}/out"), "split", f"{home}/checkpoint"))
-    return _sides(spark, f"{home}/out", marked)
+    return _by_side(published_table(spark, f"{home}/out", marked.schema.add("side", "string")))
 
 
 # Landing -----------------------------------------------------------------------------
@@ -444,17 +527,145 @@ def landing_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = f"{EVENTS}, {LANDED_KEYS}"
     days = landed_table(spark, f"{home}/data", schema).select(*DAY_KEYS).distinct().collect()
     compact_days(spark, f"{home}/data", [date(*found) for found in days], schema)
-    folder = folded(spark, f"{home}/data").first()["folder"]
+    landed = landed_table(spark, f"{home}/data", schema)
     files = (
-        spark.read.schema(schema).parquet(f"{home}/data/{folder}")
-        .select(*DAY_KEYS, F.input_file_name().alias("file"))
+        landed.select(*DAY_KEYS, F.input_file_name().alias("file"))
         .groupBy(*DAY_KEYS)
         .agg(F.count_distinct("file").alias("files"))
     )
-    landed = landed_table(spark, f"{home}/data", schema)
     return _days(landed, _exact_sum("value", "sum_value")).join(files, list(DAY_KEYS))
 
 
+FOLDS = 4
+
+
+def landing_folded_while_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events landed in two batches and folded, over and over; each time a batch lands between the
+    read and the exchange of a fold, in the same days.  All rows stay, folded batches that are run again
+    change nothing, and the scan names no more folders than there are live ones."""
+    home = fresh_dir(spark, "landing-folded")
+    schema, path = f"{EVENTS}, {LANDED_KEYS}", f"{home}/data"
+    events = timed_events(spark, sf_dir)
+    days = [date(*row) for row in _event_days(events).collect()]
+    piece = F.pmod("event_id", F.lit(2 * FOLDS))
+    exchange = manifest.exchange
+
+    def land_piece(n: int) -> None:
+        landing_sink(path, "ts", run="feed")(events.filter(piece == n), n)
+
+    def late_exchange(*given) -> bool:
+        land_piece(2 * fold + 1)
+        return exchange(*given)
+
+    manifest.exchange = late_exchange
+    try:
+        for fold in range(FOLDS):
+            land_piece(2 * fold)
+            compact_days(spark, path, days, schema)
+            land_piece(2 * fold)  # the batch is run again: its rows are in the fold
+    finally:
+        manifest.exchange = exchange
+    landed = landed_table(spark, path, schema)
+    live = len(manifest.live(spark, path))
+    return _days(
+        landed,
+        _exact_sum("value", "sum_value"),
+        F.count_distinct("event_id").alias("events"),
+        F.count_distinct("batch_id").alias("batches"),
+        F.lit(live <= 5 * len(days)).alias("few_folders"),
+    )
+
+
+def _event_days(events: DataFrame) -> DataFrame:
+    return events.select(F.year("ts"), F.month("ts"), F.dayofmonth("ts")).distinct()
+
+
+def landing_by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of some hours, read by the times the manifest has of each folder."""
+    home = fresh_dir(spark, "landing-times")
+    schema, path = f"{EVENTS}, {LANDED_KEYS}", f"{home}/data"
+    sink = landing_sink(path, "ts", run="feed")
+    for n, cut in enumerate(event_cuts(spark, sf_dir)):
+        for half in range(2):
+            sink(cut.filter((F.hour("ts") >= 12) == bool(half)), 2 * n + half)
+    since, until = (datetime(2024, 1, d, 3, tzinfo=timezone.utc) for d in (9, 12))
+    found = landed_table(spark, path, schema, since=since, until=until)
+    folders = len(found.select(F.regexp_extract(F.input_file_name(), "(.*)/", 1)).distinct().collect())
+    inside = (F.col("ts") >= F.lit(since)) & (F.col("ts") < F.lit(until))
+    return _days(found.filter(inside), _exact_sum("value", "sum_value")).withColumn(
+        "folders_read", F.lit(folders)
+    )
+
+
+def landing_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job's landing over a damaged feed, one of its batches run twice and the day folded: every
+    damaged message comes back byte for byte, with its place in the topic and the kind of fault."""
+    home = fresh_dir(spark, "landing-dead")
+    settings = Settings(base_path=home, landing_interval=None)
+    feed = _listing_feed(spark, sf_dir, home, damaged=True)
+    land = landing_sink(settings.landing_path, apart=[DEAD])
+
+    def land_twice(batch: DataFrame, batch_id: int) -> None:
+        land(batch, batch_id)
+        if batch_id == 0:
+            land(batch, batch_id)
+
+    run_to_end(start_to_sink(job.landing_rows(feed), land_twice, job.LANDING, f"{home}/checkpoint"))
+    _fold_all(spark, settings)
+    sent = file_messages(spark, f"{home}/in").select(
+        F.col("topic").alias("_topic"), "key", F.col("partition").alias("_partition"), F.col("offset").alias("_offset"),
+        F.col("value").alias("_value"),
+    )
+    dead = job.dead_letter_table(spark, settings).select("topic", "partition", "offset", "value", "fault", "key")
+    # The fixture's places in the topic are not unique, so messages are compared as a multiset.
+    both = dead.groupBy("topic", "partition", "offset", "key", "value", "fault").agg(F.count(F.lit(1)).alias("rows"))
+    same = (
+        F.col("topic").eqNullSafe(F.col("_topic")) & (F.col("partition") == F.col("_partition"))
+        & (F.col("offset") == F.col("_offset")) & F.col("_value").eqNullSafe(F.col("value"))
+        & F.col("_key").eqNullSafe(F.col("key"))
+    )
+    sent = sent.withColumnRenamed("key", "_key")
+    counted = sent.groupBy(*sent.columns).agg(F.count(F.lit(1)).alias("sent"))
+    return both.join(counted, same, "left").groupBy("fault").agg(
+        F.sum("rows").alias("row_count"),
+        F.sum(F.when(F.col("rows") == F.col("sent"), F.col("rows")).otherwise(0)).alias("as_sent"),
+        F.sum(F.when(F.col("value").isNotNull(), F.col("rows")).otherwise(0)).alias("with_bytes"),
+    )
+
+
+def _fold_all(spark: SparkSession, settings: Settings) -> None:
+    rows = job.landed(spark, settings)
+    days = [date(*day) for day in rows.select(*DAY_KEYS).distinct().collect()]
+    compact_days(spark, settings.landing_path, days, LANDED_MESSAGES, [DEAD])
+
+
+def landing_unknown_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages with a field the schema does not know, at the top or within: their records are whole
+    and the fields can be read; all other messages keep nothing beside the record."""
+    home = fresh_dir(spark, "landing-unknown")
+    settings = Settings(base_path=home, landing_interval=None)
+    sent = fixture.messages(spark, sf_dir, mapped=True, keep=["l_orderkey"])
+    text, order = F.col("value").cast("string"), F.pmod("l_orderkey", F.lit(5))
+    top = F.concat(F.lit('{"grade":'), F.col("offset"), F.lit(","), F.expr("substr(cast(value AS string), 2)"))
+    inner = F.regexp_replace(text, '"address":[{]', '"address":{"floor":{"level":3},')
+    value = F.when(order == 0, top).when(order == 1, inner).otherwise(text)
+    store(sent.withColumn("value", value.cast("binary")).drop("l_orderkey"), f"{home}/in")
+    rows = job.landing_rows(file_stream(spark, f"{home}/in"))
+    sink = landing_sink(settings.landing_path, apart=[DEAD])
+    run_to_end(start_to_sink(rows, sink, job.LANDING, f"{home}/checkpoint"))
+    landed = job.landed(spark, settings)
+    grade = F.try_variant_get("extra", "$.grade", "bigint")
+    level = F.try_variant_get("extra", "$.address.floor.level", "int")
+    return landed.groupBy(F.col("property_details.type").alias("type")).agg(
+        _rows(),
+        F.count("property_id").alias("ids"),
+        F.count("extra").alias("with_more"),
+        F.count_if(F.col(DEAD)).alias("dead"),
+        F.sum(grade).alias("grades"),
+        F.sum(level).alias("levels"),
+    )
+
+
 def landing_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same, but the job dies after a write and before its commit, and the
     query is started again.  No row may be lost or landed twice."""
@@ -505,9 +716,9 @@ def landing_processing_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     the day they were processed."""
     home = fresh_dir(spark, "landing-processing-time")
     rows = job.landing_rows(_listing_feed(spark, sf_dir, home, damaged=True))
-    sink = landing_sink(f"{home}/data")
+    sink = landing_sink(f"{home}/data", apart=[DEAD])
     run_to_end(start_to_sink(rows, sink, job.LANDING, f"{home}/checkpoint"))
-    landed = landed_table(spark, f"{home}/data")
+    landed = landed_table(spark, f"{home}/data", LANDED_MESSAGES)
     stamp = F.to_date(PROCESSING_TIME)
     return landed.groupBy(
         F.col("address.city").alias("city"), F.col("property_details.type").alias("type")
@@ -658,7 +869,10 @@ def quality_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sides(spark: SparkSession, path: str, marked: DataFrame) -> DataFrame:
-    sides = spark.read.schema(marked.schema.add("side", "string")).parquet(path)
+    return _by_side(spark.read.schema(marked.schema.add("side", "string")).parquet(path))
+
+
+def _by_side(sides: DataFrame) -> DataFrame:
     return sides.groupBy("side", F.col("property_details.type").alias("type")).agg(
         _rows(), _exact_sum("financials.price", "sum_price")
     )
@@ -718,18 +932,31 @@ def routed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def query_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of every batch, over more batches than Spark's own record would keep."""
+    """Rows read and rows dropped as late, of every batch of a query that is started four times, as its
+    listener wrote them."""
     home = fresh_dir(spark, "progress")
-    path = f"{home}/progress"
+    log = watch(spark, f"{home}/progress", every=2)
+    cuts = _late_cuts(spark, sf_dir)
 
     def start() -> StreamingQuery:
-        feed = file_stream(spark, f"{home}/in", EVENTS)
-        sink = recorded(add_batch(f"{home}/out"), "feed", path)
-        return start_to_sink(feed, sink, "feed", f"{home}/checkpoint")
+        rows = watermarked(file_stream(spark, f"{home}/in", EVENTS), "ts")
+        ends = F.window("ts", "15 minutes")
+        counted = rows.groupBy(ends, "event_id").agg(_rows()).select("window.end", "event_id", "row_count")
+        return start_to_sink(counted, add_batch(f"{home}/out"), "feed", f"{home}/checkpoint")
 
-    replay(event_cuts(spark, sf_dir), f"{home}/in", start)
-    return throughput(spark, "feed", path).select(
-        "query", "batch_id", "rows", (F.col("rows_per_second") > 0).alias("has_rate")
+    try:
+        for query in replay(cuts, f"{home}/in", start):
+            log.settled(query)
+    finally:
+        spark.streams.removeListener(log)
+    lines = progress_log(spark, f"{home}/progress")
+    return lines.filter("input_rows > 0").select(
+        "query",
+        (F.row_number().over(Window.orderBy("batch_id")) - 1).alias("turn"),
+        "input_rows",
+        "late_rows",
+        (F.col("rows_per_second") > 0).alias("has_rate"),
+        F.col("watermark").isNotNull().alias("has_watermark"),
     )
 
 
@@ -741,6 +968,7 @@ QUERIES: dict[str, Query] = {
     "listing_window_summary_malformed": listing_window_summary_malformed,
     "events_window_summary": events_window_summary,
     "processing_time_summary": processing_time_summary,
+    "exact_means": exact_means,
     "stream_complete_equals_batch": stream_complete_equals_batch,
     "stream_append_closed_windows": stream_append_closed_windows,
     "stream_update_upsert": stream_update_upsert,
@@ -749,10 +977,15 @@ QUERIES: dict[str, Query] = {
     "stream_damaged_append": stream_damaged_append,
     "stream_damaged_update": stream_damaged_update,
     "job_two_queries": job_two_queries,
+    "job_fresh_checkpoint": job_fresh_checkpoint,
     "stream_price_estimate": stream_price_estimate,
     "stream_quality_split": stream_quality_split,
     "landing_partitions": landing_partitions,
     "landing_compacted": landing_compacted,
+    "landing_folded_while_landing": landing_folded_while_landing,
+    "landing_by_time": landing_by_time,
+    "landing_dead_letters": landing_dead_letters,
+    "landing_unknown_fields": landing_unknown_fields,
     "landing_retry": landing_retry,
     "landing_listings": landing_listings,
     "landing_processing_time": landing_processing_time,

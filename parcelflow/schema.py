@@ -40,8 +40,16 @@ SUMMARY_FIELDS = (
     "timestamp",
 )
 
-# Path keys of the landed table, outermost first.
+# Path keys of the landed table, outermost first: the day, and the leaf, a batch or a fold.
 DAY_KEYS = ("year", "month", "day")
-BATCH_KEYS = ("run", "batch_id")
+LEAF_KEY = "leaf"
+# The day, and which batch of which run landed a row.
 LANDED_KEYS = "year INT, month INT, day INT, run STRING, batch_id BIGINT"
 LANDED = f"{LISTING}, processing_timestamp TIMESTAMP, {LANDED_KEYS}"
+# The job's landed table: beside the record, damaged messages whole and unknown fields.
+LANDED_MESSAGES = f"""{LISTING}, processing_timestamp TIMESTAMP, extra VARIANT,
+    message STRUCT<
+        topic: STRING, partition: INT, offset: BIGINT, sent: TIMESTAMP, key: BINARY, value: BINARY,
+        fault: STRING>,
+    {LANDED_KEYS}, dead BOOLEAN
+"""

@@ -42,7 +42,8 @@ class Settings:
     ``state_partitions`` is the number of the summary's state partitions, fixed in
     its checkpoint by the first start; without it, the session's shuffle partitions.
     ``landing_files`` is the most files a landed batch is written to; without it, as
-    many as the batch has tasks.
+    many as the batch has tasks.  Progress is written every ``progress_every`` batches of a query.
+    ``checkpoints`` is by default a folder of the base path.
     """
 
     brokers: str = DEFAULT_BROKERS
@@ -60,6 +61,8 @@ class Settings:
     analytics_mode: str = "update"
     state_partitions: int | None = None
     landing_files: int | None = None
+    progress_every: int = 16
+    checkpoints: str | None = None
     console_rows: int | None = None
 
     @classmethod
@@ -86,7 +89,7 @@ class Settings:
 
     @property
     def checkpoint_root(self) -> str:
-        return f"{self.base_path}/checkpoints"
+        return self.checkpoints or f"{self.base_path}/checkpoints"
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] | None = None) -> "Settings":
@@ -108,6 +111,8 @@ class Settings:
             analytics_mode=env.get("ANALYTICS_MODE", "update"),
             state_partitions=_number(env.get("STATE_PARTITIONS")),
             landing_files=_number(env.get("LANDING_FILES")),
+            checkpoints=env.get("CHECKPOINTS"),
+            progress_every=_number(env.get("PROGRESS_EVERY")) or cls.progress_every,
             console_rows=_number(env.get("CONSOLE_ROWS")),
         )
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from parcelflow.operators.timecols import PROCESSING_TIME
-from parcelflow.schema import BATCH_KEYS, DAY_KEYS
+from parcelflow.schema import DAY_KEYS, LEAF_KEY
+from parcelflow.sinks import manifest
 
 BatchSink = Callable[[DataFrame, int], None]
 
@@ -23,21 +25,27 @@ def land(
     compression: str = "snappy",
     max_records_per_file: int | None = None,
     files: int | None = None,
+    apart: Sequence[str] = (),
 ) -> None:
-    """Write one batch under ``year=/month=/day=/run=/batch_id=``.
+    """Write one batch under ``year=/month=/day=/leaf=<run>-<batch>``, then make it live.
 
     The day comes from the rows and the leaf from the batch, so a retry meets
     its own directories and replaces them.  ``run`` keeps a query that starts
-    over at batch 0 from replacing what an earlier one landed.
+    over at batch 0 from replacing what an earlier one landed.  The manifest gets the
+    leaves with their least and greatest time; until then no reader sees them.
 
     A batch stamped with its processing time holds one day and is written as it
     is, without a shuffle.  Under any other clock a batch can touch many days, so
     rows are gathered by day first, or every task would write a file per day; AQE
     divides a day too big for one task and merges small ones.  ``gather`` says
     otherwise.  ``files`` is the most files to write for a batch: the many small
-    tasks of a wide topic are then run together, without a shuffle.
+    tasks of a wide topic are then run together, without a shuffle.  ``apart`` names columns whose
+    values get folders of their own within the leaf.
     """
+    if not re.fullmatch(r"[\w.-]+", run):
+        raise ValueError(f"a run is named by letters, digits, dots and dashes, not {run!r}")
     moment = F.col(time_col)
+    leaf = f"{run}-{batch_id}"
     keyed = batch.withColumns(
         {
             "year": F.year(moment),
@@ -45,6 +53,7 @@ def land(
             "day": F.dayofmonth(moment),
             "run": F.lit(run),
             "batch_id": F.lit(batch_id).cast("bigint"),
+            LEAF_KEY: F.lit(leaf),
         }
     )
     if gather is None:
@@ -53,15 +62,40 @@ def land(
         keyed = keyed.coalesce(files)
     if gather:
         keyed = keyed.hint("rebalance", *DAY_KEYS)
+    seen = Observation(f"landed-{leaf}")
     writer = (
-        keyed.write.mode("overwrite")
+        keyed.observe(seen, F.collect_set(F.struct(*DAY_KEYS)).alias("days"), *_extent(time_col))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", compression)
-        .partitionBy(*DAY_KEYS, *BATCH_KEYS)
+        .partitionBy(*DAY_KEYS, LEAF_KEY, *apart)
     )
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     writer.parquet(path)
+    found = seen.get
+    days = [tuple(day) for day in found["days"] or []]
+    if not days:
+        return
+    folders = {day: f"{manifest.day_folder(*day)}/{LEAF_KEY}={leaf}" for day in days}
+    if len(days) == 1:
+        extents = {days[0]: (found["rows"], found["first"], found["last"])}
+    else:  # one more look, at the time alone
+        kind = batch.schema[time_col].dataType.simpleString()
+        written = batch.sparkSession.read.schema(
+            f"`{time_col}` {kind}, year INT, month INT, day INT, {LEAF_KEY} STRING"
+        ).option("basePath", path).parquet(*[f"{path}/{folder}" for folder in folders.values()])
+        per_day = written.groupBy(*DAY_KEYS).agg(*_extent(time_col)).collect()
+        extents = {tuple(row[:3]): tuple(row[3:]) for row in per_day}
+    entries = [
+        dict(zip(manifest.NAMES, (folders[day], *day, run, batch_id, *extents[day]), strict=True)) for day in days
+    ]
+    manifest.add(batch.sparkSession, path, run, batch_id, entries)
+
+
+def _extent(time_col: str) -> list:
+    moment = F.unix_micros(F.col(time_col).cast("timestamp"))
+    return [F.count(F.lit(1)).alias("rows"), F.min(moment).alias("first"), F.max(moment).alias("last")]
 
 
 def query_id(batch: DataFrame) -> str:

@@ -1,120 +1,162 @@
 """Parquet targets for streaming results, one callback per output mode.
 
-Executors write; nothing passes through the driver.  Each callback gives the
+Executors write; nothing passes through the driver but the names of folders.  Each callback gives the
 same table when a batch is retried, and a reader never meets half a result.
+
+A result belongs to a run, the id of the query that made it, which comes with its checkpoint.  The first
+commit of a run opens an epoch above all others, and readers read the newest epoch.  So a
+query that starts over with a fresh checkpoint, whose batches are numbered from 0 again, starts a
+new result: it neither hides behind the old one nor mixes with it.  Earlier epochs stay readable by
+number until ``forget`` drops them.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcelflow.operators.quality import side
-from parcelflow.sinks.landing import BatchSink
+from parcelflow.sinks.landing import BatchSink, query_id
+from parcelflow.sinks.snapshots import SnapshotLog
 
-VERSIONS = "version BIGINT, attempt STRING"
-# Versions that stay for readers who have just begun: the current one and the last.
-KEPT_VERSIONS = 2
+BATCH = "batch_id"
+#: Emissions of update mode that may wait to be folded, where the sink folds.
+FOLD_AFTER = 64
 
+Finish = Callable[[DataFrame], DataFrame]
 
-def _hadoop_path(spark: SparkSession, path: str):
-    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
 
+def _as_given(rows: DataFrame) -> DataFrame:
+    return rows
 
-def delete(spark: SparkSession, path: str) -> None:
-    target = _hadoop_path(spark, path)
-    store = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    store.delete(target, True)
 
+def _store(
+    rows: DataFrame, path: str, run: str, batch_id: int, whole: bool, by: Sequence[str] = ()
+) -> None:
+    """Write one batch of a run, then commit it: as the whole result, or as an addition.
+    A batch that is run again takes the place of its first attempt."""
+    folder = f"data/{uuid.uuid4().hex}"
+    writer = rows.withColumn(BATCH, F.lit(batch_id).cast("bigint")).write
+    (writer.partitionBy(*by) if by else writer).parquet(f"{path}/{folder}")
+
+    def change(state: dict) -> tuple[dict, list[str]] | None:
+        epochs, entries = state.get("epochs", {}), state.get("entries", [])
+        epoch = epochs.setdefault(run, max(epochs.values(), default=0) + 1)
+        mine = [e for e in entries if e["epoch"] == epoch]
+        if whole:
+            done, gone = any(batch_id < e["last"] for e in mine), mine
+        else:  # a folded entry holds several batches
+            done = any(e["first"] < e["last"] and batch_id <= e["last"] for e in mine)
+            gone = [e for e in mine if e["last"] == batch_id]
+        if done:
+            return {**state, "epochs": epochs, "entries": entries}, [folder]
+        entry = {"epoch": epoch, "run": run, "first": batch_id, "last": batch_id, "folder": folder}
+        left = [e for e in entries if e not in gone]
+        return {**state, "epochs": epochs, "entries": [*left, entry]}, [e["folder"] for e in gone]
+
+    SnapshotLog(rows.sparkSession, path).commit(change)
+
+
+def replace_table(path: str, finish: Finish = _as_given, run: str | None = None) -> BatchSink:
+    """Complete mode: every batch is the whole result, read by ``published_table``."""
 
-def exists(spark: SparkSession, path: str) -> bool:
-    target = _hadoop_path(spark, path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        _store(finish(batch), path, run or query_id(batch), batch_id, whole=True)
 
+    return write
 
-def publish(rows: DataFrame, path: str, version: int) -> None:
-    """Write a whole table beside its earlier versions, then name it the current one.
 
-    The name is one row in ``published``, whose commit is the switch: before it
-    readers see the last version, after it this one.  A retry writes under a name of its own.
-    """
-    spark = rows.sparkSession
-    attempt = uuid.uuid4().hex
-    rows.write.parquet(f"{path}/versions/{version}-{attempt}")
-    line = spark.createDataFrame([(version, attempt)], VERSIONS)
-    line.coalesce(1).write.mode("append").parquet(f"{path}/published")
-    for old in _published(spark, path)[KEPT_VERSIONS:]:
-        delete(spark, f"{path}/versions/{old['version']}-{old['attempt']}")
+def add_batch(path: str, finish: Finish = _as_given, run: str | None = None) -> BatchSink:
+    """Append mode, or a log of emissions: every batch adds to those before, read by
+    ``published_table`` or, with its batch numbers, ``stored_rows``."""
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        _store(finish(batch), path, run or query_id(batch), batch_id, whole=False)
 
-def _published(spark: SparkSession, path: str) -> list:
-    """Versions that were named, the newest first; a few rows a run of the query."""
-    if not exists(spark, f"{path}/published"):
-        return []
-    lines = spark.read.schema(VERSIONS).parquet(f"{path}/published")
-    newest = lines.groupBy("version").agg(F.max("attempt").alias("attempt"))
-    return newest.orderBy(F.desc("version")).limit(KEPT_VERSIONS + 8).collect()
+    return write
 
 
-def published_version(spark: SparkSession, path: str) -> int | None:
-    found = _published(spark, path)
-    return found[0]["version"] if found else None
+def upsert(
+    path: str, keys: Sequence[str] = (), run: str | None = None, fold_after: int = FOLD_AFTER
+) -> BatchSink:
+    """Update mode: emissions that ``upserted`` reads.  With ``keys`` the sink folds them
+    itself, whenever more than ``fold_after`` wait, so neither their number nor a reader's plan grows."""
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        _store(batch, path, run or query_id(batch), batch_id, whole=False)
+        if keys and len(_newest_entries(batch.sparkSession, path)) > fold_after:
+            compact(batch.sparkSession, path, keys, batch.schema)
 
-def published_table(spark: SparkSession, path: str, schema) -> DataFrame:
-    """The current version; no rows before the first."""
-    found = _published(spark, path)
-    if not found:
-        return spark.createDataFrame([], schema)
-    newest = found[0]
-    return spark.read.schema(schema).parquet(
-        f"{path}/versions/{newest['version']}-{newest['attempt']}"
-    )
+    return write
 
 
-def replace_table(path: str) -> BatchSink:
-    """Complete mode: every batch is the whole result, read by ``published_table``."""
+def split_sink(path: str, run: str | None = None) -> BatchSink:
+    """Rule-checked rows of a stream, stored by ``side`` in one pass."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        publish(batch, path, batch_id)
+        marked = batch.withColumn("side", side())
+        _store(marked, path, run or query_id(batch), batch_id, whole=False, by=["side"])
 
     return write
 
 
-def add_batch(path: str) -> BatchSink:
-    """Append or update mode: every batch replaces its own directory only.
+def _newest_entries(spark: SparkSession, path: str, epoch: int | None = None) -> list[dict]:
+    entries = SnapshotLog(spark, path).read()[1].get("entries", [])
+    if epoch is None:
+        epoch = max((e["epoch"] for e in entries), default=0)
+    return [e for e in entries if e["epoch"] == epoch]
 
-    One path belongs to one checkpoint, since batch numbers start over with a new
-    one.
-    """
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        _replace_batch(batch, path, batch_id)
+def _schema(schema: T.StructType | str) -> T.StructType:
+    return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
-    return write
 
+def _read(spark: SparkSession, path: str, schema: T.StructType | str, entries: list[dict]) -> DataFrame:
+    """The rows of some entries, with their batch numbers, in one scan however many they are."""
+    numbered = T.StructType([*_schema(schema).fields, T.StructField(BATCH, T.LongType())])
+    if not entries:
+        return spark.createDataFrame([], numbered)
+    return spark.read.schema(numbered).parquet(*[f"{path}/{e['folder']}" for e in entries])
 
-def split_sink(path: str) -> BatchSink:
-    """Rule-checked rows of a stream under ``side=/batch_id=``, in one pass."""
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        _replace_batch(batch.withColumn("side", side()), path, batch_id, "side")
+def stored_rows(
+    spark: SparkSession, path: str, schema: T.StructType | str, epoch: int | None = None
+) -> DataFrame:
+    """All rows of the newest epoch, or of the one asked for, with their ``batch_id``."""
+    return _read(spark, path, schema, _newest_entries(spark, path, epoch))
 
-    return write
+
+def published_table(
+    spark: SparkSession, path: str, schema: T.StructType | str, epoch: int | None = None
+) -> DataFrame:
+    """The result of complete or append mode; no rows before the first."""
+    return stored_rows(spark, path, schema, epoch).drop(BATCH)
 
 
-def _replace_batch(batch: DataFrame, path: str, batch_id: int, *outer: str) -> None:
-    numbered = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    (
-        numbered.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*outer, "batch_id")
-        .parquet(path)
-    )
+def result_epochs(spark: SparkSession, path: str) -> list[tuple[int, str, int]]:
+    """Epoch, run and last batch of every result that can be read, the oldest first."""
+    last: dict[tuple[int, str], int] = {}
+    for e in SnapshotLog(spark, path).read()[1].get("entries", []):
+        key = e["epoch"], e["run"]
+        last[key] = max(last.get(key, -1), e["last"])
+    return sorted((epoch, run, batch) for (epoch, run), batch in last.items())
+
+
+def forget(spark: SparkSession, path: str, before: int) -> None:
+    """Drop the results of all epochs before a number."""
+
+    def change(state: dict) -> tuple[dict, list[str]] | None:
+        entries = state.get("entries", [])
+        old = [e for e in entries if e["epoch"] < before]
+        if not old:
+            return None
+        return {**state, "entries": [e for e in entries if e not in old]}, [e["folder"] for e in old]
+
+    SnapshotLog(spark, path).commit(change)
 
 
 # Types whose values an aggregate can change in place, which lets it hash.
@@ -134,7 +176,7 @@ def _newest(schema: T.StructType, values: Sequence[str], version: str) -> tuple[
 
 
 def latest_per_key(
-    emissions: DataFrame, keys: Sequence[str], version: str = "batch_id"
+    emissions: DataFrame, keys: Sequence[str], version: str = BATCH, keep_version: bool = False
 ) -> DataFrame:
     """The upsert view of update mode: the last emission of every key.
 
@@ -142,55 +184,56 @@ def latest_per_key(
     batch still moves one row per task; over numbers and times it aggregates by hash.
     """
     values = [name for name in emissions.columns if name not in (*keys, version)]
+    if not values and not keep_version:
+        return emissions.select(*keys).distinct()
     made, chosen = _newest(emissions.schema, values, version)
+    made += [F.max(version).alias(version)] * keep_version
     latest = emissions.groupBy(*keys).agg(*made)
-    return latest.select(*[c for c in emissions.columns if c in keys], *chosen).select(
-        *[c for c in emissions.columns if c != version]
-    )
+    latest = latest.select(*keys, *chosen, *[version] * keep_version)
+    return latest.select(*[c for c in emissions.columns if c != version or keep_version])
 
 
 def upserted(
-    spark: SparkSession, path: str, keys: Sequence[str], schema: T.StructType
+    spark: SparkSession,
+    path: str,
+    keys: Sequence[str],
+    schema: T.StructType | str,
+    epoch: int | None = None,
 ) -> DataFrame:
-    """Update mode's table: what ``compact`` has folded, and the emissions since."""
-    numbered = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-    folded = published_version(spark, f"{path}/folded")
-    since = F.lit(True) if folded is None else F.col("batch_id") > folded
-    emitted = spark.createDataFrame([], numbered)
-    if exists(spark, f"{path}/emitted"):
-        emitted = spark.read.schema(numbered).parquet(f"{path}/emitted").filter(since)
-    base = published_table(spark, f"{path}/folded", schema)
-    return latest_per_key(emitted.unionByName(base.withColumn("batch_id", F.lit(-1).cast("bigint"))), keys)
-
-
-def upsert(path: str) -> BatchSink:
-    """Update mode: emissions that ``upserted`` reads and ``compact`` folds."""
-    return add_batch(f"{path}/emitted")
+    """Update mode's table: the newest emission of every key, folded ones among them."""
+    return latest_per_key(stored_rows(spark, path, schema, epoch), keys)
 
 
 def compact(
-    spark: SparkSession, path: str, keys: Sequence[str], schema: T.StructType, upto: int
+    spark: SparkSession,
+    path: str,
+    keys: Sequence[str],
+    schema: T.StructType | str,
+    upto: int | None = None,
 ) -> None:
-    """Fold the emissions up to a finished batch into one row a key, then delete them.
+    """Fold the newest epoch's emissions, up to a batch or all, into one row a key.
 
-    Publishing is the switch: a crash before it leaves the emissions as they were,
-    one after it leaves folded emissions that readers pass over.
+    The commit is the switch.  A crash before it leaves the emissions as they were; batches that
+    arrive meanwhile stay beside what is folded, and one that is run again after it is passed over.
     """
-    folded = published_version(spark, f"{path}/folded")
-    numbered = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-    emitted = spark.read.schema(numbered).parquet(f"{path}/emitted")
-    due = F.col("batch_id") <= upto
-    if folded is not None:
-        due &= F.col("batch_id") > folded
-    due_rows = emitted.filter(due)
-    batches = [r[0] for r in due_rows.select("batch_id").distinct().collect()]
-    if not batches:
+    due = [e for e in _newest_entries(spark, path) if upto is None or e["last"] <= upto]
+    if len(due) < 2:
         return
-    base = published_table(spark, f"{path}/folded", schema)
-    together = due_rows.unionByName(base.withColumn("batch_id", F.lit(-1).cast("bigint")))
-    publish(latest_per_key(together, keys), f"{path}/folded", max(batches))
-    for batch in batches:
-        delete(spark, f"{path}/emitted/batch_id={batch}")
+    folder = f"data/{uuid.uuid4().hex}"
+    latest_per_key(_read(spark, path, schema, due), keys, keep_version=True).write.parquet(f"{path}/{folder}")
+    folded = {
+        "epoch": due[0]["epoch"], "run": due[0]["run"], "folder": folder,
+        "first": min(e["first"] for e in due), "last": max(e["last"] for e in due),
+    }
+
+    def change(state: dict) -> tuple[dict, list[str]] | None:
+        entries = state["entries"]
+        if any(e not in entries for e in due):  # folded by another, or a batch was run again
+            return {**state}, [folder]
+        left = [e for e in entries if e not in due]
+        return {**state, "entries": [*left, folded]}, [e["folder"] for e in due]
+
+    SnapshotLog(spark, path).commit(change)
 
 
 def store_split(marked: DataFrame, path: str) -> None:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import threading
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,6 +63,16 @@ def start_to_sink(
         return _timed(writer, interval).start()
 
 
+def console_sink(rows: int = 20, finish: Callable[[DataFrame], DataFrame] | None = None) -> BatchSink:
+    """Prints each batch, untruncated, after a last step if one is given."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        print(f"Batch {batch_id}")
+        (finish(batch) if finish else batch).show(rows, truncate=False)
+
+    return write
+
+
 def start_to_console(
     df: DataFrame,
     name: str,
@@ -71,11 +81,9 @@ def start_to_console(
     interval: str | None = None,
     partitions: int | None = None,
     rows: int = 20,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
-    writer = _named(df, name, mode, checkpoint_root).format("console")
-    writer = writer.option("truncate", "false").option("numRows", rows)
-    with _state_partitions(df.sparkSession, partitions):
-        return _timed(writer, interval).start()
+    return start_to_sink(df, console_sink(rows, finish), name, checkpoint_root, mode, interval, partitions)
 
 
 def run_to_end(query: StreamingQuery) -> StreamingQuery:

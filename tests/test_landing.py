@@ -1,9 +1,9 @@
-from datetime import date
+from datetime import date, datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
-from parcelflow.sinks import compaction
+from parcelflow.sinks import compaction, manifest
 from parcelflow.sinks.landing import land
 from parcelflow.sources.landed import landed_table
 from parcelflow.schema import LANDED_KEYS
@@ -25,7 +25,7 @@ def files(path):
 
 def test_layout_and_read_back(spark, tmp_path):
     land(days(spark), str(tmp_path), "run-a", 3, "ts")
-    assert (tmp_path / "year=2024/month=2/day=27/run=run-a/batch_id=3").is_dir()
+    assert (tmp_path / "year=2024/month=2/day=27/leaf=run-a-3").is_dir()
     landed = landed_table(spark, str(tmp_path), SCHEMA)
     wrong = landed.filter("year != year(ts) OR month != month(ts) OR day != day(ts)")
     assert landed.count() == 1000 and wrong.count() == 0
@@ -75,25 +75,40 @@ def test_days_are_the_only_folders_listed(spark, tmp_path):
     assert sorted(some.collect()) == sorted(whole.collect())
 
 
-def test_a_crash_while_a_day_is_folded_shows_every_row_once(spark, tmp_path, monkeypatch):
-    path = str(tmp_path)
+def folding_days(spark, path, batches=3):
+    """Rows of three days in some batches of run ``r``."""
     schema = f"id BIGINT, ts TIMESTAMP, {LANDED_KEYS}"
     day = F.make_dt_interval(days=(F.col("id") % 3).cast("int"))
     rows = spark.range(90).select("id", (F.lit("2024-01-01").cast("timestamp") + day).alias("ts"))
-    for batch in range(3):
+
+    def piece(batch):
         land(rows.filter(F.floor(F.col("id") % 9 / 3) == batch), path, "r", batch, "ts")
 
+    for batch in range(batches):
+        piece(batch)
+
     def ids(**kwargs):
         return sorted(r.id for r in landed_table(spark, path, schema, **kwargs).collect())
 
+    return schema, rows, piece, ids
+
+
+FIRST = date(2024, 1, 1)
+
+
+def test_a_crash_while_a_day_is_folded_shows_every_row_once(spark, tmp_path, monkeypatch):
+    path = str(tmp_path)
+    schema, rows, _, ids = folding_days(spark, path)
+
     def fail(*_):
         raise RuntimeError("died")
 
-    monkeypatch.setattr(compaction, "delete", fail)
+    monkeypatch.setattr(manifest, "exchange", fail)
     with pytest.raises(RuntimeError):
-        compaction.compact_days(spark, path, [date(2024, 1, 1)], schema)
+        compaction.compact_days(spark, path, [FIRST], schema)
     assert ids() == list(range(90))
     monkeypatch.undo()
+    assert [f.split("/leaf=")[1][:5] for f in compaction.strays(spark, path, [FIRST])] == ["fold-"]
     for n in (1, 1, 2):
         compaction.compact_days(spark, path, [date(2024, 1, n)], schema)
         assert ids() == list(range(90))
@@ -104,10 +119,102 @@ def test_a_crash_while_a_day_is_folded_shows_every_row_once(spark, tmp_path, mon
     assert batches == 3
     land(rows.filter("id = 0"), path, "late", 7, "ts")  # after it was closed, all the same
     assert ids() == [0, *range(90)]
-    compaction.compact_days(spark, path, [date(2024, 1, 1)], schema)
+    compaction.compact_days(spark, path, [FIRST], schema)
     assert ids() == [0, *range(90)]
 
 
+def test_what_lands_while_a_day_is_folded_stays(spark, tmp_path, monkeypatch):
+    path = str(tmp_path)
+    schema, _, piece, ids = folding_days(spark, path, batches=2)
+    exchange = manifest.exchange
+
+    def late(*given):
+        piece(2)
+        return exchange(*given)
+
+    monkeypatch.setattr(manifest, "exchange", late)
+    compaction.compact_days(spark, path, [FIRST], schema)
+    monkeypatch.undo()
+    assert ids() == list(range(90))
+    assert len(manifest.live(spark, path, [FIRST])) == 2
+
+
+def test_a_folded_batch_that_is_run_again_changes_nothing(spark, tmp_path):
+    path = str(tmp_path)
+    schema, _, piece, ids = folding_days(spark, path)
+    compaction.compact_days(spark, path, [FIRST], schema)
+    piece(2)
+    assert ids() == list(range(90))
+    with pytest.raises(ValueError, match="later batches"):
+        piece(1)
+    assert ids() == list(range(90))
+
+
+def test_two_folds_of_one_day_leave_one(spark, tmp_path, monkeypatch):
+    path = str(tmp_path)
+    schema, _, _, ids = folding_days(spark, path)
+    exchange = manifest.exchange
+
+    def overtaken(*given):
+        monkeypatch.undo()
+        compaction.compact_days(spark, path, [FIRST], schema)
+        assert not exchange(*given)
+
+    monkeypatch.setattr(manifest, "exchange", overtaken)
+    compaction.compact_days(spark, path, [FIRST], schema)
+    assert ids() == list(range(90))
+    assert len(manifest.live(spark, path, [FIRST])) == 1
+
+
+def test_a_hundred_folds_leave_a_plan_of_one_scan(spark, tmp_path, monkeypatch):
+    """Folders, snapshots and the plan stay few, and folded leaves go when readers are done."""
+    monkeypatch.setattr(manifest, "ROLL_AFTER", 40)
+    path, schema = str(tmp_path), f"id BIGINT, ts TIMESTAMP, {LANDED_KEYS}"
+    rows = spark.range(1).select("id", F.lit("2024-01-01").cast("timestamp").alias("ts"))
+    for n in range(100):
+        land(rows, path, "r", n, "ts", gather=False)
+        compaction.compact_days(spark, path, [FIRST], schema)
+    landed = landed_table(spark, path, schema)
+    assert landed.count() == 100 and landed.select("batch_id").distinct().count() == 100
+    assert len(manifest.live(spark, path)) < 12
+    text = landed._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Relation") == 1 and "Union" not in text and "Join" not in text
+    assert len(list((tmp_path / "year=2024/month=1/day=1").iterdir())) < 20
+    assert len([f for f in (tmp_path / "_snapshots").iterdir() if f.suffix == ".json"]) <= 16
+    state = manifest.log(spark, path).read()[1]
+    assert state["base"] and len(state["tail"]) + len(state["gone"]) <= 40
+
+
+def test_times_of_the_manifest_choose_folders(spark, tmp_path):
+    path, schema = str(tmp_path), f"id BIGINT, ts TIMESTAMP, {LANDED_KEYS}"
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    for n in range(4):
+        rows = spark.range(n * 6, n * 6 + 6).select(
+            "id", (start + F.make_dt_interval(hours=F.col("id").cast("int") * 3)).alias("ts")
+        )
+        land(rows, path, "r", n, "ts")
+    land(spark.sql("SELECT 99L AS id, CAST(NULL AS TIMESTAMP) AS ts"), path, "none", 0, "ts")
+
+    def ids(**wanted):
+        return sorted(r.id for r in landed_table(spark, path, schema, **wanted).collect())
+
+    hour = datetime(2024, 1, 2, 0, tzinfo=timezone.utc)
+    assert ids() == [*range(24), 99]
+    assert ids(since=hour) == list(range(8, 24))  # batches 0 and 1 each touch two days
+    assert ids(until=hour) == list(range(8))
+    assert ids(since=datetime(2030, 1, 1)) == []
+    manifest.roll(spark, path)
+    assert ids(since=hour) == list(range(8, 24)) and ids(days=[FIRST]) == list(range(8))
+    assert ids() == [*range(24), 99]
+
+
+def test_an_empty_batch_lands_nothing(spark, tmp_path):
+    land(days(spark).filter("n < 0"), str(tmp_path), "r", 0, "ts")
+    assert landed_table(spark, str(tmp_path), SCHEMA).count() == 0
+    with pytest.raises(ValueError, match="letters"):
+        land(days(spark), str(tmp_path), "a/b", 0, "ts")
+
+
 def test_files_of_a_batch_are_bounded(spark, tmp_path):
     rows = spark.range(1000, numPartitions=40).select("id", F.lit("2024-01-01").cast("timestamp").alias("processing_timestamp"))
     land(rows, str(tmp_path), "r", 0, files=3)

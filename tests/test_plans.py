@@ -65,11 +65,12 @@ def test_flagship_parses_each_message_once_and_combines_before_the_shuffle(spark
     assert sum("columnNameOfCorruptRecord" in line for line in lines) == 1
     assert not any("Filter" in line and "from_json" in line for line in lines)
     assert not any("Join" in line and "from_json" in line for line in lines)
-    final, exchange, partial = [
+    last, regroup, gather, final, exchange, partial = [
         i for i, line in enumerate(lines)
-        if "HashAggregate" in line or "Exchange hashpartitioning(window" in line
+        if "Aggregate" in line or "Exchange hashpartitioning(window" in line
     ]
     assert "partial_sum" in lines[partial] and final < exchange < partial
+    assert "collect_list" in lines[last] and last < regroup < gather < final
 
 
 def test_scans_read_only_what_a_query_uses(spark):

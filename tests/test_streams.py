@@ -8,7 +8,7 @@ import pytest
 from corpus import envelope, text
 from pyspark.sql import functions as F
 
-from parcelflow.operators.summary import flat_window, windowed_summary
+from parcelflow.operators.summary import SUMMARY, finished_summary, flat_window, windowed_summary
 from parcelflow.operators.timecols import (
     EVENT_TIME,
     split_by_trust,
@@ -18,21 +18,18 @@ from parcelflow.operators.timecols import (
 from parcelflow.settings import SESSION_CONF, Settings
 from parcelflow.sinks.landing import landing_sink
 from parcelflow.sinks.messages import store
-from parcelflow.sinks import messages, tables
+from parcelflow.sinks import messages
 from parcelflow.sinks.tables import (
     add_batch,
-    compact,
     latest_per_key,
-    publish,
     published_table,
     replace_table,
-    upsert,
-    upserted,
+    stored_rows,
 )
 from parcelflow.sources.landed import landed_table
 from parcelflow.sources.messages import file_stream
 from parcelflow.streaming import job
-from parcelflow.streaming.progress import progress_table, recorded, throughput
+from parcelflow.streaming.progress import progress_log, progress_table, watch
 from parcelflow.streaming.runner import await_any, run_to_end, start_to_console, start_to_sink
 
 DAY = datetime(2024, 1, 1, tzinfo=timezone.utc)
@@ -64,7 +61,7 @@ def emissions(spark, home, mode):
     run_to_end(start_to_sink(summary, sink, mode, str(home / f"checkpoint-{mode}"), mode))
     if mode == "complete":
         return published_table(spark, out, summary.schema)
-    return spark.read.parquet(out)
+    return stored_rows(spark, out, summary.schema)
 
 
 def by_window(rows):
@@ -171,7 +168,7 @@ def test_job_lands_everything_and_summarises(spark, tmp_path, mode):
     assert (landing.name, analytics.name) == (job.LANDING, job.ANALYTICS)
     run_to_end(landing)
     run_to_end(analytics)
-    landed = landed_table(spark, settings.landing_path)
+    landed = job.landed(spark, settings)
     assert landed.count() == 6
     assert landed.filter("property_id IS NULL").count() == 3
     assert landed.filter("processing_timestamp IS NULL").count() == 0
@@ -181,31 +178,41 @@ def test_job_lands_everything_and_summarises(spark, tmp_path, mode):
     assert sum(p.numInputRows for p in analytics.recentProgress) == 6
     stored = job.summary_table(spark, settings)
     assert stored.agg(F.sum("listing_count")).first()[0] == 6
-    kept = throughput(spark, job.LANDING, settings.progress_path)
-    assert kept.agg(F.sum("rows")).first()[0] == 6
+    dead = job.dead_letter_table(spark, settings).collect()
+    assert sorted((row.offset, row.fault) for row in dead) == [(2, "null"), (3, "not json"), (5, "not json")]
     # Started again, there is nothing left to do.
     for query in job.start(file_stream(spark, str(tmp_path / "in")), settings):
         run_to_end(query)
-    assert landed_table(spark, settings.landing_path).count() == 6
+    assert job.landed(spark, settings).count() == 6
 
 
 def test_processing_time_summary_counts_damaged_rows_apart(spark, tmp_path):
-    summary = flat_window(job.analytics_rows(feed(spark, tmp_path)))
+    partials = job.analytics_rows(feed(spark, tmp_path))
     out = str(tmp_path / "out")
-    run_to_end(
-        start_to_sink(summary, replace_table(out), "s", str(tmp_path / "cp"), "complete")
-    )
+    sink = replace_table(out, finished_summary)
+    run_to_end(start_to_sink(partials, sink, "s", str(tmp_path / "cp"), "complete"))
     counts = Counter()
-    for row in published_table(spark, out, summary.schema).collect():
+    for row in published_table(spark, out, SUMMARY).collect():
         counts[row.city, row.type] += row.listing_count
         assert (row.avg_price is None) == (row.city is None)
     assert counts == {("Dallas", "House"): 2, ("Houston", "House"): 1, (None, None): 3}
 
 
-def test_console_output(spark, tmp_path):
-    summary = job.analytics_rows(feed(spark, tmp_path))
-    query = run_to_end(start_to_console(summary, "shown", str(tmp_path / "cp"), "complete"))
+def test_console_output(spark, tmp_path, capsys):
+    rows = job.analytics_rows(feed(spark, tmp_path))
+    query = run_to_end(
+        start_to_console(rows, "shown", str(tmp_path / "cp"), "complete", finish=finished_summary)
+    )
     assert query.exception() is None
+    shown = capsys.readouterr().out
+    assert "Batch 2" in shown and "avg_price_per_sqft" in shown and "566280.0" in shown
+
+
+def test_the_job_s_console_is_a_query_of_its_own(spark, tmp_path, capsys):
+    settings = local_settings(tmp_path, console_rows=5)
+    for query in job.start_analytics(feed(spark, tmp_path), settings):
+        run_to_end(query)
+    assert "avg_price" in capsys.readouterr().out
 
 
 def test_failure_of_either_query_surfaces(spark, tmp_path):
@@ -241,65 +248,44 @@ def test_bad_times_do_not_lead(spark):
     assert {r.id: r[EVENT_TIME] == r.sent for r in rest.collect()} == {3: True, 4: True, 5: True, 6: True}
 
 
-def test_readers_see_the_last_whole_version(spark, tmp_path, monkeypatch):
-    path = str(tmp_path / "t")
-    assert published_table(spark, path, "n INT").count() == 0
-    for version in range(4):
-        publish(spark.createDataFrame([(version,)], "n INT"), path, version)
-    assert [r.n for r in published_table(spark, path, "n INT").collect()] == [3]
-    assert len(list((tmp_path / "t" / "versions").iterdir())) == tables.KEPT_VERSIONS
-
-    def fail(*_):
-        raise RuntimeError("died before naming it")
-
-    monkeypatch.setattr(spark, "createDataFrame", fail)
-    rows = spark.sql("SELECT 9 AS n")
-    monkeypatch.setattr(type(rows.sparkSession), "createDataFrame", fail)
-    with pytest.raises(RuntimeError, match="died"):
-        publish(rows, path, 4)
-    monkeypatch.undo()
-    assert [r.n for r in published_table(spark, path, "n INT").collect()] == [3]
-    publish(spark.sql("SELECT 5 AS n"), path, 3)  # the batch is run again
-    assert published_table(spark, path, "n INT").count() == 1
-
-
-def test_folded_emissions_read_the_same(spark, tmp_path):
-    path = str(tmp_path / "t")
-    sink = upsert(path)
-    schema = spark.sql("SELECT 'k' AS k, 1 AS n, 'x' AS s").schema
-    want = {}
-    for batch in range(5):
-        rows = [(f"k{i}", batch, f"s{batch}") for i in range(batch, 5)]
-        want |= {k: (n, s) for k, n, s in rows}
-        sink(spark.createDataFrame(rows, schema), batch)
-        if batch in (1, 3):
-            compact(spark, path, ["k"], schema, batch)
-            compact(spark, path, ["k"], schema, batch)
-        got = upserted(spark, path, ["k"], schema).collect()
-        assert {r.k: (r.n, r.s) for r in got} == want and len(got) == len(want)
-    left = {p.name for p in (tmp_path / "t" / "emitted").iterdir() if p.is_dir()}
-    assert left == {"batch_id=4"}
-
-
 def test_numbers_are_upserted_by_hash(spark):
     rows = spark.sql("SELECT 'k' AS k, 1.5D AS n, 1L AS batch_id")
     plan = latest_per_key(rows, ["k"])._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "SortAggregate" not in plan
 
 
-def test_throughput_outlives_spark_s_own_record(spark, tmp_path):
+def test_progress_outlives_spark_s_own_record(spark, tmp_path):
     rows = feed(spark, tmp_path)
-    sink = recorded(add_batch(str(tmp_path / "o")), "p", str(tmp_path / "progress"))
     before = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
     spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    log = watch(spark, str(tmp_path / "progress"), every=2)
     try:
-        query = run_to_end(start_to_sink(rows, sink, "p", str(tmp_path / "cp")))
+        runs = []
+        for turn in range(2):  # the second with a fresh checkpoint
+            sink = add_batch(str(tmp_path / "o"))
+            runs.append(run_to_end(start_to_sink(rows, sink, "p", str(tmp_path / f"cp{turn}"))))
+            log.settled(runs[-1])
     finally:
         spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", before)
-    assert len(query.recentProgress) < 3
-    lines = throughput(spark, "p", str(tmp_path / "progress")).orderBy("batch_id").collect()
-    assert [line.batch_id for line in lines] == [0, 1, 2]
-    assert sum(line.rows for line in lines) == 6 and all(line.rows_per_second > 0 for line in lines)
+        spark.streams.removeListener(log)
+    assert len(runs[0].recentProgress) < 3
+    lines = progress_log(spark, str(tmp_path / "progress")).collect()
+    assert sorted(line.batch_id for line in lines) == [0, 0, 1, 1, 2, 2]
+    assert {line.run for line in lines} == {str(run.id) for run in runs}
+    assert sum(line.input_rows for line in lines) == 12 and all(line.rows_per_second > 0 for line in lines)
+    assert len(list((tmp_path / "progress").rglob("*.json"))) == 4  # two files a run of three batches
+
+
+def test_of_a_batch_run_again_the_later_line_counts(spark, tmp_path):
+    folder = tmp_path / "progress" / "r"
+    folder.mkdir(parents=True)
+    for n in range(2):
+        (folder / f"{n}.json").write_text(
+            f'{{"run":"r","batch_id":7,"started":"2024-01-01T00:00:0{n}.000Z","input_rows":{n + 4},"duration_ms":0}}'
+        )
+    (line,) = progress_log(spark, str(tmp_path / "progress")).collect()
+    assert line.input_rows == 5 and line.rows_per_second is None
+    assert progress_log(spark, str(tmp_path / "none")).count() == 0
 
 
 def test_progress(spark, tmp_path):
