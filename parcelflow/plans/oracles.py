@@ -344,6 +344,7 @@ WHERE (watermark IS NULL OR window_start + INTERVAL 15 MINUTE > watermark)
 GROUP BY ALL"""
 
 FAULT = "least(l_orderkey % 97, 14)"
+LATE_EXACT = LATE.replace(EVENT_MEAN, f"{_exact_mean('value')} AS avg_value")
 # The prices of messages whose faults are extreme values.
 FAR_PRICE = """CASE l_orderkey % 97 WHEN 9 THEN pow(2, 996) WHEN 10 THEN CAST('NaN' AS DOUBLE)
     ELSE price END"""
@@ -445,6 +446,15 @@ SELECT * FROM ({EVENT_SUMMARY})
 WHERE window_end <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""",
     "stream_update_upsert": EVENT_SUMMARY,
     "stream_late_rows": LATE,
+    "stream_late_side": f"""
+SELECT window_start, window_end, event_type, false AS is_late, event_count AS row_count, avg_value AS mean,
+    CAST(-1 AS BIGINT) AS events
+FROM ({LATE_EXACT})
+UNION ALL
+SELECT window_start, window_start + INTERVAL 15 MINUTE, event_type, true, count(*),
+    {_exact_sum("value")}, CAST(sum(event_id) AS BIGINT)
+FROM (WITH {ARRIVALS} SELECT * FROM arrivals JOIN reached USING (arrival))
+WHERE window_start + INTERVAL 15 MINUTE <= watermark GROUP BY ALL""",
     "stream_processing_time_summary": f"""WITH {MAPPED}
 SELECT {NOT_LOST.format("city")} AS city, {NOT_LOST.format("type")} AS type,
     {OVER_WINDOWS.format(price=NOT_LOST.format("price"), unit=NOT_LOST.format("price_per_sqft"))}
@@ -466,6 +476,32 @@ SELECT mode, 2::INTEGER AS epochs, CASE WHEN mode <> 'append' THEN all_rows ELSE
         ELSE '' END AS read
 FROM (SELECT unnest(['update', 'complete', 'append']) AS mode),
     (SELECT count(*) AS all_rows, count(*) FILTER (l_orderkey % 2 = 0) AS half FROM lineitem)""",
+    "job_one_scan": f"""WITH {MAPPED}
+SELECT {NOT_LOST.format("city")} AS city, {NOT_LOST.format("type")} AS type, count(*) AS landed_rows,
+    {OVER_WINDOWS.format(price=NOT_LOST.format("price"), unit=NOT_LOST.format("price_per_sqft"))}
+FROM listing GROUP BY ALL""",
+    "stream_routed": f"""WITH {MAPPED},
+routed AS (
+    SELECT CAST(l_orderkey % 4 AS BIGINT) AS batch_id,
+        CASE WHEN l_orderkey % 4 >= 2 AND l_partkey % 3 <> 0 THEN 'Phoenix' ELSE city END AS city
+    FROM listing
+),
+seen AS (
+    SELECT batch_id, count(*) AS row_count, count(*) FILTER (city = 'Phoenix') AS phoenix_rows
+    FROM routed GROUP BY ALL
+)
+SELECT *, (sum(phoenix_rows) OVER upto * 6 > sum(row_count) OVER upto OR phoenix_rows * 6 > row_count) AS divided, true AS even
+FROM seen WINDOW upto AS (ORDER BY batch_id)""",
+    "stream_unique": """
+SELECT count(DISTINCT (l_orderkey, l_linenumber)) AS first_rows, count(DISTINCT (l_orderkey, l_linenumber)) AS ids,
+    count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS repeats
+FROM lineitem""",
+    "quality_repeats": f"""WITH {MAPPED}
+SELECT property_id, count(*) AS repeats, {_exact_sum("price")} AS sum_price
+FROM listing GROUP BY property_id HAVING count(*) > 1""",
+    "messages_sent_once": f"""WITH {MAPPED}
+SELECT n_name AS key, count(*) AS row_count, {_exact_sum("price")} AS sum_price, true AS sent_again
+FROM listing GROUP BY ALL""",
     "stream_price_estimate": f"""{LOOKED_UP}
 SELECT property_id, city, c_state AS city_state, type, estimate AS price_estimate
 FROM looked_up""",

@@ -13,6 +13,7 @@ from parcelflow.functions import arrays, pricing, shape, times
 from parcelflow.operators import quality, routing
 from parcelflow.operators.decode import DAMAGED, decode, decode_fields
 from parcelflow.operators.encode import encode
+from parcelflow.operators.late import LATE, summary_with_late_rows
 from parcelflow.operators.lookup import city_lookup, type_lookup
 from parcelflow.operators.exact import finished_means, partial_means
 from parcelflow.operators.faults import DEAD
@@ -27,6 +28,7 @@ from parcelflow.operators.summary import (
     listing_summary,
     windowed_summary,
 )
+from parcelflow.operators.unique import first_of_each, with_repeats
 from parcelflow.operators.timecols import (
     EVENT_TIME,
     PROCESSING_TIME,
@@ -42,7 +44,8 @@ from parcelflow.sinks import manifest
 from parcelflow.sinks.compaction import compact_days
 from parcelflow.sinks.landing import BatchSink, landing_sink
 from parcelflow.sinks.messages import store
-from parcelflow.settings import Settings
+from parcelflow.sinks.outbox import STORED, outbox_sink, read_once
+from parcelflow.settings import SESSION_CONF, Settings, tuned
 from parcelflow.sinks.tables import (
     add_batch,
     compact,
@@ -60,6 +63,7 @@ from parcelflow.sources.messages import file_messages, file_stream
 from parcelflow.sources.tables import table
 from parcelflow.streaming import job
 from parcelflow.streaming.progress import progress_log, watch
+from parcelflow.streaming.routed import evenly_keyed
 from parcelflow.streaming.runner import await_any, run_to_end, start_to_sink
 from parcelflow.workspace import fresh_dir
 
@@ -290,6 +294,35 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _replayed_event_summary(spark, home, cuts, "append").drop("batch_id")
 
 
+def stream_late_side(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same feed, its late rows handed on: windows closed and late rows, each with their events, so
+    that what is closed, late or still open is all there is."""
+    home = fresh_dir(spark, "stream-late-side")
+    rocks = tuned(spark, **{name: value for name, value in SESSION_CONF.items() if ".stateStore." in name})
+    cuts = _late_cuts(spark, sf_dir)
+    carried = ["event_id", "ts", "value"]
+    apart = F.col(LATE).isNotNull().alias("is_late")
+
+    def start() -> StreamingQuery:
+        rows = watermarked(file_stream(rocks, f"{home}/in", EVENTS), "ts")
+        found = summary_with_late_rows(rows, "ts", ["event_type"], "value", carried, "15 minutes")
+        sink = add_batch(f"{home}/out", by=["is_late"])
+        return start_to_sink(found.select("*", apart), sink, "late", f"{home}/checkpoint")
+
+    replay(cuts, f"{home}/in", start)
+    schema = (
+        "window_start TIMESTAMP_NTZ, window_end TIMESTAMP_NTZ, event_type STRING, row_count BIGINT, mean DOUBLE, "
+        "late STRUCT<event_id: BIGINT, ts: TIMESTAMP, value: DOUBLE>, is_late BOOLEAN"
+    )
+    found = published_table(spark, f"{home}/out", schema)
+    kept = ["window_start", "window_end", "event_type", "is_late"]
+    closed = found.filter("NOT is_late").select(*kept, "row_count", "mean", F.lit(None).cast("bigint").alias("events"))
+    late = found.filter("is_late").groupBy(*kept).agg(
+        _rows(), _exact_sum("late.value", "mean"), F.sum("late.event_id").alias("events")
+    )
+    return closed.unionByName(late).withColumn("events", F.coalesce("events", F.lit(-1)))
+
+
 def _late_cuts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     held = F.pmod("event_id", F.lit(20)) == 0
     pieces = event_cuts(spark, sf_dir)
@@ -453,6 +486,138 @@ def job_fresh_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(found, names)
 
 
+def _two_falls(sink: BatchSink, between: Callable[[DataFrame, int], None]) -> BatchSink:
+    """A sink that dies twice: in batch 0 after its first step, in batch 1 after all of them."""
+    fallen: set[int] = set()
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if batch_id == 0 and batch_id not in fallen:
+            between(batch, batch_id)
+        else:
+            sink(batch, batch_id)
+        if batch_id in (0, 1) and batch_id not in fallen:
+            fallen.add(batch_id)
+            raise RuntimeError("died on purpose")
+
+    return write
+
+
+def _run_through(start: Callable[[], StreamingQuery], falls: int = 2) -> None:
+    """Start a query again after each fall."""
+    for _ in range(falls):
+        try:
+            run_to_end(start())
+        except Exception as died:
+            if "died on purpose" not in str(died):
+                raise
+    run_to_end(start())
+
+
+def job_one_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing and summary as one query, which dies once between the two writes and once after both, and
+    is started again: both tables hold each message once."""
+    home = fresh_dir(spark, "job-one-scan")
+    settings = Settings(base_path=home, analytics_interval=None, one_scan=True)
+    store(fixture.messages(spark, sf_dir, mapped=True, damaged=True).repartition(3 * FILES_A_TRIGGER), f"{home}/in")
+    feed = file_stream(spark, f"{home}/in", max_files_per_trigger=FILES_A_TRIGGER)
+    landing = landing_sink(settings.landing_path, apart=[DEAD])
+    sink = _two_falls(job.shared_sink(settings), landing)
+    _run_through(lambda: start_to_sink(job.landing_rows(feed), sink, job.SHARED, settings.checkpoint_root))
+    landed = job.landed(spark, settings).groupBy(
+        F.col("address.city").alias("city"), F.col("property_details.type").alias("type")
+    ).agg(F.count(F.lit(1)).alias("landed_rows"))
+    summed = _over_windows(job.shared_summary(spark, settings)).withColumnsRenamed(
+        {"city": "_city", "type": "_type"}
+    )
+    same = F.col("city").eqNullSafe(F.col("_city")) & F.col("type").eqNullSafe(F.col("_type"))
+    return landed.join(summed, same, "full").drop("_city", "_type")
+
+
+def stream_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A key that turns hot half-way: in the first two of four batches no city has much, in the others
+    most rows are of one.  From then on its rows are divided, and no key that routes has an even share."""
+    home = fresh_dir(spark, "stream-routed")
+    turn = F.pmod("l_orderkey", F.lit(4))
+    rushed = (turn >= 2) & (F.pmod("l_partkey", F.lit(3)) != 0)
+    rows = _flat(spark, sf_dir).select(
+        "property_id", F.when(rushed, F.lit("Phoenix")).otherwise(F.col("city")).alias("city"), turn.alias("turn")
+    )
+
+    sink = evenly_keyed(add_batch(f"{home}/out"), f"{home}/keys", 6, "city", "property_id")
+    schema = "property_id STRING, city STRING, turn BIGINT"
+
+    def start() -> StreamingQuery:
+        return start_to_sink(file_stream(spark, f"{home}/in", schema), sink, "routed", f"{home}/checkpoint")
+
+    replay([rows.filter(F.col("turn") == n) for n in range(4)], f"{home}/in", start)
+    found = stored_rows(spark, f"{home}/out", f"{schema}, _even_key STRING")
+    hot = F.col("city") == "Phoenix"
+    loads = found.groupBy("batch_id", "_even_key").agg(_rows())
+    worst = loads.groupBy(F.col("batch_id").alias("_batch")).agg(
+        (F.max("row_count") * 6 < F.sum("row_count")).alias("even")
+    )
+    return found.groupBy("batch_id").agg(
+        _rows(),
+        F.count_if(hot).alias("phoenix_rows"),
+        (F.count_distinct(F.when(hot, F.col("_even_key"))) > 1).alias("divided"),
+    ).join(worst, F.col("batch_id") == F.col("_batch")).select(
+        "batch_id", "row_count", "phoenix_rows", "divided", "even"
+    )
+
+
+def quality_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listings that share their identifier with others."""
+    rows = with_repeats(_flat(spark, sf_dir).select("property_id", "price"))
+    return rows.filter("repeats IS NOT NULL").groupBy("property_id", "repeats").agg(_exact_sum("price", "sum_price"))
+
+
+def stream_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first row of every identifier of a stream, and how many the others are."""
+    home = fresh_dir(spark, "stream-unique")
+    rows = _listing_rows_with_id(_listing_feed(spark, sf_dir, home))
+    unique = first_of_each(rows.withWatermark(EVENT_TIME, "2 days")).select("property_id")
+    run_to_end(start_to_sink(unique, add_batch(f"{home}/out"), "unique", f"{home}/checkpoint"))
+    first = published_table(spark, f"{home}/out", "property_id STRING")
+    sent = file_messages(spark, f"{home}/in").agg(_rows())
+    counted = first.agg(F.count(F.lit(1)).alias("first_rows"), F.count_distinct("property_id").alias("ids"))
+    return counted.select("first_rows", "ids", (F.lit(sent.first()[0]) - F.col("first_rows")).alias("repeats"))
+
+
+def _listing_rows_with_id(sent: DataFrame) -> DataFrame:
+    rows = decode_fields(sent, ["property_id", "timestamp"], keep=[_message_time()])
+    return stamp_record_time(rows, fallback=MESSAGE_TIME)
+
+
+def messages_sent_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages sent by way of the outbox, by a query that dies once before it sends and once after: some
+    go out twice, and each is read once."""
+    home = fresh_dir(spark, "outbox")
+    sent = fixture.messages(spark, sf_dir, mapped=True).drop("offset", "timestamp", "timestampType")
+    store(sent.repartition(2 * FILES_A_TRIGGER), f"{home}/in")
+    schema = "key BINARY, value BINARY, topic STRING, partition INT"
+    feed = file_stream(spark, f"{home}/in", schema, FILES_A_TRIGGER)
+    fallen: set[int] = set()
+
+    def send(messages: DataFrame) -> None:
+        turn = len(fallen)
+        if turn == 0:
+            fallen.add(turn)
+            raise RuntimeError("died on purpose")  # before anything is sent
+        store(messages, f"{home}/topic")
+        if turn == 1:
+            fallen.add(turn)
+            raise RuntimeError("died on purpose")  # sent, not marked
+
+    sink = outbox_sink(f"{home}/outbox", send)
+    _run_through(lambda: start_to_sink(feed, sink, "outbox", f"{home}/checkpoint"))
+    arrived = spark.read.schema(STORED).parquet(f"{home}/topic")
+    price = F.get_json_object(F.col("value").cast("string"), "$.financials.price").cast("decimal(18,2)")
+    once = read_once(arrived).groupBy(F.col("key").cast("string").alias("key")).agg(
+        _rows(), F.sum(price).cast("double").alias("sum_price")
+    )
+    return once.withColumn("sent_again", F.lit(arrived.count() > sent.count()))
+
+
 def stream_price_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both lookups joined to a stream, and the estimate from them.  Messages on
     land carry no area, so these have none."""
@@ -612,24 +777,17 @@ def landing_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     run_to_end(start_to_sink(job.landing_rows(feed), land_twice, job.LANDING, f"{home}/checkpoint"))
     _fold_all(spark, settings)
-    sent = file_messages(spark, f"{home}/in").select(
-        F.col("topic").alias("_topic"), "key", F.col("partition").alias("_partition"), F.col("offset").alias("_offset"),
-        F.col("value").alias("_value"),
-    )
-    dead = job.dead_letter_table(spark, settings).select("topic", "partition", "offset", "value", "fault", "key")
     # The fixture's places in the topic are not unique, so messages are compared as a multiset.
-    both = dead.groupBy("topic", "partition", "offset", "key", "value", "fault").agg(F.count(F.lit(1)).alias("rows"))
-    same = (
-        F.col("topic").eqNullSafe(F.col("_topic")) & (F.col("partition") == F.col("_partition"))
-        & (F.col("offset") == F.col("_offset")) & F.col("_value").eqNullSafe(F.col("value"))
-        & F.col("_key").eqNullSafe(F.col("key"))
-    )
-    sent = sent.withColumnRenamed("key", "_key")
-    counted = sent.groupBy(*sent.columns).agg(F.count(F.lit(1)).alias("sent"))
-    return both.join(counted, same, "left").groupBy("fault").agg(
+    place = ["topic", "partition", "offset", "key", "bytes"]
+    digest = F.coalesce(F.sha2("value", 256), F.lit("none")).alias("bytes")
+    sent = file_messages(spark, f"{home}/in").select(*place[:-1], digest)
+    dead = job.dead_letter_table(spark, settings).select(*place[:-1], digest, "fault")
+    counted = sent.groupBy(*place).agg(F.count(F.lit(1)).alias("sent"))
+    found = dead.groupBy(*place, "fault").agg(F.count(F.lit(1)).alias("rows"))
+    return found.join(counted, place, "left").groupBy("fault").agg(
         F.sum("rows").alias("row_count"),
         F.sum(F.when(F.col("rows") == F.col("sent"), F.col("rows")).otherwise(0)).alias("as_sent"),
-        F.sum(F.when(F.col("value").isNotNull(), F.col("rows")).otherwise(0)).alias("with_bytes"),
+        F.sum(F.when(F.col("bytes") != "none", F.col("rows")).otherwise(0)).alias("with_bytes"),
     )
 
 
@@ -973,11 +1131,17 @@ QUERIES: dict[str, Query] = {
     "stream_append_closed_windows": stream_append_closed_windows,
     "stream_update_upsert": stream_update_upsert,
     "stream_late_rows": stream_late_rows,
+    "stream_late_side": stream_late_side,
     "stream_processing_time_summary": stream_processing_time_summary,
     "stream_damaged_append": stream_damaged_append,
     "stream_damaged_update": stream_damaged_update,
     "job_two_queries": job_two_queries,
     "job_fresh_checkpoint": job_fresh_checkpoint,
+    "job_one_scan": job_one_scan,
+    "stream_routed": stream_routed,
+    "stream_unique": stream_unique,
+    "quality_repeats": quality_repeats,
+    "messages_sent_once": messages_sent_once,
     "stream_price_estimate": stream_price_estimate,
     "stream_quality_split": stream_quality_split,
     "landing_partitions": landing_partitions,

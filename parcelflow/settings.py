@@ -43,7 +43,8 @@ class Settings:
     its checkpoint by the first start; without it, the session's shuffle partitions.
     ``landing_files`` is the most files a landed batch is written to; without it, as
     many as the batch has tasks.  Progress is written every ``progress_every`` batches of a query.
-    ``checkpoints`` is by default a folder of the base path.
+    ``checkpoints`` is by default a folder of the base path.  With ``one_scan`` landing and
+    summary are one query.
     """
 
     brokers: str = DEFAULT_BROKERS
@@ -63,6 +64,7 @@ class Settings:
     landing_files: int | None = None
     progress_every: int = 16
     checkpoints: str | None = None
+    one_scan: bool = False
     console_rows: int | None = None
 
     @classmethod
@@ -111,6 +113,7 @@ class Settings:
             analytics_mode=env.get("ANALYTICS_MODE", "update"),
             state_partitions=_number(env.get("STATE_PARTITIONS")),
             landing_files=_number(env.get("LANDING_FILES")),
+            one_scan=_flag(env.get("ONE_SCAN"), False),
             checkpoints=env.get("CHECKPOINTS"),
             progress_every=_number(env.get("PROGRESS_EVERY")) or cls.progress_every,
             console_rows=_number(env.get("CONSOLE_ROWS")),

@@ -26,7 +26,7 @@ def land(
     max_records_per_file: int | None = None,
     files: int | None = None,
     apart: Sequence[str] = (),
-) -> None:
+) -> list[str]:
     """Write one batch under ``year=/month=/day=/leaf=<run>-<batch>``, then make it live.
 
     The day comes from the rows and the leaf from the batch, so a retry meets
@@ -40,7 +40,7 @@ def land(
     divides a day too big for one task and merges small ones.  ``gather`` says
     otherwise.  ``files`` is the most files to write for a batch: the many small
     tasks of a wide topic are then run together, without a shuffle.  ``apart`` names columns whose
-    values get folders of their own within the leaf.
+    values get folders of their own within the leaf.  Returns the leaves, for a look at what was written.
     """
     if not re.fullmatch(r"[\w.-]+", run):
         raise ValueError(f"a run is named by letters, digits, dots and dashes, not {run!r}")
@@ -76,7 +76,7 @@ def land(
     found = seen.get
     days = [tuple(day) for day in found["days"] or []]
     if not days:
-        return
+        return []
     folders = {day: f"{manifest.day_folder(*day)}/{LEAF_KEY}={leaf}" for day in days}
     if len(days) == 1:
         extents = {days[0]: (found["rows"], found["first"], found["last"])}
@@ -91,6 +91,7 @@ def land(
         dict(zip(manifest.NAMES, (folders[day], *day, run, batch_id, *extents[day]), strict=True)) for day in days
     ]
     manifest.add(batch.sparkSession, path, run, batch_id, entries)
+    return list(folders.values())
 
 
 def _extent(time_col: str) -> list:

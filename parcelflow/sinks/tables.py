@@ -24,12 +24,17 @@ from parcelflow.sinks.landing import BatchSink, query_id
 from parcelflow.sinks.snapshots import SnapshotLog
 
 BATCH = "batch_id"
+ENTRY = "entry"
 #: Emissions of update mode that may wait to be folded, where the sink folds.
 FOLD_AFTER = 64
 
 Finish = Callable[[DataFrame], DataFrame]
 
 
+def _fresh_folder() -> str:
+    return f"data/{ENTRY}={uuid.uuid4().hex}"
+
+
 def _as_given(rows: DataFrame) -> DataFrame:
     return rows
 
@@ -39,7 +44,7 @@ def _store(
 ) -> None:
     """Write one batch of a run, then commit it: as the whole result, or as an addition.
     A batch that is run again takes the place of its first attempt."""
-    folder = f"data/{uuid.uuid4().hex}"
+    folder = _fresh_folder()
     writer = rows.withColumn(BATCH, F.lit(batch_id).cast("bigint")).write
     (writer.partitionBy(*by) if by else writer).parquet(f"{path}/{folder}")
 
@@ -70,12 +75,15 @@ def replace_table(path: str, finish: Finish = _as_given, run: str | None = None)
     return write
 
 
-def add_batch(path: str, finish: Finish = _as_given, run: str | None = None) -> BatchSink:
+def add_batch(
+    path: str, finish: Finish = _as_given, run: str | None = None, by: Sequence[str] = ()
+) -> BatchSink:
     """Append mode, or a log of emissions: every batch adds to those before, read by
-    ``published_table`` or, with its batch numbers, ``stored_rows``."""
+    ``published_table`` or, with its batch numbers, ``stored_rows``.  Values of the columns ``by`` lie
+    in folders of their own."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        _store(finish(batch), path, run or query_id(batch), batch_id, whole=False)
+        _store(finish(batch), path, run or query_id(batch), batch_id, whole=False, by=by)
 
     return write
 
@@ -94,6 +102,20 @@ def upsert(
     return write
 
 
+def accumulate(
+    path: str, keys: Sequence[str], run: str | None = None, fold_after: int = FOLD_AFTER
+) -> BatchSink:
+    """Batches of rows that add up: ``accumulated`` gives their sums by ``keys``.  The sink folds
+    them whenever more than ``fold_after`` wait."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        _store(batch, path, run or query_id(batch), batch_id, whole=False)
+        if len(_newest_entries(batch.sparkSession, path)) > fold_after:
+            compact(batch.sparkSession, path, keys, batch.schema, fold=summed)
+
+    return write
+
+
 def split_sink(path: str, run: str | None = None) -> BatchSink:
     """Rule-checked rows of a stream, stored by ``side`` in one pass."""
 
@@ -120,7 +142,8 @@ def _read(spark: SparkSession, path: str, schema: T.StructType | str, entries: l
     numbered = T.StructType([*_schema(schema).fields, T.StructField(BATCH, T.LongType())])
     if not entries:
         return spark.createDataFrame([], numbered)
-    return spark.read.schema(numbered).parquet(*[f"{path}/{e['folder']}" for e in entries])
+    reader = spark.read.schema(numbered).option("basePath", f"{path}/data")
+    return reader.parquet(*[f"{path}/{e['folder']}" for e in entries]).select(*numbered.names)
 
 
 def stored_rows(
@@ -146,6 +169,20 @@ def result_epochs(spark: SparkSession, path: str) -> list[tuple[int, str, int]]:
     return sorted((epoch, run, batch) for (epoch, run), batch in last.items())
 
 
+def drop_batches(spark: SparkSession, path: str, before: int) -> None:
+    """Drop the newest epoch's batches before a number."""
+    newest = max((epoch for epoch, _, _ in result_epochs(spark, path)), default=0)
+
+    def change(state: dict) -> tuple[dict, list[str]] | None:
+        entries = state.get("entries", [])
+        old = [e for e in entries if e["epoch"] == newest and e["last"] < before]
+        if not old:
+            return None
+        return {**state, "entries": [e for e in entries if e not in old]}, [e["folder"] for e in old]
+
+    SnapshotLog(spark, path).commit(change)
+
+
 def forget(spark: SparkSession, path: str, before: int) -> None:
     """Drop the results of all epochs before a number."""
 
@@ -193,6 +230,25 @@ def latest_per_key(
     return latest.select(*[c for c in emissions.columns if c != version or keep_version])
 
 
+def summed(rows: DataFrame, keys: Sequence[str], version: str = BATCH, keep_version: bool = False) -> DataFrame:
+    """Rows with the same keys added up, in all their other columns."""
+    added = [F.sum(c).alias(c) for c in rows.columns if c not in (*keys, version)]
+    added += [F.max(version).alias(version)] * keep_version
+    return rows.groupBy(*keys).agg(*added)
+
+
+def accumulated(
+    spark: SparkSession,
+    path: str,
+    keys: Sequence[str],
+    schema: T.StructType | str,
+    epoch: int | None = None,
+) -> DataFrame:
+    """The sums of all batches that ``accumulate`` stored, folded ones among them."""
+    rows = stored_rows(spark, path, schema, epoch)
+    return summed(rows, keys).select(*[c for c in rows.columns if c != BATCH])
+
+
 def upserted(
     spark: SparkSession,
     path: str,
@@ -210,8 +266,10 @@ def compact(
     keys: Sequence[str],
     schema: T.StructType | str,
     upto: int | None = None,
+    fold: Callable[..., DataFrame] | None = None,
 ) -> None:
-    """Fold the newest epoch's emissions, up to a batch or all, into one row a key.
+    """Fold the newest epoch's emissions, up to a batch or all, into one row a key: the latest, or
+    by another ``fold``.
 
     The commit is the switch.  A crash before it leaves the emissions as they were; batches that
     arrive meanwhile stay beside what is folded, and one that is run again after it is passed over.
@@ -219,8 +277,9 @@ def compact(
     due = [e for e in _newest_entries(spark, path) if upto is None or e["last"] <= upto]
     if len(due) < 2:
         return
-    folder = f"data/{uuid.uuid4().hex}"
-    latest_per_key(_read(spark, path, schema, due), keys, keep_version=True).write.parquet(f"{path}/{folder}")
+    folder = _fresh_folder()
+    rows = _read(spark, path, schema, due)
+    (fold or latest_per_key)(rows, keys, keep_version=True).write.parquet(f"{path}/{folder}")
     folded = {
         "epoch": due[0]["epoch"], "run": due[0]["run"], "folder": folder,
         "first": min(e["first"] for e in due), "last": max(e["last"] for e in due),

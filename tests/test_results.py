@@ -155,3 +155,14 @@ def test_a_sink_with_keys_folds_by_itself(spark, tmp_path):
     found = upserted(spark, str(tmp_path), ["n"], schema)
     assert numbers(found) == [0, 1, 2]
     assert found._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
+
+
+def test_sides_of_several_batches_are_one_table(spark, tmp_path):
+    schema = "n INT, violations ARRAY<STRING>"
+    sink = tables.split_sink(str(tmp_path), run="r")
+    for batch in range(3):
+        sink(spark.createDataFrame([(batch, []), (batch + 10, ["city_known"])], schema), batch)
+    found = published_table(spark, str(tmp_path), f"{schema}, side STRING")
+    assert {r.side: sorted(x.n for x in found.filter(found.side == r.side).collect()) for r in found.collect()} == {
+        "valid": [0, 1, 2], "quarantined": [10, 11, 12]
+    }
