@@ -159,10 +159,11 @@ def test_sketches_are_within_their_bound(spark, partitions):
     estimated = {r.key: r.row_count for r in found.collect()}
     whole = parts[0].union(parts[1]).union(parts[2])
     exact = {r.key: r.row_count for r in routing.rows_per_key(whole, "key").collect()}
-    slack = 3.5 * whole.count() / (routing.PIECES * routing.MARGIN * partitions)
+    total = whole.count()
+    slack = 3.5 * total / (routing.PIECES * routing.MARGIN * partitions)
     assert all(abs(n - exact[key]) <= slack for key, n in estimated.items())
-    sure = {key for key, n in exact.items() if n - slack > whole.count() / partitions}
-    assert sure <= set(estimated) and ("hot" in estimated) == (exact["hot"] * partitions > whole.count())
+    sure = {key for key, n in exact.items() if n - slack > total / partitions}
+    assert sure <= set(estimated) and ("hot" in estimated) == (exact["hot"] * partitions > total)
 
 
 def test_a_key_that_turns_hot_is_divided_from_then_on(spark, tmp_path):
