@@ -1,6 +1,7 @@
 """Quality rules, license scans and language identification."""
 
 import math
+import time
 from collections import Counter
 
 import llm_cases
@@ -122,6 +123,34 @@ LICENSED = [
 ]
 
 
+def test_only_a_to_z_are_lower_cased(spark):
+    """The Kelvin sign's small letter is k, but it is no letter of A-Z."""
+    texts = [(1, "All RIGHTS reserved, W\u00dcRDE"), (2, "all rights reserved WOR\u212a")]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    words = docs.select("doc_id", license_scan.words_of(F.col("text")).alias("w"))
+    found = {r.doc_id: r.w for r in words.collect()}
+    assert found[1] == ["all", "rights", "reserved", "w\u00dcrde"]
+    assert found[2][-1] == "wor\u212a"
+    assert {r.base_labels for r in license_scan.scan(docs).collect()} == {"reserved"}
+
+
+def test_one_long_text_takes_time_in_proportion(spark):
+    """Every place holds its gram's hashes, not the words of the text."""
+
+    def seconds(count):
+        docs = spark.range(1).select(
+            F.lit(1).alias("doc_id"), F.repeat(F.lit("some plain words of a text "), count // 6).alias("text")
+        )
+        license_scan.scan(docs).collect()
+        began = time.perf_counter()
+        license_scan.scan(docs).collect()
+        return time.perf_counter() - began
+
+    seconds(20_000)
+    small, large = seconds(160_000), seconds(320_000)
+    assert large < 2.5 * max(small, 1.0), (small, large)
+
+
 def test_license_phrases_equal_brute_force(spark):
     docs = spark.createDataFrame(LICENSED, "doc_id bigint, text string").withColumn("words", F.lit(1))
     got = {r["doc_id"]: r for r in license_scan.scan(docs).collect()}
