@@ -1,17 +1,21 @@
 """Quality rules: plain counts, and a likelihood ratio of hashed n-grams.
 
 Two multinomials over hash buckets are counted on whole texts: trusted-target
-documents and the raw corpus.  A document's score is the mean over its n-grams of
-log(p_target / p_raw); those under a fixed threshold are rejected.  Everything
-is built-in Spark expressions; no Python sees a row.
+documents and the raw corpus.  A document's score is the mean over its single words
+and word pairs of log(p_target / p_raw); those under a fixed threshold are rejected.
+Everything is built-in Spark expressions; no Python sees a row.
 
-The model has ``2 ** BUCKET_BITS`` rows at most, which bounds what is broadcast by a hint;
-the trusted ids, which grow with the corpus, are joined without one.
+The model has a bucket for each ``TEXT_BYTES`` bytes of text, so it grows with the
+corpus and buckets stay as full at every size.  Up to ``2 ** BROADCAST_BITS`` buckets
+(four bytes each) it is broadcast, packed in blocks; a larger one is joined by bucket,
+after each document's n-grams have been combined.  Both ways give the same scores.
+The trusted ids, which grow with the corpus too, are joined without a hint.
 
 Defined cases: null text has no words; a document without words fails the base
-rules and has score 0; no trusted documents, or an empty table: every score is 0;
-rows that repeat are judged alike.  Only the columns named are read, so others
-cannot clash.
+rules and has score 0; a text of one word has no pair; an n-gram whose bucket the
+model does not hold weighs 0; no trusted documents, or an empty table: every score
+is 0; rows that repeat are judged alike; ids may be of any type.  Only the columns
+named are read, so others cannot clash.
 """
 
 from __future__ import annotations
@@ -24,10 +28,13 @@ from parcelflow.llm.kept import kept
 
 WHITE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
-BUCKET_BITS = 17
-ORDERS = (1,)
+ORDERS = (1, 2)
+TEXT_BYTES = 2048
+LEAST_BITS = 16
+BROADCAST_BITS = 24
+BLOCK_BITS = 10
 PRIOR = 2.0
-THRESHOLD = -0.5
+THRESHOLD = -0.15
 
 
 def words_of(text: Column) -> Column:
@@ -110,34 +117,39 @@ def base_rules(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
     return counted.withColumn("base_failed", failed)
 
 
-def ngram_buckets(text: Column, orders: tuple[int, ...], bits: int) -> Column:
-    """Bucket of every n-gram of a text, ``order`` words at a time."""
-    words = words_of(text)
-    hashed = F.transform(words, lambda w: F.xxhash64(w))
-    parts = []
-    for n in orders:
-        if n == 1:
-            grams = hashed
-        else:
-            grams = hashed
-            for k in range(1, n):
-                later = F.slice(hashed, k + 1, F.greatest(F.size(hashed) - k, F.lit(0)))
-                grams = F.zip_with(grams, later, lambda a, b: F.xxhash64(a, b))
-            grams = F.slice(grams, 1, F.greatest(F.size(hashed) - (n - 1), F.lit(0)))
-        parts.append(F.transform(grams, lambda g: F.pmod(g, F.lit(1 << bits)).cast("int")))
-    return F.concat(*parts)
-
-
-def _grams(
+def bucket_bits(docs: DataFrame, text: str = "text", text_bytes: int = TEXT_BYTES) -> int:
+    """The model's size for a corpus: two to this power is at least its number of bytes
+    over ``text_bytes``."""
+    size = docs.agg(F.sum(F.octet_length(F.col(text)).cast("bigint"))).first()[0] or 0
+    return max(LEAST_BITS, (-(-size // text_bytes) - 1).bit_length())
+
+
+def gram_buckets(
     docs: DataFrame, text: str, orders: tuple[int, ...], bits: int, keep: list[Column]
 ) -> DataFrame:
-    """A row for each n-gram: the kept columns and its bucket."""
-    if orders == (1,):  # the same buckets, hashed after the rows are made
-        parts = F.split(F.coalesce(F.col(text), F.lit("")), "[ \\t-\\r]+", -1)
-        words = docs.select(*keep, F.explode(parts).alias("__word")).filter(F.col("__word") != "")
-        hashed = F.pmod(F.xxhash64("__word"), F.lit(1 << bits)).cast("int")
-        return words.withColumn("bucket", hashed).drop("__word")
-    return docs.select(*keep, F.explode(ngram_buckets(F.col(text), orders, bits)).alias("bucket"))
+    """A row for each n-gram of each order: the kept columns and its bucket.
+
+    One explode over the n-grams' numbers, shortest order first; the words they name are
+    hashed in the rows made, so that all of it is generated code."""
+    found = docs.select(*keep, F.btrim(F.col(text), F.lit(WHITE)).alias("__text"))
+    found = found.filter(F.col("__text") != "")
+    names = found.columns[:-1]
+    found = found.select(*names, F.split("__text", "[ \\t-\\r]+", -1).alias("__words"))
+    ends, total = [], F.lit(0)
+    for n in orders:
+        total = total + F.greatest(F.size("__words") - (n - 1), F.lit(0))
+        ends.append(total)
+    found = found.select(*names, "__words", total.alias("__total")).filter("__total > 0")
+    numbers = F.explode(F.sequence(F.lit(0), F.col("__total") - 1))
+    found = found.select(*names, "__words", numbers.alias("__at"))
+    hashed, start = None, F.lit(0)
+    for n, end in zip(orders, ends, strict=True):
+        first = F.col("__at") - start
+        gram = F.xxhash64(*[F.get("__words", first + k) for k in range(n)])
+        hit = F.col("__at") < end
+        hashed = F.when(hit, gram) if hashed is None else hashed.when(hit, gram)
+        start = end
+    return found.select(*names, F.pmod(hashed, F.lit(1 << bits)).cast("int").alias("bucket"))
 
 
 WHOLE_TYPES = (ByteType, ShortType, IntegerType, LongType)
@@ -171,20 +183,21 @@ def ratio_model(
     text: str = "text",
     doc_id: str = "doc_id",
     orders: tuple[int, ...] = ORDERS,
-    bits: int = BUCKET_BITS,
+    bits: int | None = None,
     prior: float = PRIOR,
 ) -> DataFrame:
     """(bucket, weight): log of target over raw probability.
 
     The raw corpus is every text; the target, the texts whose id is in ``trusted``
-    (one column).
+    (one column).  ``bits`` is that of the corpus (``bucket_bits``) unless given.
     Each count has ``prior`` added, the target's scaled, so that a bucket without
     evidence weighs 0.
     """
+    bits = bucket_bits(docs, text) if bits is None else bits
     named = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("text"))
     marked = mark_trusted(named, trusted)
     counts = (
-        _grams(marked, "text", orders, bits, [F.col("__t")])
+        gram_buckets(marked, "text", orders, bits, [F.col("__t")])
         .groupBy("bucket")
         .agg(F.sum("__t").alias("target"), F.count(F.lit(1)).alias("raw"))
     )
@@ -197,23 +210,49 @@ def ratio_model(
     return counts.filter(F.lit(bool(targets))).select("bucket", weight.alias("weight"))
 
 
+def _blocks(fixed: DataFrame, bits: int) -> DataFrame:
+    """(block, weights): the weights of neighbouring buckets, in order, 0 where there is none."""
+    size = 1 << min(BLOCK_BITS, bits)
+    every = fixed.sparkSession.range(1 << bits).select(
+        F.col("id").cast("int").alias("bucket"), F.lit(0).cast("bigint").alias("weight")
+    )
+    filled = fixed.unionByName(every).groupBy("bucket").agg(F.sum("weight").cast("int").alias("weight"))
+    block = F.shiftright("bucket", size.bit_length() - 1).alias("block")
+    rows = filled.groupBy(block).agg(F.array_sort(F.collect_list(F.struct("bucket", "weight"))).alias("rows"))
+    return rows.select("block", F.transform("rows", lambda r: r["weight"]).alias("weights"))
+
+
 def ratio_scores(
     docs: DataFrame,
     model: DataFrame,
+    bits: int,
     text: str = "text",
     doc_id: str = "doc_id",
     orders: tuple[int, ...] = ORDERS,
-    bits: int = BUCKET_BITS,
+    broadcast_bits: int = BROADCAST_BITS,
 ) -> DataFrame:
     """(doc_id, text_hash, score): mean weight of a text's n-grams.  Sums run over
     integers, so the order of addition cannot change a verdict."""
     keys = [F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash")]
     fixed = model.select("bucket", F.round(F.col("weight") * 1e6).cast("bigint").alias("weight"))
-    return (
-        _grams(docs, text, orders, bits, keys)
-        .join(F.broadcast(fixed), "bucket")
-        .groupBy("doc_id", "text_hash")
-        .agg((F.sum("weight") / F.count(F.lit(1)) / 1e6).alias("score"))
+    grams = gram_buckets(docs, text, orders, bits, keys)
+    if bits <= broadcast_bits:
+        shift = min(BLOCK_BITS, bits)
+        blocks = F.broadcast(kept(_blocks(fixed, bits), "ratio-blocks"))
+        weighed = grams.join(blocks, F.shiftright(grams["bucket"], shift) == blocks["block"]).select(
+            "doc_id",
+            "text_hash",
+            F.lit(1).alias("times"),
+            F.get("weights", F.col("bucket").bitwiseAND((1 << shift) - 1)).alias("weight"),
+        )
+    else:
+        combined = grams.groupBy("doc_id", "text_hash", "bucket").agg(F.count(F.lit(1)).alias("times"))
+        weighed = combined.join(fixed, "bucket", "left").select(
+            "doc_id", "text_hash", "times",
+            (F.col("times") * F.coalesce("weight", F.lit(0))).alias("weight"),
+        )
+    return weighed.groupBy("doc_id", "text_hash").agg(
+        (F.sum("weight") / F.sum("times") / 1e6).alias("score")
     )
 
 
@@ -224,11 +263,13 @@ def judge(
     doc_id: str = "doc_id",
     threshold: float = THRESHOLD,
     orders: tuple[int, ...] = ORDERS,
-    bits: int = BUCKET_BITS,
+    bits: int | None = None,
+    broadcast_bits: int = BROADCAST_BITS,
 ) -> DataFrame:
     """doc_id, text_hash, the base counts, score and kept; a row for each row."""
+    bits = bucket_bits(docs, text) if bits is None else bits
     model = ratio_model(docs, trusted, text, doc_id, orders, bits)
-    scores = ratio_scores(docs, model, text, doc_id, orders, bits).select(
+    scores = ratio_scores(docs, model, bits, text, doc_id, orders, broadcast_bits).select(
         F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "score"
     )
     base = (

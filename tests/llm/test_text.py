@@ -1,6 +1,7 @@
 """Quality rules, license scans and language identification."""
 
 import math
+import random
 import time
 from collections import Counter
 
@@ -38,20 +39,31 @@ def test_base_rules_equal_brute_force(docs, texts):
     assert mine == sorted((repr(r[0]), r[1] or "", *base(r[1])) for r in texts)
 
 
-def bucket(word):
-    return xxhash.xxh64_intdigest(word.encode(), seed=42) % (1 << quality.BUCKET_BITS)
+def buckets(text, orders, bits):
+    """Buckets of a text's n-grams: a word's hash is the seed of the next one's."""
+    w, found = llm_cases.words(text), []
+    for n in orders:
+        for i in range(len(w) - n + 1):
+            h = 42
+            for word in w[i : i + n]:
+                h = xxhash.xxh64_intdigest(word.encode(), seed=h)
+            found.append(h % (1 << bits))
+    return found
 
 
-def test_ratio_equals_brute_force(spark, docs, texts):
+@pytest.mark.parametrize("broadcast_bits", [quality.BROADCAST_BITS, 0])
+@pytest.mark.parametrize("orders", [(1,), (1, 2), (3, 1)])
+def test_ratio_equals_brute_force(spark, docs, texts, orders, broadcast_bits):
     trusted_ids = [r[0] for r in texts if r[0] is not None and r[0] % 2 == 0]
     trusted = spark.createDataFrame([(i,) for i in trusted_ids], "doc_id bigint")
+    bits = quality.bucket_bits(docs)
     got = {
         (r["doc_id"], r["n_words"], r["word_chars"]): r
-        for r in quality.judge(docs, trusted).collect()
+        for r in quality.judge(docs, trusted, orders=orders, broadcast_bits=broadcast_bits).collect()
     }
     raw, target = Counter(), Counter()
     for row in texts:
-        found = [bucket(w) for w in llm_cases.words(row[1])]
+        found = buckets(row[1], orders, bits)
         raw.update(found)
         if row[0] in set(trusted_ids):
             target.update(found)
@@ -61,17 +73,51 @@ def test_ratio_equals_brute_force(spark, docs, texts):
         return math.log((target[b] + prior * m / n) / m) - math.log((raw[b] + prior) / n)
 
     for row in texts:
-        w = llm_cases.words(row[1])
-        want = sum(weight(bucket(x)) for x in w) / len(w) if w else 0.0
+        w, found = llm_cases.words(row[1]), buckets(row[1], orders, bits)
+        want = sum(weight(b) for b in found) / len(found) if found else 0.0
         mine = got[row[0], len(w), sum(map(len, w))]
         assert abs(mine["score"] - want) < 1e-5
         assert mine["kept"] == (not base(row[1])[-1] and mine["score"] >= quality.THRESHOLD)
 
 
-def test_higher_orders_fill_buckets(spark):
-    frame = spark.createDataFrame([("a b c",), ("a",), (None,)], "text string")
-    grams = frame.select(F.size(quality.ngram_buckets(F.col("text"), (1, 2, 3), 10))).collect()
-    assert [r[0] for r in grams] == [6, 1, 0]
+def test_word_order_counts(spark, texts):
+    """A trusted text scores above the same words shuffled."""
+    rng = random.Random(3)
+    table = []
+    for i, row in enumerate(r for r in texts if len(llm_cases.words(r[1])) > 30):
+        w = llm_cases.words(row[1])
+        table += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(rng.sample(w, len(w))))]
+    table = [x for x in table if len(set(llm_cases.words(x[1]))) > 20]
+    frame = spark.createDataFrame(table, "doc_id bigint, text string")
+    trusted = frame.filter("doc_id % 2 = 0").select("doc_id")
+    model = quality.ratio_model(frame, trusted, bits=20)
+    score = {r.doc_id: r.score for r in quality.ratio_scores(frame, model, 20).collect()}
+    assert len(table) > 20
+    assert all(score[i] > score[i + 1] for i, _ in table if i % 2 == 0)
+
+
+def test_model_grows_with_the_corpus(spark):
+    sizes = {}
+    for n in (0, 1, 16, 64):
+        frame = spark.range(n).selectExpr("id AS doc_id", "repeat('ab ', 1 << 20) AS text")
+        sizes[n] = quality.bucket_bits(frame, text_bytes=16)
+    assert sizes == {0: 16, 1: 18, 16: 22, 64: 24}
+    with_nulls = spark.createDataFrame([(1, None), (2, "")], "doc_id bigint, text string")
+    assert quality.bucket_bits(with_nulls) == quality.LEAST_BITS
+
+
+def test_grams_of_few_words(spark):
+    frame = spark.createDataFrame([("a b c",), (" a\t",), ("",), (" \n ",), (None,)], "text string")
+    grams = quality.gram_buckets(frame, "text", (1, 2, 3), 10, [F.col("text")])
+    assert {r["text"]: r["count"] for r in grams.groupBy("text").count().collect()} == {"a b c": 6, " a\t": 1}
+
+
+def test_a_bucket_the_model_lacks_weighs_nothing(spark):
+    model = spark.createDataFrame([(b, 1.0) for b in buckets("a", (1,), 16)], "bucket int, weight double")
+    frame = spark.createDataFrame([(1, "a b"), (2, "b")], "doc_id bigint, text string")
+    for bound in (24, 0):
+        rows = quality.ratio_scores(frame, model, 16, orders=(1,), broadcast_bits=bound).collect()
+        assert {r.doc_id: r.score for r in rows} == {1: 0.5, 2: 0.0}
 
 
 def test_all_trusted_documents_count(spark):
