@@ -38,8 +38,8 @@ THRESHOLD = -0.15
 
 
 def words_of(text: Column) -> Column:
-    parts = F.split(F.coalesce(text, F.lit("")), "[ \\t-\\r]+", -1)
-    return F.filter(parts, lambda x: x != "")
+    """The words of a text without white space at its ends; of an empty one, one empty word."""
+    return F.split(text, "[ \\t-\\r]+", -1)
 
 
 def symbol_count(text: Column) -> Column:
@@ -70,7 +70,7 @@ def with_covered_words(frame: DataFrame, windows: str, size: int, name: str) ->
     tail = lambda c: F.slice(c, 2, F.greatest(F.size(c) - 1, F.lit(0)))
     repeats = F.size(F.array_distinct(windows)) < F.size(windows)
     pairs = F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
-    frame = frame.withColumn("__sorted", F.when(repeats, F.array_sort(pairs)))
+    frame = frame.withColumn("__sorted", F.when(repeats, F.sort_array(pairs)))
     same = F.zip_with(
         "__sorted",
         tail(F.col("__sorted")),
@@ -82,7 +82,7 @@ def with_covered_words(frame: DataFrame, windows: str, size: int, name: str) ->
         F.concat(F.array(F.lit(False)), F.transform("__same", lambda x: x["same"])),
         lambda x, before: F.struct(x["i"].alias("i"), (x["same"] | before).alias("hit")),
     )
-    places = F.array_sort(F.transform(F.filter(hits, lambda x: x["hit"]), lambda x: x["i"]))
+    places = F.sort_array(F.transform(F.filter(hits, lambda x: x["hit"]), lambda x: x["i"]))
     frame = frame.withColumn("__places", places)
     gaps = F.zip_with(
         "__places",
@@ -100,18 +100,19 @@ def base_rules(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
     whole = F.col("text")
     counted = (
         docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-        .withColumn("words", words_of(whole))
-        .withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
+        .withColumn("trimmed", F.btrim(F.coalesce(whole, F.lit("")), F.lit(WHITE)))
+        .withColumn("words", words_of(F.col("trimmed")))
         .select(
             "doc_id",
             "text",
-            F.size("words").cast("bigint").alias("n_words"),
+            F.when(F.col("trimmed") == "", 0).otherwise(F.size("words")).cast("bigint").alias("n_words"),
             F.char_length(F.array_join("words", "")).cast("bigint").alias("word_chars"),
             symbol_count(whole).alias("n_symbols"),
             repeated_lines(whole).alias("n_dup_lines"),
-            window_hashes(F.col("hashes"), 5).alias("windows"),
+            F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"),
         )
     )
+    counted = counted.withColumn("windows", window_hashes(F.col("hashes"), 5)).drop("hashes")
     counted = with_covered_words(counted, "windows", 5, "n_repeat_words").drop("windows")
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     return counted.withColumn("base_failed", failed)
@@ -134,7 +135,7 @@ def gram_buckets(
     found = docs.select(*keep, F.btrim(F.col(text), F.lit(WHITE)).alias("__text"))
     found = found.filter(F.col("__text") != "")
     names = found.columns[:-1]
-    found = found.select(*names, F.split("__text", "[ \\t-\\r]+", -1).alias("__words"))
+    found = found.select(*names, words_of(F.col("__text")).alias("__words"))
     ends, total = [], F.lit(0)
     for n in orders:
         total = total + F.greatest(F.size("__words") - (n - 1), F.lit(0))
@@ -149,7 +150,7 @@ def gram_buckets(
         hit = F.col("__at") < end
         hashed = F.when(hit, gram) if hashed is None else hashed.when(hit, gram)
         start = end
-    return found.select(*names, F.pmod(hashed, F.lit(1 << bits)).cast("int").alias("bucket"))
+    return found.select(*names, hashed.bitwiseAND((1 << bits) - 1).cast("int").alias("bucket"))
 
 
 WHOLE_TYPES = (ByteType, ShortType, IntegerType, LongType)
