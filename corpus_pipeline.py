@@ -2,6 +2,14 @@
 
 Every stage takes what its predecessor kept, whole, and all but the last return the
 columns of ``documents``.
+
+Defined cases: ``doc_id`` is a whole number or null.  Null and empty texts fail the base
+rules of the first stage; later stages keep them, as empty texts.  Rows that share a
+doc_id are judged one by one by the first stage and are one document to the others, so
+equal rows stay or go together.  A row without a doc_id is never a near-duplicate, never
+contaminated, and never the one that keeps a line.  An empty table gives an empty result
+at every stage.  Other columns, whatever their names, pass through as they are but for
+``n_chars``, which follows the text.
 """
 
 from __future__ import annotations
@@ -39,15 +47,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     failed = verdicts.select(
         F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")
     ).distinct()
-    matched = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__hash"))
-    marked = docs.withColumn("__text", F.xxhash64("text"))
-    return marked.join(failed, matched, "left_anti").select(*docs.columns)
+    same_text = F.xxhash64(docs["text"]) == failed["__hash"]
+    return docs.join(failed, docs["doc_id"].eqNullSafe(failed["__id"]) & same_text, "left_anti")
 
 
 @_stage
 def lines_once(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that other documents keep."""
-    left = line_dedup.dedup_lines(docs).select(*docs.columns)
+    names = docs.columns
+    aside = [name if name in ("doc_id", "text") else f"c{i}" for i, name in enumerate(names)]
+    left = line_dedup.dedup_lines(docs.toDF(*aside)).select(*aside).toDF(*names)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         left = left.withColumn("n_chars", F.char_length("text").cast(kind))
@@ -59,7 +68,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each group of near-duplicates, that with the smallest doc_id."""
     dropped = near_dedup.near_duplicates(docs, percent=NEAR_PERCENT).filter(~F.col("kept"))
     dropped = kept(dropped.select(F.col("doc_id").alias("__id")).distinct(), "near-copies")
-    return docs.join(dropped, F.col("doc_id").cast("bigint") == F.col("__id"), "left_anti")
+    return docs.join(dropped, docs["doc_id"].cast("bigint") == dropped["__id"], "left_anti")
 
 
 @_stage
@@ -68,7 +77,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     leaks = decontamination.overlaps(docs, benchmark).select(F.col("doc_id").alias("__id"))
     leaks = kept(leaks.distinct(), "leaks")
-    return docs.join(leaks, F.col("doc_id").cast("bigint") == F.col("__id"), "left_anti")
+    return docs.join(leaks, docs["doc_id"].cast("bigint") == leaks["__id"], "left_anti")
 
 
 @_stage
@@ -85,7 +94,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("packing", packed),
 ]
 
-#: The likelihood ratio hashes words, and packing takes a tokenizer, for which DuckDB
+#: The likelihood ratio hashes n-grams, and packing takes a tokenizer, for which DuckDB
 #: has no functions: no SQL gives the rows.  tests/llm compares the stages with brute force.
 ORACLE_SQL = None
 
