@@ -41,7 +41,8 @@ def _store(messages: DataFrame, path: str, run: str, batch_id: int) -> None:
     if known or batch_id <= state.get("sent", {}).get(run, -1):
         return
     folder = f"data/{run}-{batch_id}"
-    _named(messages, run, batch_id).write.mode("overwrite").parquet(f"{path}/{folder}")
+    named = _named(messages, run, batch_id)
+    named.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/{folder}")
 
     def change(now: dict) -> tuple[dict, list[str]]:
         entry = {"run": run, "batch": batch_id, "folder": folder}
