@@ -130,3 +130,13 @@ def test_workspace_in_local_mode_makes_one_folder():
 
 def test_workspace_of_a_real_session(spark):
     assert fresh_dir(spark, "x").startswith(shared_root(spark))
+
+
+def test_rows_are_not_sorted_to_be_written_to_a_few_folders(spark, tmp_path):
+    from parcelflow.sinks.tables import store_split
+
+    rows = tuned(spark).range(100).selectExpr("id", "if(id % 3 = 0, array('r'), array()) AS violations")
+    assert rows.sparkSession.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "4"
+    store_split(rows, str(tmp_path / "out"))
+    kept = spark.read.parquet(str(tmp_path / "out")).groupBy("side").count().collect()
+    assert {r.side: r["count"] for r in kept} == {"valid": 66, "quarantined": 34}
