@@ -120,3 +120,12 @@ def test_split_and_counts_keep_every_row(spark, tmp_path):
     assert {r.rule: r.row_count for r in counts} == {
         name: 3 if name == "country" else 2 for name in quality.RULES if name != "hoa_fee"
     }
+
+
+def test_the_rules_are_compiled(spark):
+    rows = decode(envelope(spark, [text()]))
+    marked = quality.with_violations(rows, F.lit(AS_OF))
+    plan = marked._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction" not in plan
+    assert not marked.schema["violations"].dataType.containsNull
+    assert quality.with_violations(rows, F.lit(AS_OF), rules=[]).first().violations == []
