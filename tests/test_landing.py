@@ -220,3 +220,38 @@ def test_files_of_a_batch_are_bounded(spark, tmp_path):
     land(rows, str(tmp_path), "r", 0, files=3)
     assert len(list(tmp_path.rglob("*.parquet"))) <= 3
     assert spark.read.parquet(str(tmp_path)).count() == 1000
+
+
+def shuffles(spark, monkeypatch, write):
+    """The hints by which all that is written meanwhile is moved."""
+    given, frame = [], type(spark.range(0))
+    hint = frame.hint
+    with monkeypatch.context() as patch:
+        patch.setattr(frame, "hint", lambda self, name, *keys: given.append(name) or hint(self, name, *keys))
+        write()
+    return given
+
+
+def test_a_batch_of_few_days_is_not_moved(spark, tmp_path, monkeypatch):
+    one = spark.range(0, 100, 1, 8).selectExpr("id AS n", "timestamp'2024-03-01 10:00:00' AS ts")
+    assert shuffles(spark, monkeypatch, lambda: land(one, str(tmp_path / "one"), "r", 0, "ts")) == []
+    assert shuffles(spark, monkeypatch, lambda: land(days(spark), str(tmp_path / "many"), "r", 0, "ts")) == ["rebalance"]
+    assert landed_table(spark, str(tmp_path / "one"), SCHEMA).count() == 100
+    assert not files(tmp_path / "one" / "_staged") and not files(tmp_path / "many" / "_staged")
+
+
+def test_a_large_day_is_folded_without_moving_its_rows(spark, tmp_path, monkeypatch):
+    path = str(tmp_path)
+    for batch in (0, 1):
+        land(days(spark), path, "r", batch, "ts")
+    monkeypatch.setattr(compaction, "FILE_ROWS", 500)
+    found = [date(2024, 2, 27), date(2024, 2, 28), date(2024, 2, 29)]
+    hints = shuffles(spark, monkeypatch, lambda: compaction.compact_days(spark, path, found, SCHEMA))
+    landed = landed_table(spark, path, SCHEMA)
+    assert landed.count() == 2000 and landed.select("n").distinct().count() == 1000
+    assert hints == ["rebalance"]
+    folds = [f for f in files(tmp_path) if "leaf=fold" in str(f)]
+    assert 1 < len([f for f in folds if "day=27" in str(f)]) <= 3
+    assert len([f for f in folds if "day=28" in str(f)]) == 1
+    seen = landed.filter("day = 27").select(F.input_file_name().alias("f")).distinct()
+    assert all("leaf=fold" in r.f for r in seen.collect())
