@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from parcelflow.operators.lookup import city_lookup
 from parcelflow.plans import listings as fixture
+from parcelflow.plans import queries
 from parcelflow.plans.queries import QUERIES
 from parcelflow.plans.replay import event_cuts
 from parcelflow.sinks.landing import land
@@ -160,3 +161,37 @@ def test_messages_keep_hot_keys_apart_from_the_data(spark):
     """Messages are built row by row: no shuffle but the spread of a small input."""
     text = plan(fixture.messages(spark, SF), "simple")
     assert "Exchange hashpartitioning" not in text and "Window" not in text
+
+
+def test_a_larger_feed_has_larger_batches_not_more(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "file_stream", lambda *given: given[3])
+    spark.range(0, 20, 1, 20).write.parquet(str(tmp_path / "many"))
+    spark.range(0, 3, 1, 3).write.parquet(str(tmp_path / "few"))
+    assert queries._replayed(spark, str(tmp_path / "many")) == -(-20 // queries.BATCHES)
+    assert queries._replayed(spark, str(tmp_path / "few")) == queries.FILES_A_TRIGGER
+
+
+def test_messages_are_parted_without_moving_them(spark, tmp_path, monkeypatch):
+    sent = spark.createDataFrame(
+        [(n, f"v{n}".encode()) for n in (None, None, 0, 1, 5, 6, -1)], "l_orderkey BIGINT, value BINARY"
+    )
+    monkeypatch.setattr(fixture, "messages", lambda *_, **__: sent)
+    monkeypatch.setattr(type(sent), "repartition", lambda *_: pytest.fail("moved"))
+    queries._store_parts(spark, "", str(tmp_path), 4)
+    stored = [f.name for f in tmp_path.glob("*.parquet")]
+    assert len(stored) >= 4 and all(".zstd." in name for name in stored)
+    values = sorted(bytes(r.value).decode() for r in spark.read.parquet(str(tmp_path)).collect())
+    assert values == sorted(["vNone", "vNone", "v0", "v1", "v5", "v6", "v-1"])
+
+
+def test_a_topic_partition_is_the_work_of_several_tasks(spark, monkeypatch):
+    seen, frame = [], type(spark.range(0))
+    by_id = frame.repartitionById
+    monkeypatch.setattr(frame, "repartitionById", lambda self, n, at: seen.append(n) or by_id(self, n, at))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "20")
+    try:
+        found = queries.QUERIES["routed_messages"](spark, "/root/testdata/sf0.001").first()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert seen == [18] and found.as_reported == found.in_place
