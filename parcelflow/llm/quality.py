@@ -33,6 +33,8 @@ TEXT_BYTES = 2048
 LEAST_BITS = 16
 BROADCAST_BITS = 24
 BLOCK_BITS = 10
+#: Tasks a core that count the model, at most.
+COUNT_WAVES = 3
 PRIOR = 2.0
 THRESHOLD = -0.15
 
@@ -130,26 +132,29 @@ def gram_buckets(
 ) -> DataFrame:
     """A row for each n-gram of each order: the kept columns and its bucket.
 
-    One explode over the n-grams' numbers, shortest order first; the words they name are
-    hashed in the rows made, so that all of it is generated code."""
+    One explode over numbers that hold a place and, in their low bits, an order; the words
+    they name are hashed in the rows made, so that all of it is generated code.  A row takes
+    its words from copies of the list that start later: checked sums would cost more than
+    the hashes."""
     found = docs.select(*keep, F.btrim(F.col(text), F.lit(WHITE)).alias("__text"))
     found = found.filter(F.col("__text") != "")
     names = found.columns[:-1]
     found = found.select(*names, words_of(F.col("__text")).alias("__words"))
-    ends, total = [], F.lit(0)
-    for n in orders:
-        total = total + F.greatest(F.size("__words") - (n - 1), F.lit(0))
-        ends.append(total)
-    found = found.select(*names, "__words", total.alias("__total")).filter("__total > 0")
-    numbers = F.explode(F.sequence(F.lit(0), F.col("__total") - 1))
-    found = found.select(*names, "__words", numbers.alias("__at"))
-    hashed, start = None, F.lit(0)
-    for n, end in zip(orders, ends, strict=True):
-        first = F.col("__at") - start
-        gram = F.xxhash64(*[F.get("__words", first + k) for k in range(n)])
-        hit = F.col("__at") < end
-        hashed = F.when(hit, gram) if hashed is None else hashed.when(hit, gram)
-        start = end
+    later = [F.slice("__words", k + 1, F.size("__words")).alias(f"__words{k}") for k in range(max(orders))]
+    width = (len(orders) - 1).bit_length()
+    last = F.shiftleft(F.size("__words"), width) - 1
+    found = found.select(*names, *later, last.alias("__last"))
+    lists = [f"__words{k}" for k in range(max(orders))]
+    numbers = F.explode(F.sequence(F.lit(0), F.col("__last")))
+    found = found.select(*names, *lists, numbers.alias("__number"))
+    place = F.shiftright("__number", width)
+    order = F.col("__number").bitwiseAND((1 << width) - 1)
+    whole, hashed = F.lit(False), F.lit(None).cast("bigint")
+    for turn, n in reversed(list(enumerate(orders))):
+        words = [F.get(name, place) for name in lists[:n]]
+        whole = F.when(order == turn, words[-1].isNotNull()).otherwise(whole)
+        hashed = F.when(order == turn, F.xxhash64(*words)).otherwise(hashed)
+    found = found.filter(whole)
     return found.select(*names, hashed.bitwiseAND((1 << bits) - 1).cast("int").alias("bucket"))
 
 
@@ -196,7 +201,10 @@ def ratio_model(
     """
     bits = bucket_bits(docs, text) if bits is None else bits
     named = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("text"))
-    marked = mark_trusted(named, trusted)
+    # Every counting task shuffles a row for each bucket that it meets, nearly all there are,
+    # so what is shuffled grows with the tasks: some waves of them read all splits.
+    tasks = COUNT_WAVES * docs.sparkSession.sparkContext.defaultParallelism
+    marked = mark_trusted(named, trusted).coalesce(tasks)
     counts = (
         gram_buckets(marked, "text", orders, bits, [F.col("__t")])
         .groupBy("bucket")

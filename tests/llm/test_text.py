@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 import time
 from collections import Counter
 
@@ -112,6 +113,33 @@ def test_grams_of_few_words(spark):
     assert {r["text"]: r["count"] for r in grams.groupBy("text").count().collect()} == {"a b c": 6, " a\t": 1}
 
 
+@pytest.mark.parametrize("orders", [(1,), (2,), (3, 1), (1, 2, 3)])
+def test_grams_take_no_checked_sums_in_the_rows_made(spark, texts, orders):
+    """Checked sums for each n-gram cost more than its hash; the buckets are those of brute force."""
+    frame = spark.createDataFrame([(r[1],) for r in texts], "text string")
+    grams = quality.gram_buckets(frame, "text", orders, 10, [])
+    want = Counter(b for r in texts for b in buckets(r[1], orders, 10))
+    assert Counter(r["bucket"] for r in grams.collect()) == want
+    made = grams._jdf.queryExecution().optimizedPlan().toString().split("Generate explode")[0]
+    assert "bucket" in made and not re.search(r" [+] | - ", made)
+
+
+def test_splits_of_a_corpus_are_counted_by_few_tasks(spark):
+    """Each counting task shuffles up to a row a bucket, so their number is bounded."""
+    tasks = quality.COUNT_WAVES * spark.sparkContext.defaultParallelism
+    docs = spark.range(400, numPartitions=4 * tasks).selectExpr("id AS doc_id", "concat('a b', id % 7) AS text")
+    seen = []
+    kept, quality.kept = quality.kept, lambda frame, label: (seen.append((label, frame)), kept(frame, label))[1]
+    try:
+        model = quality.ratio_model(docs, docs.filter("doc_id < 200").select("doc_id"))
+    finally:
+        quality.kept = kept
+    plan = dict(seen)["ratio-counts"]._jdf.queryExecution().optimizedPlan().toString()
+    assert f"Repartition {tasks}, false" in plan
+    found = {b for r in docs.select("text").distinct().collect() for b in buckets(r[0], quality.ORDERS, 16)}
+    assert {r["bucket"] for r in model.collect()} == found
+
+
 def test_a_bucket_the_model_lacks_weighs_nothing(spark):
     model = spark.createDataFrame([(b, 1.0) for b in buckets("a", (1,), 16)], "bucket int, weight double")
     frame = spark.createDataFrame([(1, "a b"), (2, "b")], "doc_id bigint, text string")
