@@ -118,6 +118,14 @@ def test_pruned_decode_builds_only_the_named_fields(spark):
     assert SUMMARY_FIELDS[0] == "address.city"
 
 
+def test_pruned_decode_carries_no_text_of_sound_messages(spark):
+    """A message's text is read by its first parse alone; of a damaged one the marker holds it."""
+    rows = decode_fields(envelope(spark, [text(), text()[:300], None, ""]), keep=[F.col("offset")])
+    assert rows._jdf.queryExecution().analyzed().toString().count("cast(value") == 1
+    cities = [row.city for row in rows.orderBy("offset").select("address.city").collect()]
+    assert cities == ["Dallas", None, None, None]
+
+
 def strategy(kind):
     if isinstance(kind, T.StructType):
         return st.fixed_dictionaries({f.name: strategy(f.dataType) for f in kind})
