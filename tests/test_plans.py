@@ -3,6 +3,7 @@
 import contextlib
 import io
 import re
+from datetime import datetime
 
 import pytest
 from compare import connect, differences
@@ -17,6 +18,7 @@ from parcelflow.plans.replay import event_cuts
 from parcelflow.sinks.landing import land
 from parcelflow.sources.landed import landed_table
 from parcelflow.schema import LANDED_KEYS
+from parcelflow.sources.tables import SCHEMAS
 
 SF = "/root/testdata/sf0.001"
 BATCH = [
@@ -163,6 +165,25 @@ def test_messages_keep_hot_keys_apart_from_the_data(spark):
     assert "Exchange hashpartitioning" not in text and "Window" not in text
 
 
+def test_sound_messages_pass_the_damage_by_one_test_as_they_are(spark, monkeypatch):
+    day = datetime(1998, 3, 4)
+    rows = {
+        "lineitem": [(n, 1, 1, 1, 17.0, 900.5, 0.0, 0.0, "A", "F", day) for n in (None, 0, 1, 2, 13, 14, 50, 111)],
+        "part": [(1, 'a "quoted" \u2028 é', "b", "PROMO", 5, 1.0)],
+        "supplier": [(1, "s", 1, 1.0)],
+        "nation": [(1, "n", 1)],
+        "region": [(1, "r")],
+    }
+    monkeypatch.setattr(fixture, "table", lambda spark, _, name: spark.createDataFrame(rows[name], SCHEMAS[name]))
+    sent = fixture.messages(spark, "", damaged=True, extreme=True, keep=["l_orderkey"])
+    tested = sent._jdf.queryExecution().analyzed().toString()
+    assert re.search(r"CASE WHEN \(\(_fault#\d+L? >= .*?14.*?THEN value#\d+ ELSE cast\(CASE WHEN", tested)
+    whole = {r.l_orderkey: r.value for r in fixture.messages(spark, "", keep=["l_orderkey"]).collect()}
+    found = {r.l_orderkey: r.value for r in sent.collect()}
+    assert {n for n in whole if found[n] == whole[n]} == {None, 14, 50, 111}
+    assert bytes(found[0]) == b"not json" and found[1] is None and b"2147483647" in found[13]
+
+
 def test_a_larger_feed_has_larger_batches_not_more(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(queries, "file_stream", lambda *given: given[3])
     spark.range(0, 20, 1, 20).write.parquet(str(tmp_path / "many"))
